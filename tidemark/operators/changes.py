@@ -28,6 +28,13 @@ def project_records(records: DataFrame) -> DataFrame:
     )
 
 
+def with_route(raw_log: DataFrame) -> DataFrame:
+    """Add where each event goes, unless the log already stores it."""
+    if "_route" in raw_log.columns:
+        return raw_log
+    return raw_log.withColumn("_route", route_of(parse_envelope(F.col("kafka_value"))["op"]))
+
+
 def decode(raw_log: DataFrame, precision: str = "second") -> DataFrame:
     """Parse each envelope once; add route, key, typed payload and both creation times."""
     parsed = raw_log.select(
@@ -95,11 +102,12 @@ def delete_keys(decoded: DataFrame) -> DataFrame:
 def _outcome_input(decoded: DataFrame) -> DataFrame:
     is_delete = F.col("_route") == "delete"
     key = F.when(is_delete, F.col("_before_id")).otherwise(F.col(KEY))
-    rest = [c for c in schemas.PAYMENT.names if c != KEY]
+    created = F.when(is_delete, F.col("_before_created_at")).otherwise(F.col("created_at"))
+    rest = [c for c in schemas.PAYMENT.names if c not in (KEY, "created_at")]
     return (
         decoded.where(F.col("_route").isin("upsert", "delete"))
         .where(~is_delete | F.col("_before_id").isNotNull())
-        .select(key.alias(KEY), *rest, is_delete.alias("_deleted"), F.col("kafka_offset").alias("_version"))
+        .select(key.alias(KEY), *rest, created.alias("created_at"), is_delete.alias("_deleted"), F.col("kafka_offset").alias("_version"))
     )
 
 
@@ -172,9 +180,12 @@ def current_rows(versioned: DataFrame) -> DataFrame:
 
 
 def dead_letters(decoded: DataFrame, batch_id: int | Column, clock: Column | None = None) -> DataFrame:
-    """Events turned away, with the reason. NULL-valued tombstones are among them."""
+    """Events turned away, with the reason. NULL-valued tombstones are among them.
+
+    Takes the raw log or its decoded form; needs the value and its route.
+    """
     batch = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
-    return decoded.where(~F.col("_route").isin("upsert", "delete")).select(
+    return with_route(decoded).where(~F.col("_route").isin("upsert", "delete")).select(
         "kafka_value",
         batch.cast("long").alias("batch_id"),
         F.col("_route").alias("error_reason"),

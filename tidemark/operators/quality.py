@@ -59,11 +59,13 @@ def enforce(df: DataFrame, rules: Rules, unique_key: str | None = None) -> None:
     Only one row of counters, and one count, reach the driver.
     """
     counts = dq_metrics(df, rules).first().asDict()
-    failures = {name: count for name, count in counts.items() if count}
     if unique_key:
-        repeated = duplicate_keys(df, unique_key).count()
-        if repeated:
-            failures[f"duplicate_{unique_key}s"] = repeated
+        counts[f"duplicate_{unique_key}s"] = duplicate_keys(df, unique_key).count()
+    raise_on_failures(counts)
+
+
+def raise_on_failures(counts: Mapping[str, int]) -> None:
+    failures = {name: count for name, count in counts.items() if count}
     if failures:
         raise DataQualityError(failures)
 

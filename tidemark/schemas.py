@@ -19,6 +19,9 @@ BRONZE = _struct(
     "kafka_key STRING, kafka_value STRING, kafka_topic STRING, kafka_partition INT, "
     "kafka_offset BIGINT, kafka_timestamp TIMESTAMP"
 )
+# As stored: the route of each event is kept beside it, so that readers interested in one
+# kind of event can filter on a column instead of parsing the payload.
+BRONZE_STORED = T.StructType(BRONZE.fields + _struct("_route STRING").fields)
 PAYMENT = _struct(
     "payment_id BIGINT, merchant_id BIGINT, amount DECIMAL(12,2), currency STRING, "
     "payment_method STRING, payment_status STRING, country_code STRING, "

@@ -1,0 +1,142 @@
+"""A day-partitioned Parquet table whose every commit is a readable version.
+
+Stock Parquet has no row-level MERGE, so a commit writes the touched days into a new
+folder and appends one small DataFrame to the commit log: for each touched day, the folder
+that now holds it (NULL if the day became empty). A version is the newest entry per day up
+to it. Untouched days are never rewritten, readers see a commit entirely or not at all,
+and old versions stay readable. One writer at a time.
+
+With a table format that supports MERGE, use ``tidemark.sinks.lake`` instead.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+from datetime import date
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.schemas import DAY, with_day
+
+_LOG = T.StructType.fromDDL(
+    "version BIGINT, _day DATE, folder STRING, source_version BIGINT, committed_at TIMESTAMP"
+)
+
+
+class SnapshotTable:
+    """``day_source`` is the timestamp column whose date partitions the table.
+
+    Files are sorted by ``cluster_by`` within a day, so a filter on a range of it skips
+    row groups by their statistics.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType, day_source: str, cluster_by: str
+    ):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.schema = schema
+        self.day_source = day_source
+        self.cluster_by = cluster_by
+
+    # --- commit log --------------------------------------------------------------------
+
+    def log(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(_LOG).parquet(f"{self.path}/commits")
+        except AnalysisException as missing:
+            if missing.getCondition() == "PATH_NOT_FOUND":
+                return self.spark.createDataFrame([], _LOG)
+            raise
+
+    def version(self) -> int:
+        """Newest version; 0 before the first commit."""
+        return self.log().agg(F.max("version").alias("v")).first().v or 0
+
+    def source_version(self) -> int:
+        """Newest ``source_version`` noted by a commit; 0 if none."""
+        return self.log().agg(F.max("source_version").alias("v")).first().v or 0
+
+    def changed_days(self, after: int, upto: int) -> list[date | None]:
+        """Days whose rows changed after version ``after``, up to ``upto``."""
+        log = self.log().where((F.col("version") > after) & (F.col("version") <= upto))
+        return [row[0] for row in log.select(DAY).distinct().collect()]
+
+    # --- reading -----------------------------------------------------------------------
+
+    def read(self, version: int | None = None, keep_day: bool = False) -> DataFrame:
+        """The table, or an earlier version of it. Filters on ``_day`` prune folders."""
+        log = self.log()
+        if version is not None:
+            log = log.where(F.col("version") <= version)
+        newest = log.groupBy(DAY).agg(F.max_by("folder", "version").alias("folder"))
+        # one row per stored day: folder names, never table rows
+        folders = [row.folder for row in newest.where(F.col("folder").isNotNull()).collect()]
+        schema = with_day(self.schema)
+        if not folders:
+            df = self.spark.createDataFrame([], schema)
+        else:
+            df = (
+                self.spark.read.schema(schema)
+                .option("basePath", f"{self.path}/data")
+                .parquet(*[f"{self.path}/data/{folder}" for folder in sorted(folders)])
+            )
+        return df.select(*self.schema.names, *([DAY] if keep_day else []))
+
+    def in_days(self, days: Iterable[date | None], version: int | None = None) -> DataFrame:
+        """Rows of the listed days only, with ``_day``."""
+        return self.read(version, keep_day=True).where(day_is_one_of(days))
+
+    # --- writing -----------------------------------------------------------------------
+
+    def with_day(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(DAY, F.to_date(F.col(self.day_source)))
+
+    def commit(self, rows: DataFrame, days: Iterable[date | None], source_version: int = 0) -> int:
+        """Make ``rows`` the whole content of ``days`` and publish the next version.
+
+        A failed attempt leaves an unlisted folder that the next attempt overwrites.
+        """
+        days = list(days)
+        version = self.version() + 1
+        attempt = f"v={version}"
+        # rebalancing sizes output files by bytes: a hot day is split over many tasks
+        placed = self.with_day(rows.select(*self.schema.names)).hint("rebalance", DAY)
+        ordered = placed.sortWithinPartitions(DAY, self.cluster_by)
+        ordered.write.mode("overwrite").partitionBy(DAY).parquet(f"{self.path}/data/{attempt}")
+
+        written = self._days_in(attempt)
+        unlisted = written - set(days)
+        if unlisted:
+            raise ValueError(f"rows outside the committed days: {sorted(map(str, unlisted))}")
+        entries = [
+            (version, day, f"{attempt}/{_folder(day)}" if day in written else None, source_version)
+            for day in days
+        ]
+        log = self.spark.createDataFrame(entries, T.StructType(_LOG.fields[:4]))
+        (
+            log.withColumn("committed_at", F.current_timestamp())
+            .coalesce(1)
+            .write.mode("append")
+            .parquet(f"{self.path}/commits")
+        )
+        return version
+
+    def _days_in(self, attempt: str) -> set[date | None]:
+        """Days present in a written folder; only the partition column is read."""
+        data = self.spark.read.schema(with_day(self.schema)).parquet(f"{self.path}/data/{attempt}")
+        return {row[0] for row in data.select(DAY).distinct().collect()}
+
+
+def day_is_one_of(days: Iterable[date | None]):
+    days = list(days)
+    dated = [d for d in days if d is not None]
+    match = F.col(DAY).isin(dated) if dated else F.lit(False)
+    return match | F.col(DAY).isNull() if len(dated) < len(days) else match
+
+
+def _folder(day: date | None) -> str:
+    return f"{DAY}={day.isoformat()}" if day is not None else f"{DAY}=__HIVE_DEFAULT_PARTITION__"
