@@ -20,13 +20,6 @@ def stored_bronze(records: DataFrame) -> DataFrame:
     return changes.with_route(bronze(records))
 
 
-def empty_state(df: DataFrame, mode: str = changes.REFERENCE) -> DataFrame:
-    columns = schemas.PAYMENT.fields
-    if mode == changes.ORDERED:
-        columns = columns + schemas.SILVER_VERSIONED.fields[-2:]
-    return df.sparkSession.createDataFrame([], type(schemas.PAYMENT)(columns))
-
-
 def silver_state(raw_log: DataFrame, mode: str = changes.REFERENCE, precision: str = "second") -> DataFrame:
     """Current payments after the whole of ``raw_log`` taken as one batch."""
     resolved = changes.resolve(changes.decode(raw_log, precision), mode)

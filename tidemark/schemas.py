@@ -7,43 +7,47 @@ from pyspark.sql import types as T
 DAY = "_day"
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+TEXT, INT, LONG, MOMENT = T.StringType(), T.IntegerType(), T.LongType(), T.TimestampType()
 
 
-KAFKA_RECORD = _struct(
-    "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, "
-    "timestamp TIMESTAMP, timestampType INT"
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+def extend(schema: T.StructType, **fields: T.DataType) -> T.StructType:
+    return T.StructType(schema.fields + struct(**fields).fields)
+
+
+KAFKA_RECORD = struct(
+    key=T.BinaryType(), value=T.BinaryType(), topic=TEXT, partition=INT, offset=LONG,
+    timestamp=MOMENT, timestampType=INT,
 )
-BRONZE = _struct(
-    "kafka_key STRING, kafka_value STRING, kafka_topic STRING, kafka_partition INT, "
-    "kafka_offset BIGINT, kafka_timestamp TIMESTAMP"
+BRONZE = struct(
+    kafka_key=TEXT, kafka_value=TEXT, kafka_topic=TEXT, kafka_partition=INT,
+    kafka_offset=LONG, kafka_timestamp=MOMENT,
 )
 # As stored: the route of each event is kept beside it, so that readers interested in one
 # kind of event can filter on a column instead of parsing the payload.
-BRONZE_STORED = T.StructType(BRONZE.fields + _struct("_route STRING").fields)
-PAYMENT = _struct(
-    "payment_id BIGINT, merchant_id BIGINT, amount DECIMAL(12,2), currency STRING, "
-    "payment_method STRING, payment_status STRING, country_code STRING, "
-    "created_at TIMESTAMP, updated_at TIMESTAMP"
+BRONZE_STORED = extend(BRONZE, _route=TEXT)
+PAYMENT = struct(
+    payment_id=LONG, merchant_id=LONG, amount=T.DecimalType(12, 2), currency=TEXT,
+    payment_method=TEXT, payment_status=TEXT, country_code=TEXT, created_at=MOMENT, updated_at=MOMENT,
 )
-SILVER = T.StructType(PAYMENT.fields + _struct("ingested_at TIMESTAMP").fields)
+SILVER = extend(PAYMENT, ingested_at=MOMENT)
 # What ordered resolution keeps: deleted keys stay as tombstones so that an older event
 # arriving later cannot bring the row back.
-SILVER_VERSIONED = T.StructType(SILVER.fields + _struct("_version BIGINT, _deleted BOOLEAN").fields)
-DEAD_LETTER = _struct(
-    "kafka_value STRING, batch_id BIGINT, error_reason STRING, ingested_at TIMESTAMP"
-)
-GOLD = _struct(
-    "payment_hour TIMESTAMP, country_code STRING, payment_method STRING, "
-    "payment_count BIGINT, gross_volume DECIMAL(18,2), auth_rate DOUBLE"
+SILVER_VERSIONED = extend(SILVER, _version=LONG, _deleted=T.BooleanType())
+DEAD_LETTER = struct(kafka_value=TEXT, batch_id=LONG, error_reason=TEXT, ingested_at=MOMENT)
+GOLD = struct(
+    payment_hour=MOMENT, country_code=TEXT, payment_method=TEXT, payment_count=LONG,
+    gross_volume=T.DecimalType(18, 2), auth_rate=T.DoubleType(),
 )
 
 # Every payload field is read as text and typed afterwards, so one odd value costs one
 # NULL and never the whole record.
-_IMAGE = "STRUCT<" + ", ".join(f"{c}: STRING" for c in PAYMENT.names + ["shopper_id"]) + ">"
-ENVELOPE = _struct(f"op STRING, before {_IMAGE}, after {_IMAGE}")
+_IMAGE = struct(**{name: TEXT for name in [*PAYMENT.names, "shopper_id"]})
+ENVELOPE = struct(op=TEXT, before=_IMAGE, after=_IMAGE)
 
 
 def with_day(schema: T.StructType) -> T.StructType:
-    return T.StructType(schema.fields + [T.StructField(DAY, T.DateType())])
+    return extend(schema, **{DAY: T.DateType()})

@@ -19,11 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import DAY, with_day
+from tidemark.schemas import DAY, LONG, MOMENT, TEXT, extend, struct, with_day
 
-_LOG = T.StructType.fromDDL(
-    "version BIGINT, _day DATE, folder STRING, source_version BIGINT, committed_at TIMESTAMP"
-)
+_ENTRY = struct(version=LONG, _day=T.DateType(), folder=TEXT, source_version=LONG)
+_LOG = extend(_ENTRY, committed_at=MOMENT)
 
 
 class SnapshotTable:
@@ -116,7 +115,7 @@ class SnapshotTable:
             (version, day, f"{attempt}/{_folder(day)}" if day in written else None, source_version)
             for day in days
         ]
-        log = self.spark.createDataFrame(entries, T.StructType(_LOG.fields[:4]))
+        log = self.spark.createDataFrame(entries, _ENTRY)
         (
             log.withColumn("committed_at", F.current_timestamp())
             .coalesce(1)
