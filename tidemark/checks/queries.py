@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.masking import mask_envelope
 from tidemark.operators import changes, drift, feed, merge, metrics, quality, series
 from tidemark.plans import layers, normalize, seed
 from tidemark.session import ensure_checkpoint_dir, settle
@@ -58,7 +57,7 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _log(spark: SparkSession, d: str) -> DataFrame:
-    return changes.project_records(sample.change_records(_events(spark, d)))
+    return sample.raw_log(spark, d)
 
 
 def _decoded(spark: SparkSession, d: str) -> DataFrame:
@@ -89,7 +88,7 @@ def _new_orders(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q_bronze_project(spark, d):
-    return _log(spark, d).select(
+    return changes.project_records(sample.record_log(spark, d)).select(
         "kafka_key",
         "kafka_topic",
         "kafka_partition",
@@ -102,7 +101,7 @@ def q_bronze_project(spark, d):
 
 @query
 def q_bronze_mask(spark, d):
-    masked = layers.bronze(sample.change_records(_events(spark, d)))
+    masked = layers.bronze(sample.record_log(spark, d))
     envelope = F.from_json("kafka_value", schemas.ENVELOPE)
     return masked.select("kafka_offset", envelope.alias("e")).select(
         "kafka_offset",
@@ -120,7 +119,8 @@ def q_bronze_mask(spark, d):
 
 @query
 def q_op_routing(spark, d):
-    return changes.with_route(_log(spark, d)).groupBy(F.col("_route").alias("route")).agg(F.count("*").alias("n"))
+    rows = changes.with_route(changes.project_records(sample.record_log(spark, d)))
+    return rows.groupBy(F.col("_route").alias("route")).agg(F.count("*").alias("n"))
 
 
 @query
@@ -462,12 +462,11 @@ def q_counter_rate(spark, d):
 
 
 def _streamed(spark, d, mode):
-    """All three layers run as streams over record files in the shared folder."""
+    """All three layers run over the stored record files as streams."""
+    _events(spark, d)
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    records = sample.change_records(_events(spark, d))
-    records.write.parquet(f"{folder}/records")
     layout = jobs.Layout(f"{folder}/tables", f"{folder}/progress")
-    jobs.run_layers(file_records(spark, f"{folder}/records"), layout, mode)
+    jobs.run_layers(file_records(spark, sample.record_folder(spark, d)), layout, mode)
     return layout
 
 

@@ -37,11 +37,12 @@ def with_route(raw_log: DataFrame) -> DataFrame:
 
 def decode(raw_log: DataFrame, precision: str = "second") -> DataFrame:
     """Parse each envelope once; add route, key, typed payload and both creation times."""
+    stored = [c for c in ("_route",) if c in raw_log.columns]
     parsed = raw_log.select(
-        "kafka_value", "kafka_offset", parse_envelope(F.col("kafka_value")).alias("_envelope")
+        "kafka_value", "kafka_offset", *stored, parse_envelope(F.col("kafka_value")).alias("_envelope")
     )
     after, before = F.col("_envelope.after"), F.col("_envelope.before")
-    route = route_of(F.col("_envelope.op"))
+    route = F.col("_route") if stored else route_of(F.col("_envelope.op"))
     after_id, before_id = to_long(after[KEY]), to_long(before[KEY])
     return parsed.select(
         "kafka_value",
@@ -100,15 +101,21 @@ def delete_keys(decoded: DataFrame) -> DataFrame:
 
 
 def _outcome_input(decoded: DataFrame) -> DataFrame:
+    """Upserts and deletes in one shape. ``_version`` is the offset.
+
+    A delete without a readable key names nothing: its ``_version`` is NULL, which loses
+    against every other event. (A filter on the key here would be pushed to the scan and
+    parse every payload a second time.)
+    """
     is_delete = F.col("_route") == "delete"
     key = F.when(is_delete, F.col("_before_id")).otherwise(F.col(KEY))
     created = F.when(is_delete, F.col("_before_created_at")).otherwise(F.col("created_at"))
     rest = [c for c in schemas.PAYMENT.names if c not in (KEY, "created_at")]
-    return (
-        decoded.where(F.col("_route").isin("upsert", "delete"))
-        .where(~is_delete | F.col("_before_id").isNotNull())
-        .select(key.alias(KEY), *rest, created.alias("created_at"), is_delete.alias("_deleted"), F.col("kafka_offset").alias("_version"))
+    shaped = decoded.where(F.col("_route").isin("upsert", "delete")).select(
+        key.alias(KEY), *rest, created.alias("created_at"), is_delete.alias("_deleted"), "kafka_offset"
     )
+    named = ~(F.col("_deleted") & F.col(KEY).isNull())
+    return shaped.withColumn("_version", F.when(named, F.col("kafka_offset"))).drop("kafka_offset")
 
 
 def resolve(decoded: DataFrame, mode: str = REFERENCE) -> DataFrame:
@@ -118,29 +125,32 @@ def resolve(decoded: DataFrame, mode: str = REFERENCE) -> DataFrame:
     removes the key whatever its position.
     ``ordered``: the last event by offset decides, delete or not.
 
-    Both are one partial-then-final aggregate by key: upserts and deletes share a single
-    shuffle, and repeated events of a key shrink before it.
+    Upserts and deletes share a single shuffle by key, and the repeated events of a key
+    shrink to one row per map task before it.
     """
     events = _outcome_input(decoded)
     rest = [c for c in schemas.PAYMENT.names if c != KEY]
     if mode == ORDERED:
-        last = latest_per_key(events, KEY, ["_version"])
-        return last.select(KEY, *rest, "_deleted", (~F.col("_deleted")).alias("_upserted"), "_version")
-    if mode != REFERENCE:
-        raise ValueError(f"unknown resolution mode {mode!r}")
-    upserted = ~F.col("_deleted")
-    newest = F.max_by(
-        F.when(upserted, F.struct(*rest)), F.when(upserted, F.struct("updated_at", "_version"))
-    )
-    return (
-        events.groupBy(KEY)
-        .agg(
-            newest.alias("_newest"),
-            F.bool_or("_deleted").alias("_deleted"),
-            F.bool_or(upserted).alias("_upserted"),
-            F.max("_version").alias("_version"),
+        outcome = latest_per_key(events, KEY, ["_version"]).withColumn("_upserted", ~F.col("_deleted"))
+    elif mode == REFERENCE:
+        upserted = ~F.col("_deleted")
+        newest = F.max_by(
+            F.when(upserted, F.struct(*rest)), F.when(upserted, F.struct("updated_at", "_version"))
         )
-        .select(KEY, "_newest.*", "_deleted", "_upserted", "_version")
+        outcome = (
+            events.groupBy(KEY)
+            .agg(
+                newest.alias("_newest"),
+                F.bool_or(F.col("_deleted") & F.col("_version").isNotNull()).alias("_deleted"),
+                F.bool_or(upserted).alias("_upserted"),
+                F.max("_version").alias("_version"),
+            )
+            .select("*", "_newest.*")
+        )
+    else:
+        raise ValueError(f"unknown resolution mode {mode!r}")
+    return outcome.where(F.col("_version").isNotNull()).select(
+        KEY, *rest, "_deleted", "_upserted", "_version"
     )
 
 

@@ -1,22 +1,57 @@
 """Change log, payments and refunds derived from the ``events`` test table.
 
 Each view is a plain projection of ``events`` (no shuffle, no window), so a query plan
-shows only the operator under test and its work grows with the table.
+shows only the operator under test and its work grows with the table. The record log and
+the raw log are written once per session and then scanned, as a stored log would be.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import schemas
+from tidemark.plans import layers
+from tidemark.session import ensure_checkpoint_dir
+
 TOPIC = "cdc.public.payments"
 
+_stored: dict[tuple[str, str, str], str] = {}
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _store_once(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Folder holding ``build()`` for this session, in the shared checkpoint folder."""
+    slot = (spark.sparkContext.applicationId, sf_dir, name)
+    if slot not in _stored:
+        folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sample-{uuid.uuid4().hex}-{name}"
+        build().write.parquet(folder)
+        _stored[slot] = folder
+    return _stored[slot]
+
+
+def record_folder(spark: SparkSession, sf_dir: str) -> str:
+    return _store_once(spark, sf_dir, "records", lambda: change_records(load(spark, sf_dir, "events")))
+
+
+def record_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary message-log records."""
+    return spark.read.schema(schemas.KAFKA_RECORD).parquet(record_folder(spark, sf_dir))
+
+
+def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored raw log: masked, with the route of each event beside it."""
+    build = lambda: layers.stored_bronze(record_log(spark, sf_dir))
+    folder = _store_once(spark, sf_dir, "bronze", build)
+    return spark.read.schema(schemas.BRONZE_STORED).parquet(folder)
+
+
 def _pick(selector: Column, *values: str | None) -> Column:
     """``values[selector]`` as a CASE, the last value being the default."""
     chosen = F.when(selector == 0, F.lit(values[0]))
