@@ -1,8 +1,13 @@
 """Hashing personal fields inside a JSON envelope without leaving the JVM.
 
-The payload is read as ``map<string, variant>``, so fields this code knows nothing about
-keep their types. A payload that VARIANT refuses (repeated keys) but the lenient text
-parser reads is rebuilt from text, because a later reader would find the personal field.
+Three ways, tried in this order per row:
+
+1. *In place.* If every mention of the field in the text is accounted for by the parsed
+   sections, its value token is swapped inside the text; all else stays byte for byte.
+2. *By variant.* The payload is rebuilt from ``map<string, variant>``, so fields this code
+   knows nothing about keep their types.
+3. *From text.* A payload that VARIANT refuses (repeated keys) but the lenient parser reads
+   is rebuilt with text values, because a later reader would find the personal field.
 """
 
 from __future__ import annotations
@@ -11,8 +16,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.fixed_values import ENVELOPE_SECTIONS, PII_FIELDS
+from tidemark.schemas import struct
 
 _TEXT_MAP = "map<string,string>"
 _VARIANT_MAP = "map<string,variant>"
@@ -63,20 +70,67 @@ def _by_text(value: Column, fields: Sequence[str], sections: Sequence[str]) -> C
     return F.to_json(F.transform_values(_last_of_each(F.from_json(value, _TEXT_MAP)), visit))
 
 
-def mask_envelope(
+def scan_schema(
+    fields: Sequence[str] = PII_FIELDS, sections: Sequence[str] = ENVELOPE_SECTIONS
+) -> T.StructType:
+    """What masking needs to see of an envelope, plus ``op``."""
+    text = T.StringType()
+    section = struct(**{field: text for field in fields})
+    return struct(op=text, **{name: section for name in sections})
+
+
+def _in_place(value: Column, scan: Column, field: str, sections: Sequence[str]) -> tuple[Column, Column]:
+    """Condition under which swapping value tokens in the text is exact, and the swap.
+
+    Without backslashes a quoted name followed by a colon can only be a key. If there are
+    as many such keys, each with a plain string or whole number, as sections holding a
+    value, then every key belongs to its section and none is nested, repeated or elsewhere.
+    """
+    name = f'"{field}"'
+    token = rf'{name}\s*:\s*("[^"]*"|-?\d+(?![\d.eE]))'
+    held = [scan[section][field] for section in sections]
+    present = sum((h.isNotNull().cast("int") for h in held), F.lit(0))
+    mentions = (F.length(value) - F.length(F.replace(value, F.lit(name)))) / len(name)
+    digestible = F.array_distinct(F.array_compact(F.array(*held)))
+    exact = (
+        (present > 0)
+        & ~value.contains("\\")
+        & (mentions == present)
+        & (F.regexp_count(value, F.lit(token)) == present)
+        & (F.size(digestible) == 1)
+    )
+    digest = F.sha2(F.coalesce(*held), 256)
+    return exact, F.regexp_replace(value, F.lit(token), F.concat(F.lit(name + ':"'), digest, F.lit('"')))
+
+
+def mask_scanned(
     value: Column,
+    scan: Column,
     fields: Sequence[str] = PII_FIELDS,
     sections: Sequence[str] = ENVELOPE_SECTIONS,
 ) -> Column:
-    """``value`` with each of ``fields`` replaced by its SHA-256 digest in each section.
-
-    NULL and unreadable text pass through. Text that cannot name any of the fields
-    (no literal mention, no ``\\u`` escape that could spell one) is not parsed at all.
-    """
+    """``mask_envelope`` for a row whose ``scan_schema`` view is at hand as a column."""
     mention = value.contains("\\u")
     for field in fields:
         mention = mention | value.contains(field)
-    masked = F.coalesce(
+    rebuilt = F.coalesce(
         _by_variant(value, fields, sections), _by_text(value, fields, sections), value
     )
-    return F.when(mention, masked).otherwise(value)
+    masked = F.when(~mention, value)
+    if len(fields) == 1:
+        exact, swapped = _in_place(value, scan, fields[0], sections)
+        masked = masked.when(exact, swapped)
+    return masked.otherwise(rebuilt)
+
+
+def mask_envelope(
+    value: Column,
+    fields: Sequence[str] = PII_FIELDS,
+    sections: Sequence[str] = ENVELOPE_SECTIONS,
+) -> Column:
+    """``value`` with each of ``fields`` replaced by its SHA-256 digest in each section.
+
+    NULL and unreadable text pass through. Text that cannot name any of the fields
+    (no literal mention, no ``\\u`` escape that could spell one) is not rebuilt at all.
+    """
+    return mask_scanned(value, F.from_json(value, scan_schema(fields, sections)), fields, sections)

@@ -6,18 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.masking import mask_envelope
+from tidemark.functions.envelope import route_of
+from tidemark.functions.masking import mask_scanned, scan_schema
 from tidemark.operators import changes, metrics
 
 
-def bronze(records: DataFrame) -> DataFrame:
-    """Raw log rows with personal fields hashed. Narrow: works on a stream or a table."""
+def stored_bronze(records: DataFrame) -> DataFrame:
+    """Raw log rows with personal fields hashed and the route of each event beside them.
+
+    Narrow, one parse per record; works on a stream or a table.
+    """
     rows = changes.project_records(records)
-    return rows.withColumn("kafka_value", mask_envelope(F.col("kafka_value")))
+    scanned = rows.withColumn("_scan", F.from_json("kafka_value", scan_schema()))
+    masked = mask_scanned(F.col("kafka_value"), F.col("_scan"))
+    return scanned.withColumns({"kafka_value": masked, "_route": route_of(F.col("_scan.op"))}).drop("_scan")
 
 
-def stored_bronze(records: DataFrame) -> DataFrame:
-    return changes.with_route(bronze(records))
+def bronze(records: DataFrame) -> DataFrame:
+    """The six raw-log columns alone."""
+    return stored_bronze(records).select(*schemas.BRONZE.names)
 
 
 def silver_state(raw_log: DataFrame, mode: str = changes.REFERENCE, precision: str = "second") -> DataFrame:

@@ -31,7 +31,10 @@ def _store_once(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     slot = (spark.sparkContext.applicationId, sf_dir, name)
     if slot not in _stored:
         folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sample-{uuid.uuid4().hex}-{name}"
-        build().write.parquet(folder)
+        rows, cores = build(), spark.sparkContext.defaultParallelism
+        # a log of few files is spread over more, so that later scans use every core
+        spread = rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+        spread.write.parquet(folder)
         _stored[slot] = folder
     return _stored[slot]
 
