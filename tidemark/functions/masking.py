@@ -83,24 +83,32 @@ def _in_place(value: Column, scan: Column, field: str, sections: Sequence[str])
     """Condition under which swapping value tokens in the text is exact, and the swap.
 
     Without backslashes a quoted name followed by a colon can only be a key. If there are
-    as many such keys, each with a plain string or whole number, as sections holding a
-    value, then every key belongs to its section and none is nested, repeated or elsewhere.
+    as many such keys as sections holding a value, and as many swaps of that value were
+    made, then every key belongs to its section: none is nested, repeated or elsewhere.
+    Counts come from byte lengths, which is cheaper than matching a pattern.
     """
     name = f'"{field}"'
-    token = rf'{name}\s*:\s*("[^"]*"|-?\d+(?![\d.eE]))'
     held = [scan[section][field] for section in sections]
+    secret = F.coalesce(*held)
     present = sum((h.isNotNull().cast("int") for h in held), F.lit(0))
-    mentions = (F.length(value) - F.length(F.replace(value, F.lit(name)))) / len(name)
-    digestible = F.array_distinct(F.array_compact(F.array(*held)))
+    alike = F.lit(True) if len(held) == 1 else F.least(*held) == F.greatest(*held)
+
+    quoted = F.concat(F.lit(name + ':"'), secret, F.lit('"'))
+    bare = F.when(secret.rlike(r"^-?\d+$"), F.concat(F.lit(name + ":"), secret))
+    token = F.when(value.contains(quoted), quoted).otherwise(bare)
+    masked = F.concat(F.lit(name + ':"'), F.sha2(secret, 256), F.lit('"'))
+    swapped = F.replace(value, token, masked)
+
+    growth = F.octet_length(masked) - F.octet_length(token)
+    unnamed = F.octet_length(F.replace(value, F.lit(name), F.lit("")))
     exact = (
-        (present > 0)
+        (F.octet_length(swapped) - F.octet_length(value) == growth * present)
+        & (growth != 0)
+        & (F.octet_length(value) - unnamed == present * len(name))
         & ~value.contains("\\")
-        & (mentions == present)
-        & (F.regexp_count(value, F.lit(token)) == present)
-        & (F.size(digestible) == 1)
+        & alike
     )
-    digest = F.sha2(F.coalesce(*held), 256)
-    return exact, F.regexp_replace(value, F.lit(token), F.concat(F.lit(name + ':"'), digest, F.lit('"')))
+    return exact, swapped
 
 
 def mask_scanned(
@@ -116,11 +124,10 @@ def mask_scanned(
     rebuilt = F.coalesce(
         _by_variant(value, fields, sections), _by_text(value, fields, sections), value
     )
-    masked = F.when(~mention, value)
-    if len(fields) == 1:
-        exact, swapped = _in_place(value, scan, fields[0], sections)
-        masked = masked.when(exact, swapped)
-    return masked.otherwise(rebuilt)
+    if len(fields) > 1:
+        return F.when(mention, rebuilt).otherwise(value)
+    exact, swapped = _in_place(value, scan, fields[0], sections)
+    return F.when(exact, swapped).when(mention, rebuilt).otherwise(value)
 
 
 def mask_envelope(
