@@ -12,6 +12,7 @@ With a table format that supports MERGE, use ``tidemark.sinks.lake`` instead.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -25,6 +26,31 @@ _ENTRY = struct(version=LONG, _day=T.DateType(), folder=TEXT, source_version=LON
 _LOG = extend(_ENTRY, committed_at=MOMENT)
 
 
+@dataclass(frozen=True)
+class Snapshot:
+    """One version of a table: the folders that hold its days."""
+
+    table: SnapshotTable
+    version: int
+    source_version: int
+    folders: list[str]
+
+    def rows(self, keep_day: bool = False) -> DataFrame:
+        """The rows; filters on ``_day`` prune folders."""
+        table, schema = self.table, with_day(self.table.schema)
+        if self.folders:
+            data = f"{table.path}/data"
+            reader = table.spark.read.schema(schema).option("basePath", data)
+            df = reader.parquet(*[f"{data}/{folder}" for folder in self.folders])
+        else:
+            df = table.spark.createDataFrame([], schema)
+        return df.select(*table.schema.names, *([DAY] if keep_day else []))
+
+    def in_days(self, days: Iterable[date | None]) -> DataFrame:
+        """Rows of the listed days only."""
+        return self.rows(keep_day=True).where(day_is_one_of(days)).drop(DAY)
+
+
 class SnapshotTable:
     """``day_source`` is the timestamp column whose date partitions the table.
 
@@ -51,56 +77,47 @@ class SnapshotTable:
                 return self.spark.createDataFrame([], _LOG)
             raise
 
-    def version(self) -> int:
-        """Newest version; 0 before the first commit."""
-        return self.log().agg(F.max("version").alias("v")).first().v or 0
+    def snapshot(self, version: int | None = None) -> Snapshot:
+        """The table as of now or of an earlier version: one small job on the commit log."""
+        log = self.log()
+        if version is not None:
+            log = log.where(F.col("version") <= version)
+        # one row per stored day: folder names, never table rows
+        newest = log.groupBy(DAY).agg(
+            F.max_by("folder", "version").alias("folder"),
+            F.max("version").alias("version"),
+            F.max("source_version").alias("source_version"),
+        )
+        rows = newest.collect()
+        return Snapshot(
+            table=self,
+            version=max((r.version for r in rows), default=0),
+            source_version=max((r.source_version for r in rows), default=0),
+            folders=sorted(r.folder for r in rows if r.folder is not None),
+        )
 
-    def source_version(self) -> int:
-        """Newest ``source_version`` noted by a commit; 0 if none."""
-        return self.log().agg(F.max("source_version").alias("v")).first().v or 0
+    def read(self, version: int | None = None) -> DataFrame:
+        return self.snapshot(version).rows()
 
     def changed_days(self, after: int, upto: int) -> list[date | None]:
         """Days whose rows changed after version ``after``, up to ``upto``."""
         log = self.log().where((F.col("version") > after) & (F.col("version") <= upto))
         return [row[0] for row in log.select(DAY).distinct().collect()]
 
-    # --- reading -----------------------------------------------------------------------
-
-    def read(self, version: int | None = None, keep_day: bool = False) -> DataFrame:
-        """The table, or an earlier version of it. Filters on ``_day`` prune folders."""
-        log = self.log()
-        if version is not None:
-            log = log.where(F.col("version") <= version)
-        newest = log.groupBy(DAY).agg(F.max_by("folder", "version").alias("folder"))
-        # one row per stored day: folder names, never table rows
-        folders = [row.folder for row in newest.where(F.col("folder").isNotNull()).collect()]
-        schema = with_day(self.schema)
-        if not folders:
-            df = self.spark.createDataFrame([], schema)
-        else:
-            df = (
-                self.spark.read.schema(schema)
-                .option("basePath", f"{self.path}/data")
-                .parquet(*[f"{self.path}/data/{folder}" for folder in sorted(folders)])
-            )
-        return df.select(*self.schema.names, *([DAY] if keep_day else []))
-
-    def in_days(self, days: Iterable[date | None], version: int | None = None) -> DataFrame:
-        """Rows of the listed days only, with ``_day``."""
-        return self.read(version, keep_day=True).where(day_is_one_of(days))
-
     # --- writing -----------------------------------------------------------------------
 
     def with_day(self, df: DataFrame) -> DataFrame:
         return df.withColumn(DAY, F.to_date(F.col(self.day_source)))
 
-    def commit(self, rows: DataFrame, days: Iterable[date | None], source_version: int = 0) -> int:
-        """Make ``rows`` the whole content of ``days`` and publish the next version.
+    def commit(
+        self, rows: DataFrame, days: Iterable[date | None], base: Snapshot, source_version: int = 0
+    ) -> int:
+        """Make ``rows`` the whole content of ``days`` and publish the version after ``base``.
 
         A failed attempt leaves an unlisted folder that the next attempt overwrites.
         """
         days = list(days)
-        version = self.version() + 1
+        version = base.version + 1
         attempt = f"v={version}"
         # rebalancing sizes output files by bytes: a hot day is split over many tasks
         placed = self.with_day(rows.select(*self.schema.names)).hint("rebalance", DAY)

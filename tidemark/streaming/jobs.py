@@ -16,7 +16,7 @@ from tidemark.operators import changes, merge, metrics, quality
 from tidemark.plans import layers
 from tidemark.schemas import DAY
 from tidemark.sinks.deadletter import write_dead_letters
-from tidemark.sinks.snapshots import SnapshotTable
+from tidemark.sinks.snapshots import Snapshot, SnapshotTable
 from tidemark.sources.records import stream_table
 
 
@@ -92,7 +92,8 @@ def _merge_resolved(silver: SnapshotTable, resolved: DataFrame, batch_id: int, m
     low, high = _check_and_span(resolved)
     if low is None:
         return None
-    held = silver.read(keep_day=True).where(F.col(key).between(low, high))
+    base = silver.snapshot()
+    held = base.rows(keep_day=True).where(F.col(key).between(low, high))
     narrow = [key, "created_at", DAY] + (["_version"] if mode == changes.ORDERED else [])
     hits = held.select(*narrow).join(resolved.select(key), key, "left_semi").persist()
     try:
@@ -105,8 +106,8 @@ def _merge_resolved(silver: SnapshotTable, resolved: DataFrame, batch_id: int, m
         if not days:
             return None
         stamped = resolved.withColumn("ingested_at", F.current_timestamp())
-        before = silver.in_days(days).drop(DAY)
-        return silver.commit(changes.apply_changes(before, stamped, mode), days, batch_id)
+        after = changes.apply_changes(base.in_days(days), stamped, mode)
+        return silver.commit(after, days, base, batch_id)
     finally:
         hits.unpersist()
 
@@ -163,8 +164,8 @@ def _run_name(spark: SparkSession, checkpoint: str) -> str:
     return name
 
 
-def _metrics_of(silver: SnapshotTable, days: list[date], version: int, mode: str) -> DataFrame:
-    rows = silver.in_days(days, version).drop(DAY)
+def _metrics_of(silver: Snapshot, days: list[date], mode: str) -> DataFrame:
+    rows = silver.in_days(days)
     return metrics.hourly_metrics(changes.current_rows(rows) if mode == changes.ORDERED else rows)
 
 
@@ -176,29 +177,34 @@ def run_gold(spark: SparkSession, layout: Layout, mode: str = changes.REFERENCE)
     Silver is read, and gold rewritten, one day partition at a time either way.
     """
     silver, gold = layout.silver(spark, mode), layout.gold(spark)
-    upto = silver.version()
-    days = [d for d in silver.changed_days(gold.source_version(), upto) if d is not None]
+    now, base = silver.snapshot(), gold.snapshot()
+    days = [d for d in silver.changed_days(base.source_version, now.version) if d is not None]
     if not days:
         return None
-    return gold.commit(_metrics_of(silver, days, upto, mode), days, upto)
+    return gold.commit(_metrics_of(now, days, mode), days, base, now.version)
 
 
 def apply_gold_batch(
     batch: DataFrame, layout: Layout, mode: str = changes.REFERENCE, both_images: bool = True
 ) -> int | None:
-    """Recompute only the hours that a raw-log batch names; other hours of the day are kept."""
+    """Recompute only the hours that a raw-log batch names; other hours of the day are kept.
+
+    It does not count as having caught up with silver: ``run_gold`` still visits every day
+    silver changed.
+    """
     spark = batch.sparkSession
-    silver, gold = layout.silver(spark, mode), layout.gold(spark)
     hours = metrics.affected_hours(changes.decode(batch), both_images).persist()
     try:
         days = [row[0] for row in hours.select(F.to_date("payment_hour")).distinct().collect()]
         if not days:
             return None
-        upto = silver.version()
-        cells = _metrics_of(silver, days, upto, mode).join(hours, "payment_hour", "left_semi")
-        kept = gold.in_days(days).drop(DAY)
-        rows = merge.replace_groups(kept, hours, cells.select(*schemas.GOLD.names), "payment_hour")
-        return gold.commit(rows, days, upto)
+        gold = layout.gold(spark)
+        now, base = layout.silver(spark, mode).snapshot(), gold.snapshot()
+        cells = _metrics_of(now, days, mode).join(hours, "payment_hour", "left_semi")
+        rows = merge.replace_groups(
+            base.in_days(days), hours, cells.select(*schemas.GOLD.names), "payment_hour"
+        )
+        return gold.commit(rows, days, base, base.source_version)
     finally:
         hours.unpersist()
 
