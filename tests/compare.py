@@ -19,7 +19,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value):
     if isinstance(value, float):
-        return repr(round(value, 9))
+        return repr(value)
     if isinstance(value, decimal.Decimal):
         return str(value)
     if isinstance(value, datetime.datetime):

@@ -57,17 +57,16 @@ def _last_of_each(entries: Column) -> Column:
 
 def _by_text(value: Column, fields: Sequence[str], sections: Sequence[str]) -> Column:
     def hashed(name: Column, text: Column) -> Column:
-        return F.when(name.isin(*fields), F.sha2(text, 256)).otherwise(text)
+        return F.when(name.isin(*fields), F.sha2(text, 256)).otherwise(text).cast("variant")
 
     def visit(name: Column, text: Column) -> Column:
         inner = F.from_json(text, _TEXT_MAP)
-        rebuilt = F.to_variant_object(
-            F.transform_values(F.transform_values(_last_of_each(inner), hashed), lambda _, t: t.cast("variant"))
-        )
+        rebuilt = F.to_variant_object(F.transform_values(_last_of_each(inner), hashed))
         is_section = name.isin(*sections) & inner.isNotNull()
         return F.when(is_section, rebuilt).otherwise(text.cast("variant"))
 
-    return F.to_json(F.transform_values(_last_of_each(F.from_json(value, _TEXT_MAP)), visit))
+    # a section that occurs twice stays twice, hashed both times
+    return F.to_json(F.transform_values(F.from_json(value, _TEXT_MAP), visit))
 
 
 def scan_schema(

@@ -25,7 +25,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str])
 def delete_by_key(target: DataFrame, gone: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows whose key is not listed in ``gone`` (repeats and NULLs there are harmless)."""
     keys = _names(key)
-    return target.join(gone.select(*keys), keys, "left_anti")
+    # repeats shrink to one row per map task, so a key deleted many times is no hot spot
+    return target.join(gone.select(*keys).distinct(), keys, "left_anti")
 
 
 def update_where(target: DataFrame, condition: Column, assignments: Mapping[str, Column]) -> DataFrame:
@@ -56,4 +57,4 @@ def replace_groups(
 ) -> DataFrame:
     """``target`` with every row of the listed groups swapped for the recomputed rows."""
     keys = _names(by)
-    return target.join(groups.select(*keys), keys, "left_anti").unionByName(recomputed)
+    return delete_by_key(target, groups, keys).unionByName(recomputed)

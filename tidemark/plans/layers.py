@@ -16,10 +16,11 @@ def stored_bronze(records: DataFrame) -> DataFrame:
 
     Narrow, one parse per record; works on a stream or a table.
     """
-    rows = changes.project_records(records)
-    scanned = rows.withColumn("_scan", F.from_json("kafka_value", scan_schema()))
-    masked = mask_scanned(F.col("kafka_value"), F.col("_scan"))
-    return scanned.withColumns({"kafka_value": masked, "_route": route_of(F.col("_scan.op"))}).drop("_scan")
+    scan = F.from_json("kafka_value", scan_schema()).alias("_scan")
+    scanned = changes.project_records(records).select("*", scan)
+    masked = {"kafka_value": mask_scanned(F.col("kafka_value"), F.col("_scan"))}
+    columns = [masked.get(name, F.col(name)).alias(name) for name in schemas.BRONZE.names]
+    return scanned.select(*columns, route_of(F.col("_scan.op")).alias("_route"))
 
 
 def bronze(records: DataFrame) -> DataFrame:

@@ -14,7 +14,9 @@ def write_dead_letters(letters: DataFrame, path: str, run: str, batch_id: int) -
     ``run`` tells apart batch numbers of different checkpoints.
     """
     folder = f"{path.rstrip('/')}/run={run}/batch={batch_id}"
-    letters.select(*schemas.DEAD_LETTER.names).write.mode("overwrite").parquet(folder)
+    # letters are few and scattered: rebalancing packs them into few files
+    rows = letters.select(*schemas.DEAD_LETTER.names).hint("rebalance")
+    rows.write.mode("overwrite").parquet(folder)
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:

@@ -72,14 +72,12 @@ def apply_batch(
 ) -> int | None:
     """One raw-log batch into the silver table and the dead letters; the new version, if any.
 
-    The batch is parsed once. Nothing in silver changes unless every quality rule passes.
+    Payloads are parsed once; dead letters are told by the stored route alone. Nothing in silver changes unless every quality rule passes.
     Only the days that gain or lose a row are read in full and rewritten; finding them
     reads the key and day columns of silver, cut down to the batch's key range.
     """
     silver = layout.silver(batch.sparkSession, mode)
-    letters = changes.dead_letters(batch, batch_id)
-    if not letters.isEmpty():
-        write_dead_letters(letters, layout.dead_letters, run, batch_id)
+    write_dead_letters(changes.dead_letters(batch, batch_id), layout.dead_letters, run, batch_id)
     resolved = changes.resolve(changes.decode(batch), mode).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _merge_resolved(silver, resolved, batch_id, mode)
