@@ -1,38 +1,69 @@
 """Row-level changes for catalogs whose table format supports MERGE and DELETE.
 
-Needs such a format's runtime on the classpath (for instance Iceberg); not part of stock
-Spark, so the offline tests do not cover this module.
+Needs such a format's runtime on the classpath (for instance Iceberg). It is not part of
+stock Spark, so the tests only check that Spark parses the statements.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+_SOURCE = "_tidemark_source"
+
+
+def create_statement(name: str, schema: T.StructType, day_source: str) -> str:
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    return f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING iceberg PARTITIONED BY (days({day_source}))"
+
+
+def upsert_statement(name: str, key: str) -> str:
+    return (
+        f"MERGE INTO {name} AS held USING {_SOURCE} AS fresh ON held.{key} = fresh.{key} "
+        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
+
+
+def changes_statement(name: str, key: str, columns: Sequence[str]) -> str:
+    """Upserts and deletes of one batch in a single commit, told apart by ``_deleted``."""
+    assignments = ", ".join(f"held.{c} = fresh.{c}" for c in columns)
+    values = ", ".join(f"fresh.{c}" for c in columns)
+    return (
+        f"MERGE INTO {name} AS held USING {_SOURCE} AS fresh ON held.{key} = fresh.{key} "
+        "WHEN MATCHED AND fresh._deleted THEN DELETE "
+        f"WHEN MATCHED THEN UPDATE SET {assignments} "
+        f"WHEN NOT MATCHED AND NOT fresh._deleted THEN INSERT ({', '.join(columns)}) VALUES ({values})"
+    )
+
+
+def delete_statement(name: str, key: str) -> str:
+    return f"DELETE FROM {name} WHERE {key} IN (SELECT {key} FROM {_SOURCE})"
+
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, day_source: str) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` partitioned by day, with its database."""
     database = name.rpartition(".")[0]
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING iceberg PARTITIONED BY (days({day_source}))"
-    )
+    spark.sql(create_statement(name, schema, day_source))
+
+
+def _with_source(source: DataFrame, statement: str) -> None:
+    source.createOrReplaceTempView(_SOURCE)
+    source.sparkSession.sql(statement)
 
 
 def merge_into(name: str, source: DataFrame, key: str) -> None:
-    """Matched rows updated, unmatched rows inserted."""
-    source.createOrReplaceTempView("_merge_source")
-    source.sparkSession.sql(
-        f"MERGE INTO {name} AS held USING _merge_source AS fresh ON held.{key} = fresh.{key} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-    )
+    _with_source(source, upsert_statement(name, key))
+
+
+def merge_changes(name: str, resolved: DataFrame, key: str, columns: Sequence[str]) -> None:
+    _with_source(resolved, changes_statement(name, key, columns))
 
 
 def delete_from(name: str, gone: DataFrame, key: str) -> None:
-    gone.createOrReplaceTempView("_gone_keys")
-    gone.sparkSession.sql(f"DELETE FROM {name} WHERE {key} IN (SELECT {key} FROM _gone_keys)")
+    _with_source(gone, delete_statement(name, key))
 
 
 def append_to(name: str, rows: DataFrame) -> None:

@@ -15,6 +15,7 @@ from tidemark import schemas
 from tidemark.operators import changes, merge, metrics, quality
 from tidemark.plans import layers
 from tidemark.schemas import DAY
+from tidemark.sinks import lake
 from tidemark.sinks.deadletter import write_dead_letters
 from tidemark.sinks.snapshots import Snapshot, SnapshotTable
 from tidemark.sources.records import stream_table
@@ -135,6 +136,19 @@ def _fresh_outcomes(hits: DataFrame, resolved: DataFrame) -> DataFrame:
     return fresh.withColumn("created_at", created).drop("_held_created_at", "_held")
 
 
+def apply_batch_to_lake(batch: DataFrame, batch_id: int, silver: str, dead_letters: str) -> None:
+    """``apply_batch`` for named tables of a format with MERGE: one commit per table."""
+    resolved = changes.resolve(changes.decode(batch)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _check_and_span(resolved)
+        stamped = resolved.withColumn("ingested_at", F.current_timestamp())
+        lake.merge_changes(silver, stamped, changes.KEY, schemas.SILVER.names)
+        # last, so that a batch that fails its rules and is retried adds no letters
+        lake.append_to(dead_letters, changes.dead_letters(batch, batch_id))
+    finally:
+        resolved.unpersist()
+
+
 def run_silver(
     spark: SparkSession,
     layout: Layout,
