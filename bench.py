@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.checks.queries import QUERIES
 from tidemark.operators import changes
+from tidemark.plans import layers
 from tidemark.session import build_session
 from tidemark.sources import sample
 
@@ -61,7 +62,10 @@ def hash_in_python(value: str | None) -> str | None:
 def comparisons(spark) -> dict:
     rows = changes.project_records(sample.record_log(spark, SF_DIR))
     udf = F.udf(hash_in_python, "string")
-    return {"mask_python_udf": lambda: rows.withColumn("kafka_value", udf("kafka_value"))}
+    return {
+        "mask_native": lambda: layers.bronze(sample.record_log(spark, SF_DIR)),
+        "mask_python_udf": lambda: rows.withColumn("kafka_value", udf("kafka_value")),
+    }
 
 
 def main() -> None:

@@ -4,8 +4,6 @@ import hashlib
 import json
 
 import pytest
-from pyspark.sql import functions as F
-
 from tidemark.functions.masking import mask_envelope
 from tidemark.plans import layers
 from tidemark.sources import sample
@@ -17,7 +15,7 @@ def digest(text: str) -> str:
 
 def mask(spark, *values, **kwargs):
     df = spark.createDataFrame(list(enumerate(values)), "i INT, v STRING")
-    rows = df.select("i", mask_envelope(F.col("v"), **kwargs).alias("m")).collect()
+    rows = df.select("i", mask_envelope("v", **kwargs).alias("m")).collect()
     return [r.m for r in sorted(rows)]
 
 

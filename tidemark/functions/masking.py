@@ -25,48 +25,35 @@ _TEXT_MAP = "map<string,string>"
 _VARIANT_MAP = "map<string,variant>"
 
 
-def _hash_variant_section(section: Column, fields: Sequence[str]) -> Column:
-    def hashed(name: Column, value: Column) -> Column:
-        secret = name.isin(*fields) & ~F.is_variant_null(value)
-        digest = F.sha2(value.cast("string"), 256).cast("variant")
-        return F.when(secret, digest).otherwise(value)
-
-    inner = F.transform_values(section.cast(_VARIANT_MAP), hashed)
-    return F.to_variant_object(inner)
-
-
-def _by_variant(value: Column, fields: Sequence[str], sections: Sequence[str]) -> Column:
-    def visit(name: Column, part: Column) -> Column:
-        is_section = name.isin(*sections) & F.schema_of_variant(part).startswith("OBJECT")
-        return F.when(is_section, _hash_variant_section(part, fields)).otherwise(part)
-
-    return F.to_json(F.transform_values(F.from_json(value, _VARIANT_MAP), visit))
-
-
-def _last_of_each(entries: Column) -> Column:
-    """Map entries with repeated keys reduced to the last occurrence."""
-    names = F.array_distinct(F.map_keys(entries))
-    pairs = F.map_entries(entries)
-    return F.map_from_entries(
-        F.transform(
-            names,
-            lambda n: F.element_at(F.filter(pairs, lambda e: e["key"] == n), -1),
-        )
+def _sql_list(names: Sequence[str]) -> str:
+    quoted = (name.replace("\\", "\\\\").replace("'", "\\'") for name in names)
+    return ", ".join(f"'{name}'" for name in quoted)
+
+
+def _by_variant(value: str, fields: Sequence[str], sections: Sequence[str]) -> Column:
+    hashed = f"""transform_values(CAST(part AS {_VARIANT_MAP}), (name, x) ->
+        CASE WHEN name IN ({_sql_list(fields)}) AND NOT is_variant_null(x)
+             THEN CAST(sha2(CAST(x AS STRING), 256) AS VARIANT) ELSE x END)"""
+    return F.expr(
+        f"""to_json(transform_values(from_json({value}, '{_VARIANT_MAP}'), (section, part) ->
+        CASE WHEN section IN ({_sql_list(sections)}) AND startswith(schema_of_variant(part), 'OBJECT')
+             THEN to_variant_object({hashed}) ELSE part END))"""
     )
 
 
-def _by_text(value: Column, fields: Sequence[str], sections: Sequence[str]) -> Column:
-    def hashed(name: Column, text: Column) -> Column:
-        return F.when(name.isin(*fields), F.sha2(text, 256)).otherwise(text).cast("variant")
-
-    def visit(name: Column, text: Column) -> Column:
-        inner = F.from_json(text, _TEXT_MAP)
-        rebuilt = F.to_variant_object(F.transform_values(_last_of_each(inner), hashed))
-        is_section = name.isin(*sections) & inner.isNotNull()
-        return F.when(is_section, rebuilt).otherwise(text.cast("variant"))
-
-    # a section that occurs twice stays twice, hashed both times
-    return F.to_json(F.transform_values(F.from_json(value, _TEXT_MAP), visit))
+def _by_text(value: str, fields: Sequence[str], sections: Sequence[str]) -> Column:
+    """A section that occurs twice stays twice, hashed both times; of a key repeated within
+    a section the last occurrence stays."""
+    inner = f"from_json(part, '{_TEXT_MAP}')"
+    last_of_each = f"""map_from_entries(transform(array_distinct(map_keys({inner})),
+        n -> element_at(filter(map_entries({inner}), e -> e.key = n), -1)))"""
+    hashed = f"""transform_values({last_of_each}, (name, x) ->
+        CAST(CASE WHEN name IN ({_sql_list(fields)}) THEN sha2(x, 256) ELSE x END AS VARIANT))"""
+    return F.expr(
+        f"""to_json(transform_values(from_json({value}, '{_TEXT_MAP}'), (section, part) ->
+        CASE WHEN section IN ({_sql_list(sections)}) AND {inner} IS NOT NULL
+             THEN to_variant_object({hashed}) ELSE CAST(part AS VARIANT) END))"""
+    )
 
 
 def scan_schema(
@@ -111,30 +98,29 @@ def _in_place(value: Column, scan: Column, field: str, sections: Sequence[str])
 
 
 def mask_scanned(
-    value: Column,
+    value: str,
     scan: Column,
     fields: Sequence[str] = PII_FIELDS,
     sections: Sequence[str] = ENVELOPE_SECTIONS,
 ) -> Column:
     """``mask_envelope`` for a row whose ``scan_schema`` view is at hand as a column."""
-    mention = value.contains("\\u")
+    text = F.col(value)
+    mention = text.contains("\\u")
     for field in fields:
-        mention = mention | value.contains(field)
-    rebuilt = F.coalesce(
-        _by_variant(value, fields, sections), _by_text(value, fields, sections), value
-    )
+        mention = mention | text.contains(field)
+    rebuilt = F.coalesce(_by_variant(value, fields, sections), _by_text(value, fields, sections), text)
     if len(fields) > 1:
-        return F.when(mention, rebuilt).otherwise(value)
-    exact, swapped = _in_place(value, scan, fields[0], sections)
-    return F.when(exact, swapped).when(mention, rebuilt).otherwise(value)
+        return F.when(mention, rebuilt).otherwise(text)
+    exact, swapped = _in_place(text, scan, fields[0], sections)
+    return F.when(exact, swapped).when(mention, rebuilt).otherwise(text)
 
 
 def mask_envelope(
-    value: Column,
+    value: str,
     fields: Sequence[str] = PII_FIELDS,
     sections: Sequence[str] = ENVELOPE_SECTIONS,
 ) -> Column:
-    """``value`` with each of ``fields`` replaced by its SHA-256 digest in each section.
+    """Column ``value`` with each of ``fields`` replaced by its SHA-256 digest in each section.
 
     NULL and unreadable text pass through. Text that cannot name any of the fields
     (no literal mention, no ``\\u`` escape that could spell one) is not rebuilt at all.

@@ -18,7 +18,7 @@ def stored_bronze(records: DataFrame) -> DataFrame:
     """
     scan = F.from_json("kafka_value", scan_schema()).alias("_scan")
     scanned = changes.project_records(records).select("*", scan)
-    masked = {"kafka_value": mask_scanned(F.col("kafka_value"), F.col("_scan"))}
+    masked = {"kafka_value": mask_scanned("kafka_value", F.col("_scan"))}
     columns = [masked.get(name, F.col(name)).alias(name) for name in schemas.BRONZE.names]
     return scanned.select(*columns, route_of(F.col("_scan.op")).alias("_route"))
 
