@@ -105,7 +105,10 @@ def _merge_resolved(silver: SnapshotTable, resolved: DataFrame, batch_id: int, m
         if not days:
             return None
         stamped = resolved.withColumn("ingested_at", F.current_timestamp())
-        after = changes.apply_changes(base.in_days(days), stamped, mode)
+        if mode == changes.ORDERED:
+            after = merge.merge_upsert(base.in_days(days), stamped.select(*silver.schema.names), key)
+        else:
+            after = changes.apply_changes(base.in_days(days), stamped)
         return silver.commit(after, days, base, batch_id)
     finally:
         hits.unpersist()
