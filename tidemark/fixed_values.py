@@ -5,7 +5,7 @@ from __future__ import annotations
 # --- fixed values: change events -------------------------------------------------------
 UPSERT_OPS = ("c", "u", "r")
 DELETE_OP = "d"
-KNOWN_OPS = ("c", "u", "r", "d")
+KNOWN_OPS = (*UPSERT_OPS, DELETE_OP)
 PII_FIELDS = ("shopper_id",)
 ENVELOPE_SECTIONS = ("before", "after")
 REASON_NULL_OP = "null_op"

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.fixed_values import DELETE_OP, KNOWN_OPS, REASON_NULL_OP, REASON_UNEXPECTED_OP, UPSERT_OPS
+from tidemark.fixed_values import DELETE_OP, KNOWN_OPS, REASON_NULL_OP, REASON_UNEXPECTED_OP
 
 
 def parse_envelope(value: Column) -> Column:
@@ -22,11 +22,3 @@ def route_of(op: Column) -> Column:
         .when(op == DELETE_OP, F.lit("delete"))
         .otherwise(F.lit("upsert"))
     )
-
-
-def is_upsert(op: Column) -> Column:
-    return op.isin(*UPSERT_OPS)
-
-
-def is_delete(op: Column) -> Column:
-    return op == DELETE_OP
