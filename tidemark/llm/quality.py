@@ -214,3 +214,9 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return result.select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text is judged good, with all their columns."""
+    scores = with_score(docs, fit(docs, labels), name="_quality")
+    return scores.where(F.col("_quality") >= 0.5).drop("_quality")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, mixing, quality, simhash, urls, vectors, warc
+from tidemark.llm import chat, decontaminate, lines, mixing, privacy, quality, simhash, urls, vectors, warc
 from tidemark.llm.common import scratch_path, table
 
 #: Relative weights of the mixture; every source that is not named has weight 1.
@@ -62,6 +62,10 @@ def op5_url_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
@@ -72,6 +76,10 @@ def op8_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(docs, TARGETS)
 
 
+def op9_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.digests(privacy.found(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op10_bm25_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -80,7 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_prefix_targets, op2_embedding_pq, op3_quality_cnn, op4_warc_chain, op5_url_logistic,
-        op7_simhash_bktree, op8_poisson_mixing, op10_bm25_decontaminate,
+        op6_line_minhash, op7_simhash_bktree, op8_poisson_mixing, op9_pii_disclosure, op10_bm25_decontaminate,
     )
 }
 

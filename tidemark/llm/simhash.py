@@ -50,14 +50,18 @@ def fingerprint_of(text: str | None, words_per_shingle: int = 4) -> int:
     return int(bits.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)`` of every row."""
-
+def _simhash():
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint_of(x) for x in texts], dtype="int64")
 
-    return docs.select(F.col(id_col).alias("doc_id"), simhash(F.col(text_col).cast("string")).alias("fp"))
+    return simhash
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, fp)`` of every row."""
+
+    return docs.select(F.col(id_col).alias("doc_id"), _simhash()(F.col(text_col).cast("string")).alias("fp"))
 
 
 def _masks(rows: int, radius: int, per_shard: int = 64) -> list[int]:
@@ -161,20 +165,43 @@ def links(fps: DataFrame, radius: int = 4, block: int = 2048) -> DataFrame:
     )
 
 
+def components_of(prints: DataFrame, radius: int = 4) -> DataFrame:
+    """``(fp, root)`` of every fingerprint of ``prints(fp)``; root is the component's smallest one."""
+    distinct = stored(prints.select("fp").distinct(), "distinct")
+    joined = components(links(distinct, radius)).withColumnRenamed("node", "fp")
+    return distinct.join(joined, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame, radius: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``(doc_id, fp, component_id)`` per row; the component's id is its smallest doc_id."""
     prints = stored(fingerprints(docs, id_col, text_col), "fingerprints")
-    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
-    joined = components(links(classes.select("fp"), radius)).withColumnRenamed("node", "fp")
-    rooted = classes.join(joined, "fp", "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root")
-    )
+    lows = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    rooted = stored(components_of(prints, radius).join(lows, "fp"), "roots")
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     named = rooted.join(lowest, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def representatives(docs: DataFrame, radius: int = 4) -> DataFrame:
+    """The one row of ``docs`` that stays of each component: the smallest id, then text digest.
+
+    A row without an id stays only where no row of its component has one. All columns are kept.
+    """
+    digest = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    narrow = docs.select("doc_id", "text", digest.alias("_digest"))
+    prints = stored(narrow.select("doc_id", "_digest", _simhash()(F.col("text").cast("string")).alias("fp")), "fingerprints")
+    rooted = prints.join(components_of(prints, radius), "fp")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_digest")).alias("first")
+    stays = stored(rooted.groupBy("root").agg(first).select("root", F.col("first.doc_id").alias("_id"), F.col("first._digest").alias("_print")), "stays")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (digest == F.col("_print"))
+    kept = docs.join(stays, same)
+    rows = prints.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_print")))
+    if rows.count() > stays.count():  # some rows are repeated in full
+        kept = kept.dropDuplicates(["root"])
+    return kept.select(*[F.col(c) for c in docs.columns])
+
+
 def as_hex(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
