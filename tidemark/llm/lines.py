@@ -56,7 +56,7 @@ def shingles(line: Column | str) -> Column:
 def _exploded(docs: DataFrame, *more: Column) -> DataFrame:
     """Lines that are not blank, with 128 bits of hash that stand for their text."""
     lines = docs.select("doc_id", *more, F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    return lines.where(F.trim("line") != "").withColumns(
+    return lines.where(F.col("line").rlike(r"\S")).withColumns(
         {"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(7), F.col("line"))}
     )
 
