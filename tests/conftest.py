@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from tidemark.session import build_session
+from tidemark.session import build_session, clear_scratch, ensure_checkpoint_dir
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -20,7 +20,10 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
+    left = os.listdir(ensure_checkpoint_dir(session).removeprefix("file:"))
     session.stop()
+    assert left == [], "intermediate data is left in the shared folder"
 
 
 @pytest.fixture(scope="session")

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.checks.queries import QUERIES
 from tidemark.operators import changes
 from tidemark.sources import sample
 
@@ -31,7 +32,7 @@ def log(spark, values, start=0):
 
 def state_of(spark, batches, mode):
     schema = schemas.PAYMENT if mode == changes.REFERENCE else schemas.extend(
-        schemas.PAYMENT, _version=schemas.LONG, _deleted=schemas.T.BooleanType()
+        schemas.PAYMENT, _version=schemas.VERSION, _deleted=schemas.T.BooleanType()
     )
     target, start = spark.createDataFrame([], schema), 0
     for batch in batches:
@@ -144,7 +145,7 @@ def test_ordered_state_does_not_depend_on_batches(spark, events, cut):
 
 def test_late_older_event_does_not_resurrect(spark):
     decode = lambda values, start: changes.decode(log(spark, values, start))
-    schema = schemas.extend(schemas.PAYMENT, _version=schemas.LONG, _deleted=schemas.T.BooleanType())
+    schema = schemas.extend(schemas.PAYMENT, _version=schemas.VERSION, _deleted=schemas.T.BooleanType())
     empty = spark.createDataFrame([], schema)
     late_delete = changes.apply_changes(empty, changes.resolve(decode([event("d", 1)], 9), changes.ORDERED), changes.ORDERED)
     after = changes.apply_changes(late_delete, changes.resolve(decode([event("u", 1)], 3), changes.ORDERED), changes.ORDERED)
@@ -157,3 +158,27 @@ def test_replay_changes_nothing(spark, events):
     values = [event(op, key, i + 1, status) for i, (op, key, status) in enumerate(events)]
     once = state_of(spark, [values], changes.REFERENCE)
     assert state_of(spark, [values, values], changes.REFERENCE) == once
+
+
+def test_newer_event_wins_after_offsets_restart(spark):
+    def batch(value, second, offset):
+        rows = spark.createDataFrame([(value, offset, second)], "kafka_value STRING, kafka_offset BIGINT, s BIGINT")
+        return rows.withColumn("kafka_timestamp", F.timestamp_seconds("s")).drop("s")
+
+    schema = schemas.extend(schemas.PAYMENT, _version=schemas.VERSION, _deleted=schemas.T.BooleanType())
+    state = spark.createDataFrame([], schema)
+    for rows in (batch(event("u", 1, status="pending"), 10, 5000), batch(event("u", 1, status="failed"), 20, 3), batch(event("d", 1), 15, 9000)):
+        state = changes.apply_changes(state, changes.resolve(changes.decode(rows), changes.ORDERED), changes.ORDERED)
+    assert [r.payment_status for r in changes.current_rows(state).collect()] == ["failed"]
+
+
+@pytest.mark.parametrize("name, scans", [("q_affected_hours", 1), ("q_delete_keys", 1), ("q_op_routing", 1), ("q_silver_latest", 1)])
+def test_each_payload_is_parsed_once(spark, data, name, scans):
+    plan = QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == plan.count("FileScan parquet") == scans
+
+
+def test_dropped_tombstones(spark):
+    rows = log(spark, [None, "junk", event("t", 1)])
+    assert changes.dead_letters(rows, 0).count() == 3
+    assert changes.dead_letters(rows, 0, drop_tombstones=True).count() == 2

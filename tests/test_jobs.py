@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from tidemark import schemas
 from tidemark.operators import changes, metrics, quality
 from tidemark.plans import layers
 from tidemark.sinks.deadletter import read_dead_letters, write_dead_letters
-from tidemark.sinks.snapshots import SnapshotTable
+from tidemark.sinks.snapshots import CommitConflict, SnapshotTable
 from tidemark.sources import sample
 from tidemark.sources.records import file_records
 from tidemark.streaming import jobs
@@ -25,12 +26,12 @@ def bag(df):
 
 
 def records_in_order(spark, folder, batches=3):
-    """The record log split by offset into one file per batch."""
+    """The record log split by time into one file per batch; offsets restart on the way."""
     records = sample.record_log(spark, SMALL)
-    last = records.agg(F.max("offset")).first()[0]
+    at = F.unix_seconds("timestamp")
+    first, last = records.agg(F.min(at), F.max(at)).first()
     for i in range(batches):
-        low, high = last * i // batches, last * (i + 1) // batches
-        part = records.where((F.col("offset") >= low + (1 if i else 0)) & (F.col("offset") <= high))
+        part = records.where(F.least(F.floor((at - first) * batches / (last - first)), F.lit(batches - 1)) == i)
         part.coalesce(1).write.mode("append").parquet(folder)
         yield i
 
@@ -40,7 +41,6 @@ def test_layers_fed_in_steps(spark, tmp_path, mode):
     folder = str(tmp_path / "records")
     layout = jobs.Layout(str(tmp_path / "tables"), str(tmp_path / "progress"))
     log = sample.raw_log(spark, SMALL)
-    seen = Counter()
     for step in records_in_order(spark, folder):
         jobs.run_layers(file_records(spark, folder), layout, mode)
         silver = layout.silver(spark, mode)
@@ -64,15 +64,18 @@ def test_layers_fed_in_steps(spark, tmp_path, mode):
     assert letters.select("batch_id").distinct().count() == 3
 
     # nothing new: nothing happens
+    before = silver.snapshot(), layout.gold(spark).snapshot(), silver.log().count()
     jobs.run_layers(file_records(spark, folder), layout, mode)
-    assert silver.snapshot().version == 3 and seen == Counter()
+    after = silver.snapshot(), layout.gold(spark).snapshot(), silver.log().count()
+    assert [s.version for s in after[:2]] == [s.version for s in before[:2]] and after[0].version == 3
+    assert after[0].folders == before[0].folders and after[2] == before[2]
 
 
 def test_steps_equal_batches_in_reference_mode(spark, tmp_path):
     log = sample.raw_log(spark, SMALL)
     layout = jobs.Layout(str(tmp_path / "t"), str(tmp_path / "p"))
-    half = log.agg(F.max("kafka_offset")).first()[0] // 2
-    parts = [log.where(F.col("kafka_offset") <= half), log.where(F.col("kafka_offset") > half)]
+    half = F.lit(datetime(2024, 1, 16))
+    parts = [log.where(F.col("kafka_timestamp") <= half), log.where(F.col("kafka_timestamp") > half)]
     state = layers.silver_state(parts[0])
     for i, part in enumerate(parts):
         jobs.apply_batch(part, i, layout)
@@ -128,27 +131,97 @@ def test_commit_rewrites_only_the_touched_days(spark, tmp_path):
         got = [r[0] for r in spark.createDataFrame([(n,) for n in numbers], "n INT").select(F.date_from_unix_date("n")).collect()]
         return got
 
-    table.commit(rows((1, 0), (2, 1), (3, None)), [*days(0, 1), None], table.snapshot())
-    table.commit(rows((9, 1)), days(1), table.snapshot(), source_version=5)
+    parts = lambda *numbers: table.all_parts(days(*numbers))
+    table.commit(rows((1, 0), (2, 1), (3, None)), [*parts(0, 1), (None, 0)], table.snapshot())
+    table.commit(rows((9, 1)), parts(1), table.snapshot(), source_version=5, source="a")
     assert sorted(r.k for r in table.read().collect()) == [1, 3, 9]
-    assert [f.split("/")[0] for f in table.snapshot().folders].count("v=1") == 2
-    table.commit(rows(), days(0), table.snapshot())
+    assert [f.split("-")[0] for f in table.snapshot().folders.values()].count("v=1") == 2
+    assert table.has_taken("a", 5) and not table.has_taken("b", 5) and not table.has_taken("a", 4)
+    table.commit(rows(), parts(0), table.snapshot())
     assert sorted(r.k for r in table.read().collect()) == [3, 9]
     assert sorted(r.k for r in table.read(version=1).collect()) == [1, 2, 3]
     assert table.changed_days(1, 2) == days(1) and table.snapshot().source_version == 5
     assert [r.k for r in table.snapshot().in_days([None]).collect()] == [3]
     with pytest.raises(ValueError, match="outside"):
-        table.commit(rows((1, 0)), days(3), table.snapshot())
+        table.commit(rows((1, 0)), parts(3), table.snapshot())
+    # of two writers that start from one version, the second is refused and lists nothing
+    base = table.snapshot()
+    table.commit(rows((4, 5)), parts(5), base)
+    with pytest.raises(CommitConflict):
+        table.commit(rows((5, 5)), parts(5), base)
+    assert sorted(r.k for r in table.read().collect()) == [3, 4, 9]
 
 
 def test_merge_reads_one_key_range_and_pruned_days(spark, tmp_path):
     layout = jobs.Layout(str(tmp_path / "t"), str(tmp_path / "p"))
     jobs.apply_batch(sample.raw_log(spark, SMALL), 0, layout)
     base = layout.silver(spark).snapshot()
-    held = base.rows(keep_day=True).where(F.col("payment_id").between(3, 9)).select("payment_id", "_day")
+    held = base.rows(keep_part=True).where(F.col("payment_id").between(3, 9)).select("payment_id", "_day")
     plan = held._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(payment_id,3), LessThanOrEqual(payment_id,9)" in plan
     assert "ReadSchema: struct<payment_id:bigint>" in plan
-    day = base.rows(keep_day=True).select("_day").first()[0]
-    plan = base.in_days([day])._jdf.queryExecution().executedPlan().toString()
-    assert f"(_day" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    part = next(iter(base.folders))
+    assert len({f.rsplit("/", 1)[0] for f in base.in_parts([part]).inputFiles()}) == 1
+
+
+def test_one_row_rewrites_one_part(spark, tmp_path):
+    layout = jobs.Layout(str(tmp_path / "t"), str(tmp_path / "p"))
+    log = sample.raw_log(spark, SMALL)
+    jobs.apply_batch(log, 0, layout)
+    before = layout.silver(spark).snapshot()
+    one = log.where("_route = 'upsert'").limit(1)
+    jobs.apply_batch(one, 1, layout)
+    after = layout.silver(spark).snapshot()
+    moved = {p for p in before.folders.keys() | after.folders.keys() if before.folders.get(p) != after.folders.get(p)}
+    # one part, or two if the row moved to another day
+    assert after.version == 2 and 1 <= len(moved) <= 2 and len(before.folders) > 10
+
+
+@pytest.mark.parametrize("mode", [changes.REFERENCE, changes.ORDERED])
+def test_replay_makes_no_version(spark, tmp_path, mode):
+    layout = jobs.Layout(str(tmp_path / "t"), str(tmp_path / "p"))
+    log = sample.raw_log(spark, SMALL)
+    assert jobs.apply_batch(log, 0, layout, mode) == 1
+    assert jobs.apply_batch(log, 0, layout, mode) is None
+    if mode == changes.ORDERED:  # known outcomes touch nothing even under another batch number
+        assert jobs.apply_batch(log, 1, layout, mode) is None
+    assert layout.silver(spark, mode).snapshot().version == 1
+
+
+def test_gold_covers_the_day_of_rows_without_a_time(spark, tmp_path):
+    layout = jobs.Layout(str(tmp_path / "t"), str(tmp_path / "p"))
+    rows = spark.createDataFrame([(1,)], "payment_id BIGINT").select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) if f.name != "payment_id" else F.col("payment_id") for f in schemas.SILVER.fields]
+    )
+    silver = layout.silver(spark)
+    silver.commit(rows, silver.all_parts([None]), silver.snapshot())
+    jobs.run_gold(spark, layout)
+    assert [(r.payment_hour, r.payment_count) for r in layout.gold(spark).read().collect()] == [(None, 1)]
+
+
+def test_bounded_batches(spark, tmp_path):
+    folder = str(tmp_path / "records")
+    layout = jobs.Layout(str(tmp_path / "tables"), str(tmp_path / "progress"))
+    records = sample.record_log(spark, SMALL)
+    for parity in (0, 1):
+        records.where(F.col("offset") % 2 == parity).coalesce(1).write.mode("append").parquet(folder)
+        jobs.run_bronze(file_records(spark, folder), layout)
+    jobs.run_layers(file_records(spark, folder), layout, changes.ORDERED, max_files_per_trigger=4)
+    silver = layout.silver(spark, changes.ORDERED)
+    assert silver.snapshot().version > 1
+    live = changes.current_rows(silver.read()).select(*COLUMNS)
+    assert bag(live) == bag(layers.silver_state(sample.raw_log(spark, SMALL), changes.ORDERED))
+
+
+def test_dead_letters_before_the_first_batch_and_of_empty_ones(spark, tmp_path):
+    assert read_dead_letters(spark, str(tmp_path / "none")).count() == 0
+    none = changes.dead_letters(spark.createDataFrame([], "kafka_value STRING"), 0)
+    write_dead_letters(none, str(tmp_path), "a", 0)
+    assert not list(tmp_path.glob("_day=*")) and read_dead_letters(spark, str(tmp_path)).count() == 0
+    one = changes.dead_letters(spark.createDataFrame([("junk",)], "kafka_value STRING"), 0)
+    write_dead_letters(one, str(tmp_path), "a", 0)
+    assert len(list(tmp_path.glob("_day=*"))) == 1
+    # the retry of a batch on a later day leaves nothing behind on the first
+    later = one.withColumn("ingested_at", F.lit(datetime(2040, 1, 1)).cast("timestamp"))
+    write_dead_letters(later, str(tmp_path), "a", 0)
+    assert [r.ingested_at.year for r in read_dead_letters(spark, str(tmp_path)).collect()] == [2040]

@@ -78,11 +78,11 @@ samples = st.lists(
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
-@given(points=samples, slices=st.integers(1, 7))
-def test_previous_value_matches_brute_force(spark, points, slices):
+@given(points=samples, size=st.integers(1, 50))
+def test_previous_value_matches_brute_force(spark, points, size):
     rows = [(key, second, i, value) for i, (key, second, value) in enumerate(points)]
     df = spark.createDataFrame(rows, "k STRING, t INT, i INT, v INT")
-    got = series.with_previous(df, ["k"], ["t", "i"], "v", "p", slices)
+    got = series.with_previous(df, ["k"], ["t", "i"], "v", "p", size)
     last, expected = {}, {}
     for key, _, i, value in sorted(rows, key=lambda r: (r[1], r[2])):
         expected[i] = last.get(key)
@@ -92,7 +92,7 @@ def test_previous_value_matches_brute_force(spark, points, slices):
 
 def test_hot_series_is_spread_over_tasks(spark):
     df = spark.range(20_000).select(F.lit("hot").alias("k"), F.col("id").alias("t"), (F.col("id") % 7).alias("v"))
-    got = series.with_previous(df, ["k"], ["t"], "v", "p", slices=8)
+    got = series.with_previous(df, ["k"], ["t"], "v", "p", rows_per_slice=2_500)
     sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 20_000 and got.where(F.col("p").isNull()).count() == 1
     assert got.where(F.col("p") != (F.col("t") + 6) % 7).isEmpty()
@@ -103,3 +103,19 @@ def test_counter_restart(spark):
     df = spark.createDataFrame(rows, "s STRING, sec INT, v INT").withColumn("ts", F.timestamp_seconds("sec"))
     got = series.counter_rate(df, ["s"], "ts", "v").orderBy("window_start").collect()
     assert [r.rate for r in got] == [pytest.approx(35 / 300), pytest.approx(15 / 300)]
+
+
+def test_null_sample_does_not_break_the_chain(spark):
+    rows = [("s", 0, 10), ("s", 60, None), ("s", 120, 40)]
+    df = spark.createDataFrame(rows, "s STRING, sec INT, v INT").withColumn("ts", F.timestamp_seconds("sec"))
+    assert [r.rate for r in series.counter_rate(df, ["s"], "ts", "v").collect()] == [pytest.approx(30 / 300)]
+
+
+def test_slices_keep_their_size(spark, monkeypatch):
+    stored, settle = [], series.settle
+    monkeypatch.setattr(series, "settle", lambda df, label: stored.append(settle(df, label)) or stored[-1])
+    for rows in (4_000, 40_000):
+        df = spark.range(rows).select(F.lit("hot").alias("k"), F.col("id").alias("t"), (F.col("id") % 7).alias("v"))
+        assert series.with_previous(df, ["k"], ["t"], "v", "p", rows_per_slice=2_000).count() == rows
+        sizes = [r["count"] for r in stored[-1].groupBy("_slice").count().collect()]
+        assert sum(sizes) == rows and max(sizes) < 4_000

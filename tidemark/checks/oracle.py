@@ -29,7 +29,9 @@ cdc AS (
     first_created,
     CASE WHEN event_id % 29 = 3 THEN ts - INTERVAL 2 HOUR
       WHEN event_id % 31 = 1 THEN date_trunc('day', ts) ELSE ts END AS updated_raw,
-    CAST(payment_id % 3 AS INTEGER) AS kafka_partition, event_id AS kafka_offset, ts AS kafka_timestamp
+    CAST(payment_id % 3 AS INTEGER) AS kafka_partition,
+    CASE WHEN ts < TIMESTAMP '2024-01-20' THEN event_id + 1300000000 ELSE event_id END AS kafka_offset,
+    ts AS kafka_timestamp
   FROM keyed
 ),
 ups AS (
@@ -64,11 +66,12 @@ _ORDERED = (
     _CDC
     + """,
 ends AS (
-  SELECT payment_id, max(kafka_offset) AS last_offset FROM cdc
-  WHERE op IN ('c', 'u', 'r', 'd') GROUP BY payment_id
+  SELECT payment_id, kafka_timestamp, kafka_offset FROM cdc WHERE op IN ('c', 'u', 'r', 'd')
+  QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY kafka_timestamp DESC, kafka_offset DESC) = 1
 ),
 state AS (
-  SELECT u.* FROM ups u JOIN ends e ON u.payment_id = e.payment_id AND u.kafka_offset = e.last_offset
+  SELECT u.* FROM ups u JOIN ends e ON u.payment_id = e.payment_id AND u.kafka_timestamp = e.kafka_timestamp
+    AND u.kafka_offset = e.kafka_offset
 )"""
 )
 
@@ -242,8 +245,10 @@ WHERE payment_id IS NOT NULL GROUP BY payment_id HAVING count(*) > 1""",
     + ", ".join(f"CASE WHEN {test} THEN '{name}' END" for name, test in _RULES.items())
     + """], lambda r: r IS NOT NULL)), ',') AS broken_rules FROM dirty)
 SELECT broken_rules, count(*) AS n FROM judged WHERE broken_rules <> '' GROUP BY broken_rules""",
-    "q_fk_orphans": f"""SELECT l_orderkey, count(*) AS child_rows FROM lineitem
-WHERE l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {_OLD} o WHERE o.o_orderkey = l_orderkey)
+    "q_fk_orphans": """WITH lines AS (
+  SELECT CASE WHEN l_orderkey % 97 = 0 THEN -l_orderkey ELSE l_orderkey END AS l_orderkey FROM lineitem)
+SELECT l_orderkey, count(*) AS child_rows FROM lines
+WHERE l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l_orderkey)
 GROUP BY l_orderkey""",
     "q_schema_drift": """SELECT 'events' AS table_name, 'event_type' AS column_name, count(event_type) AS filled_rows FROM events
 UNION ALL SELECT 'events', 'props', count(props) FROM events""",
@@ -306,12 +311,17 @@ SELECT * REPLACE (
   CASE WHEN shopper_id = 7 THEN TIMESTAMP '2024-02-01 12:34:56' ELSE updated_at END AS updated_at)
 FROM pay""",
     "q_insert_if_absent": f"""SELECT * FROM {_OLD}
-UNION ALL SELECT * FROM {_NEW} n WHERE NOT EXISTS (SELECT 1 FROM {_OLD} o WHERE o.o_orderkey = n.o_orderkey)""",
+UNION ALL SELECT * FROM {_NEW} n WHERE n.o_orderkey % 101 <> 0
+  AND NOT EXISTS (SELECT 1 FROM {_OLD} o WHERE o.o_orderkey = n.o_orderkey)
+UNION ALL SELECT n.* REPLACE (NULL AS o_orderkey, o_totalprice + more AS o_totalprice)
+FROM {_NEW} n, unnest([0, 1]) AS m(more) WHERE o_orderkey % 101 = 0""",
     "q_change_feed": f"""SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey,
   CASE WHEN o.o_orderkey IS NULL THEN 'c' WHEN n.o_orderkey IS NULL THEN 'd' ELSE 'u' END AS op,
-  o.o_orderstatus AS old_status, n.o_orderstatus AS new_status, epoch_us(n.o_orderdate) AS new_date_micros
+  o.o_orderstatus AS old_status, n.o_orderstatus AS new_status,
+  CASE WHEN n.o_orderpriority = '1-URGENT' THEN 'yes' END AS new_rush, epoch_us(n.o_orderdate) AS new_date_micros
 FROM {_OLD} o FULL JOIN {_NEW} n ON o.o_orderkey = n.o_orderkey
-WHERE o.o_orderkey IS NULL OR n.o_orderkey IS NULL OR o.o_orderstatus <> n.o_orderstatus""",
+WHERE o.o_orderkey IS NULL OR n.o_orderkey IS NULL OR o.o_orderstatus <> n.o_orderstatus
+  OR n.o_orderpriority = '1-URGENT'""",
     "q_snapshot_feed": "SELECT o_orderkey, 'r' AS op, o_totalprice FROM orders",
     "q_seed_payments": f"""WITH {_SEED}
 SELECT * FROM seeded
@@ -329,7 +339,9 @@ SELECT 9100 + payment_id AS refund_id, payment_id, amount AS refund_amount,
   CASE payment_id % 4 WHEN 0 THEN 'requested_by_customer' WHEN 1 THEN 'duplicate'
     WHEN 2 THEN 'suspected_fraud' ELSE 'inventory_shortfall' END AS refund_reason,
   updated_at + INTERVAL 30 MINUTE AS created_at
-FROM seeded WHERE payment_status = 'refunded'""",
+FROM seeded WHERE payment_status = 'refunded' AND payment_id BETWEEN 2001 AND 2000 + (SELECT max(n) FROM numbers)
+  AND 9100 + payment_id <> 9001
+UNION ALL SELECT 9001, 1004, 44.25, 'duplicate', TIMESTAMP '2024-02-01 11:34:56'""",
     "q_state_counts": "SELECT "
     + ", ".join(
         f"count(*) FILTER (WHERE event_type = '{s}') AS {s}"
@@ -344,12 +356,14 @@ WHERE event_type <> 'error' AND value IS NOT NULL GROUP BY user_id""",
     "q_counter_rate": """WITH paired AS (
   SELECT event_type, ts, CAST(value AS DECIMAL(12,2)) AS value,
     lag(CAST(value AS DECIMAL(12,2))) OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) AS previous
-  FROM events)
+  FROM events WHERE event_id % 17 <> 0 AND value IS NOT NULL)
 SELECT event_type, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
   sum(CASE WHEN value >= previous THEN value - previous ELSE value END)::DOUBLE / 300 AS rate
 FROM paired WHERE previous IS NOT NULL GROUP BY 1, 2""",
     "q_stream_silver": f"WITH {_ORDERED} SELECT {_PAYMENT} FROM state",
     "q_stream_gold": f"WITH {_STATE} {_gold('state')}",
+    "q_stream_gold_events": f"WITH {_TWO_BATCHES} {_gold('state')}",
+    "q_silver_version": f"WITH {_TWO_BATCHES} SELECT * FROM after_first",
     "q_stream_dlq": f"""WITH {_CDC}
 SELECT CASE WHEN op IS NULL THEN 'null_op' ELSE 'unexpected_op' END AS error_reason, count(*) AS n
 FROM cdc WHERE op IS NULL OR op NOT IN ('c', 'u', 'r', 'd') GROUP BY 1""",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import datetime
 from decimal import Decimal
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.operators import changes, drift, feed, merge, metrics, quality, series
 from tidemark.plans import layers, normalize, seed
-from tidemark.session import ensure_checkpoint_dir, settle
+from tidemark.session import scratch_folder, settle
 from tidemark.sinks.deadletter import read_dead_letters
 from tidemark.sources import sample
 from tidemark.sources.records import file_records
@@ -177,13 +176,15 @@ def q_silver_two_batches(spark, d):
 
 
 def _two_batches(spark, d):
-    """State after the first batch, outcomes of the second, state after it."""
-    log = _log(spark, d)
+    """State after the first batch, events and outcomes of the second, state after it.
+
+    The log is read and parsed once; what several steps read is stored.
+    """
+    decoded = settle(_decoded(spark, d).drop("kafka_value"), "decoded")
     late = F.col("kafka_timestamp") >= F.lit(SPLIT)
-    first = settle(layers.silver_state(log.where(~late)))
-    decoded = changes.decode(log.where(late))
-    resolved = changes.resolve(decoded)
-    return first, decoded, resolved, changes.apply_changes(first, resolved)
+    first = settle(layers.live_after(decoded.where(~late)), "first")
+    resolved = settle(changes.resolve(decoded.where(late)), "resolved")
+    return first, decoded.where(late), resolved, changes.apply_changes(first, resolved)
 
 
 # --- quality and drift -----------------------------------------------------------------
@@ -208,9 +209,9 @@ def q_quarantine(spark, d):
 
 @query
 def q_fk_orphans(spark, d):
-    return quality.fk_orphans(
-        sample.load(spark, d, "lineitem"), _old_orders(spark, d), "l_orderkey", "o_orderkey"
-    )
+    key = F.col("l_orderkey")
+    lines = sample.load(spark, d, "lineitem").withColumn("l_orderkey", F.when(key % 97 == 0, -key).otherwise(key))
+    return quality.fk_orphans(lines, sample.load(spark, d, "orders"), "l_orderkey", "o_orderkey")
 
 
 @query
@@ -241,7 +242,7 @@ def q_gold_hourly(spark, d):
 def q_gold_incremental(spark, d):
     first, decoded, resolved, state = _two_batches(spark, d)
     old_gold = metrics.hourly_metrics(first)
-    state = settle(state)
+    state = settle(state, "state")
     replaced = first.join(resolved.select(changes.KEY), changes.KEY, "left_semi")
     hours = (
         metrics.affected_hours(decoded, both_images=True)
@@ -382,12 +383,17 @@ def q_update_by_key(spark, d):
 def q_insert_if_absent(spark, d):
     new = _new_orders(spark, d)
     doubled = new.union(new.withColumn("o_totalprice", F.col("o_totalprice") + 1))
-    return merge.insert_if_absent(_old_orders(spark, d), doubled, "o_orderkey", ["o_totalprice"])
+    key = F.when(F.col("o_orderkey") % 101 != 0, F.col("o_orderkey"))
+    return merge.insert_if_absent(
+        _old_orders(spark, d), doubled.withColumn("o_orderkey", key), "o_orderkey", ["o_totalprice"]
+    )
 
 
 @query
 def q_change_feed(spark, d):
-    changed = feed.change_feed(_old_orders(spark, d), _new_orders(spark, d), "o_orderkey")
+    rush = F.when(F.col("o_orderpriority") == "1-URGENT", "yes").alias("o_rush")
+    new = _new_orders(spark, d).select("*", rush)
+    changed = feed.change_feed(_old_orders(spark, d), new, "o_orderkey")
     logged = feed.to_envelopes(changed, "o_orderkey")
 
     def part(path: str):
@@ -398,6 +404,7 @@ def q_change_feed(spark, d):
         part("$.op").alias("op"),
         part("$.before.o_orderstatus").alias("old_status"),
         part("$.after.o_orderstatus").alias("new_status"),
+        part("$.after.o_rush").alias("new_rush"),
         part("$.after.o_orderdate").cast("bigint").alias("new_date_micros"),
     )
 
@@ -411,10 +418,13 @@ def q_snapshot_feed(spark, d):
 # --- demo data -------------------------------------------------------------------------
 
 
+def _numbers(spark, d):
+    return _events(spark, d).select((F.col("event_id") + 1).alias("n"))
+
+
 def _seeded(spark, d):
     base = F.lit(SEED_BASE).cast("timestamp")
-    numbers = _events(spark, d).select((F.col("event_id") + 1).alias("n"))
-    generated = seed.generated_payments(numbers, base)
+    generated = seed.generated_payments(_numbers(spark, d), base)
     return merge.insert_if_absent(seed.literal_payments(spark, base), generated, "payment_id")
 
 
@@ -425,7 +435,8 @@ def q_seed_payments(spark, d):
 
 @query
 def q_seed_refunds(spark, d):
-    return seed.refunds_for(_seeded(spark, d).where(F.col("payment_id") > 2000))
+    length = _numbers(spark, d).agg(F.max("n")).scalar()
+    return seed.demo_refunds(spark, _seeded(spark, d), F.lit(SEED_BASE).cast("timestamp"), length)
 
 
 # --- metric series ---------------------------------------------------------------------
@@ -452,7 +463,8 @@ def q_sum_latest(spark, d):
 
 @query
 def q_counter_rate(spark, d):
-    samples = _events(spark, d).withColumn("value", F.col("value").cast("decimal(12,2)"))
+    known = F.when(F.col("event_id") % 17 != 0, F.col("value").cast("decimal(12,2)"))
+    samples = _events(spark, d).withColumn("value", known)
     return series.counter_rate(
         samples, ["event_type", "user_id"], "ts", "value", by=["event_type"], order=["event_id"]
     )
@@ -464,7 +476,7 @@ def q_counter_rate(spark, d):
 def _streamed(spark, d, mode):
     """All three layers run over the stored record files as streams."""
     _events(spark, d)
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "stream")
     layout = jobs.Layout(f"{folder}/tables", f"{folder}/progress")
     jobs.run_layers(file_records(spark, sample.record_folder(spark, d)), layout, mode)
     return layout
@@ -481,6 +493,36 @@ def q_stream_gold(spark, d):
     return _streamed(spark, d, changes.REFERENCE).gold(spark).read()
 
 
+@query
+def q_stream_gold_events(spark, d):
+    """Metrics refreshed by the hours that events name, batch by batch, then by what silver changed."""
+    _events(spark, d)
+    folder = scratch_folder(spark, "stream")
+    layout = jobs.Layout(f"{folder}/tables", f"{folder}/progress")
+    records = sample.record_log(spark, d)
+    late = F.col("timestamp") >= F.lit(SPLIT)
+    for part in (records.where(~late), records.where(late)):
+        part.write.mode("append").parquet(f"{folder}/records")
+        jobs.run_bronze(file_records(spark, f"{folder}/records"), layout)
+        jobs.run_silver(spark, layout)
+        jobs.run_gold_from_events(spark, layout)
+    jobs.run_gold(spark, layout)
+    return layout.gold(spark).read()
+
+
+@query
+def q_silver_version(spark, d):
+    """Silver as of its first commit, read after the second."""
+    _events(spark, d)
+    folder = scratch_folder(spark, "stream")
+    layout = jobs.Layout(f"{folder}/tables", f"{folder}/progress")
+    log = _log(spark, d)
+    late = F.col("kafka_timestamp") >= F.lit(SPLIT)
+    for number, part in enumerate((log.where(~late), log.where(late))):
+        jobs.apply_batch(part, number, layout)
+    return layout.silver(spark).read(version=1).select(*schemas.PAYMENT.names)
+
+
 @query
 def q_stream_dlq(spark, d):
     letters = read_dead_letters(spark, _streamed(spark, d, changes.REFERENCE).dead_letters)

@@ -2,8 +2,8 @@
 
 Three ways, tried in this order per row:
 
-1. *In place.* If every mention of the field in the text is accounted for by the parsed
-   sections, its value token is swapped inside the text; all else stays byte for byte.
+1. *In place.* If every mention of each field in the text is accounted for by the parsed
+   sections, the value tokens are swapped inside the text; all else stays byte for byte.
 2. *By variant.* The payload is rebuilt from ``map<string, variant>``, so fields this code
    knows nothing about keep their types.
 3. *From text.* A payload that VARIANT refuses (repeated keys) but the lenient parser reads
@@ -109,10 +109,14 @@ def mask_scanned(
     for field in fields:
         mention = mention | text.contains(field)
     rebuilt = F.coalesce(_by_variant(value, fields, sections), _by_text(value, fields, sections), text)
-    if len(fields) > 1:
-        return F.when(mention, rebuilt).otherwise(text)
-    exact, swapped = _in_place(text, scan, fields[0], sections)
-    return F.when(exact, swapped).when(mention, rebuilt).otherwise(text)
+    all_exact, masked = F.lit(True), text
+    for field in fields:
+        # a swap changes values only, so the counts of the next field still hold
+        exact, swapped = _in_place(masked, scan, field, sections)
+        named = text.contains(field)
+        all_exact, masked = all_exact & (~named | exact), F.when(named, swapped).otherwise(masked)
+    in_place = mention & F.coalesce(all_exact & ~text.contains("\\"), F.lit(False))
+    return F.when(in_place, masked).when(mention, rebuilt).otherwise(text)
 
 
 def mask_envelope(

@@ -32,14 +32,17 @@ def with_route(raw_log: DataFrame) -> DataFrame:
     """Add where each event goes, unless the log already stores it."""
     if "_route" in raw_log.columns:
         return raw_log
-    return raw_log.withColumn("_route", route_of(parse_envelope(F.col("kafka_value"))["op"]))
+    parsed = raw_log.withColumn("_operation", F.from_json("kafka_value", "op STRING"))
+    return parsed.withColumn("_route", route_of(F.col("_operation.op"))).drop("_operation")
 
 
 def decode(raw_log: DataFrame, precision: str = "second") -> DataFrame:
     """Parse each envelope once; add route, key, typed payload and both creation times."""
     stored = [c for c in ("_route",) if c in raw_log.columns]
+    logged_at = F.col("kafka_timestamp") if "kafka_timestamp" in raw_log.columns else F.lit(None).cast("timestamp")
     parsed = raw_log.select(
-        "kafka_value", "kafka_offset", *stored, parse_envelope(F.col("kafka_value")).alias("_envelope")
+        "kafka_value", "kafka_offset", logged_at.alias("kafka_timestamp"), *stored,
+        parse_envelope(F.col("kafka_value")).alias("_envelope"),
     )
     after, before = F.col("_envelope.after"), F.col("_envelope.before")
     route = F.col("_route") if stored else route_of(F.col("_envelope.op"))
@@ -47,7 +50,7 @@ def decode(raw_log: DataFrame, precision: str = "second") -> DataFrame:
     return parsed.select(
         "kafka_value",
         "kafka_offset",
-        F.col("_envelope.op").alias("_op"),
+        "kafka_timestamp",
         route.alias("_route"),
         before_id.alias("_before_id"),
         micros_to_timestamp(before["created_at"], precision).alias("_before_created_at"),
@@ -94,16 +97,18 @@ def latest_per_key_by_max(df: DataFrame, key: str | Sequence[str], order: Sequen
 
 
 def delete_keys(decoded: DataFrame) -> DataFrame:
-    """Keys named by delete events; a delete without a readable key names none."""
-    return decoded.where((F.col("_route") == "delete") & F.col("_before_id").isNotNull()).select(
-        F.col("_before_id").alias(KEY)
-    )
+    """Keys named by delete events; a delete without a readable key gives NULL, which names none.
+
+    Only the stored route is filtered on, so every payload is parsed once.
+    """
+    return decoded.where(F.col("_route") == "delete").select(F.col("_before_id").alias(KEY))
 
 
 def _outcome_input(decoded: DataFrame) -> DataFrame:
-    """Upserts and deletes in one shape. ``_version`` is the offset.
+    """Upserts and deletes in one shape. ``_version`` is (time of the record, offset).
 
-    A delete without a readable key names nothing: its ``_version`` is NULL, which loses
+    Offsets start anew when a topic is made again or a key moves to another partition, so the
+    time of the record comes first. A delete without a readable key names nothing: its ``_version`` is NULL, which loses
     against every other event. (A filter on the key here would be pushed to the scan and
     parse every payload a second time.)
     """
@@ -112,10 +117,11 @@ def _outcome_input(decoded: DataFrame) -> DataFrame:
     created = F.when(is_delete, F.col("_before_created_at")).otherwise(F.col("created_at"))
     rest = [c for c in schemas.PAYMENT.names if c not in (KEY, "created_at")]
     shaped = decoded.where(F.col("_route").isin("upsert", "delete")).select(
-        key.alias(KEY), *rest, created.alias("created_at"), is_delete.alias("_deleted"), "kafka_offset"
+        key.alias(KEY), *rest, created.alias("created_at"), is_delete.alias("_deleted"), "kafka_timestamp", "kafka_offset"
     )
     named = ~(F.col("_deleted") & F.col(KEY).isNull())
-    return shaped.withColumn("_version", F.when(named, F.col("kafka_offset"))).drop("kafka_offset")
+    version = F.struct(F.col("kafka_timestamp").alias("at"), F.col("kafka_offset").alias("offset"))
+    return shaped.withColumn("_version", F.when(named, version)).drop("kafka_timestamp", "kafka_offset")
 
 
 def resolve(decoded: DataFrame, mode: str = REFERENCE) -> DataFrame:
@@ -123,7 +129,7 @@ def resolve(decoded: DataFrame, mode: str = REFERENCE) -> DataFrame:
 
     ``reference``: the newest upsert by (updated_at, offset), and any delete in the batch
     removes the key whatever its position.
-    ``ordered``: the last event by offset decides, delete or not.
+    ``ordered``: the last event by (record time, offset) decides, delete or not.
 
     Upserts and deletes share a single shuffle by key, and the repeated events of a key
     shrink to one row per map task before it.
@@ -135,7 +141,7 @@ def resolve(decoded: DataFrame, mode: str = REFERENCE) -> DataFrame:
     elif mode == REFERENCE:
         upserted = ~F.col("_deleted")
         newest = F.max_by(
-            F.when(upserted, F.struct(*rest)), F.when(upserted, F.struct("updated_at", "_version"))
+            F.when(upserted, F.struct(*rest)), F.when(upserted, F.struct("updated_at", F.col("_version.offset")))
         )
         outcome = (
             events.groupBy(KEY)
@@ -189,13 +195,18 @@ def current_rows(versioned: DataFrame) -> DataFrame:
     return versioned.where(~F.col("_deleted")).drop("_deleted", "_version")
 
 
-def dead_letters(decoded: DataFrame, batch_id: int | Column, clock: Column | None = None) -> DataFrame:
-    """Events turned away, with the reason. NULL-valued tombstones are among them.
+def dead_letters(
+    decoded: DataFrame, batch_id: int | Column, clock: Column | None = None, drop_tombstones: bool = False
+) -> DataFrame:
+    """Events turned away, with the reason. NULL-valued tombstones are among them unless dropped.
 
     Takes the raw log or its decoded form; needs the value and its route.
     """
     batch = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
-    return with_route(decoded).where(~F.col("_route").isin("upsert", "delete")).select(
+    turned_away = with_route(decoded).where(~F.col("_route").isin("upsert", "delete"))
+    if drop_tombstones:
+        turned_away = turned_away.where(F.col("kafka_value").isNotNull())
+    return turned_away.select(
         "kafka_value",
         batch.cast("long").alias("batch_id"),
         F.col("_route").alias("error_reason"),

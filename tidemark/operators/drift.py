@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.fixed_values import CONTRACTS
+from tidemark.sources.catalog import columns_of
 
 Contracts = Mapping[str, tuple[Iterable[str], Iterable[str]]]
 
@@ -52,18 +53,17 @@ def check_drift(columns: DataFrame, contract: DataFrame) -> None:
 def drifted_fill(df: DataFrame, table: str, contracts: Contracts) -> DataFrame:
     """For each undecided column of ``df``: how many rows already carry a value in it.
 
-    Only the undecided columns are read.
+    The undecided columns are those that ``schema_drift`` finds: the frame's columns against
+    the contract table. Their names reach the driver, and only they are read, in one pass.
     """
-    mapped, excluded = contracts[table]
-    loose = sorted(set(df.columns) - set(mapped) - set(excluded))
+    spark = df.sparkSession
+    drifted = schema_drift(columns_of({table: df}), contract_table(spark, {table: contracts[table]}))
+    loose = [row.column_name for row in drifted.collect()]
     if not loose:
-        return df.sparkSession.createDataFrame([], "table_name STRING, column_name STRING, filled_rows BIGINT")
-    filled = df.agg(*[F.count(c).alias(c) for c in loose])
-    return (
-        filled.unpivot([], loose, "column_name", "filled_rows")
-        .select(F.lit(table).alias("table_name"), "column_name", "filled_rows")
-        .orderBy("column_name")
-    )
+        return drifted.withColumn("filled_rows", F.lit(0).cast("bigint"))
+    counted = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in loose])
+    filled = counted.unpivot([], loose, "column_name", "filled_rows")
+    return drifted.join(filled, "column_name").select("table_name", "column_name", "filled_rows").orderBy("column_name")
 
 
 def payload_drift(raw_log: DataFrame, known: Iterable[str], section: str = "after") -> DataFrame:

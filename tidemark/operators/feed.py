@@ -4,26 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _columns_of_both(old: DataFrame, new: DataFrame) -> list[tuple[str, T.DataType]]:
+    """Columns of either side, the old ones first; a column whose type differs is an error."""
+    kinds = {f.name: f.dataType for f in old.schema.fields}
+    for field in new.schema.fields:
+        if kinds.setdefault(field.name, field.dataType) != field.dataType:
+            raise ValueError(f"column {field.name} is {kinds[field.name].simpleString()} and {field.dataType.simpleString()}")
+    return list(kinds.items())
 
 
 def change_feed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Rows ``(key, op, before, after)`` that turn ``old`` into ``new``; equal rows are left out.
 
-    The key is unique on both sides, so the outer join cannot skew.
+    A column that one side lacks is NULL there, so an added or removed column shows as a change
+    wherever it holds a value. Both sides meet in one grouping by key, which also finds a key
+    that repeats on a side: an error. A row without a key is not the same as any other: it is
+    a delete if old, a create if new.
     """
-    columns = old.columns
-    left = old.select(F.col(key), F.struct(*columns).alias("before"))
-    right = new.select(F.col(key), F.struct(*columns).alias("after"))
+    columns = _columns_of_both(old, new)
+
+    def image(df: DataFrame) -> Column:
+        return F.struct(*[(F.col(n) if n in df.columns else F.lit(None).cast(t)).alias(n) for n, t in columns])
+
+    kind = T.StructType([T.StructField(n, t) for n, t in columns])
+    nothing = F.lit(None).cast(kind)
+    left = old.select(F.col(key), image(old).alias("before"), nothing.alias("after"))
+    right = new.select(F.col(key), nothing.alias("before"), image(new).alias("after"))
+    both = left.unionByName(right)
+    met = both.where(F.col(key).isNotNull()).groupBy(key).agg(
+        *[F.any_value(side, ignoreNulls=True).alias(side) for side in ("before", "after")],
+        F.greatest(F.count("before"), F.count("after")).alias("_times"),
+    )
+    repeated = F.raise_error(F.concat(F.lit(f"a side repeats {key} = "), F.col(key).cast("string"))).cast("string")
     op = (
-        F.when(F.col("before").isNull(), "c")
+        F.when(F.col("_times") > 1, repeated)
+        .when(F.col("before").isNull(), "c")
         .when(F.col("after").isNull(), "d")
         .when(~F.col("before").eqNullSafe(F.col("after")), "u")
     )
-    return (
-        left.join(right, key, "full_outer")
-        .select(key, op.alias("op"), "before", "after")
-        .where(F.col("op").isNotNull())
-    )
+    paired = met.select(key, op.alias("op"), "before", "after").where(F.col("op").isNotNull())
+    alone = F.when(F.col("before").isNull(), "c").otherwise("d")
+    return paired.unionByName(both.where(F.col(key).isNull()).select(key, alone.alias("op"), "before", "after"))
 
 
 def snapshot_feed(table: DataFrame, key: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Row-level changes as joins over immutable DataFrames.
 
-Keys are unique in a target and in the rows merged into it. The complement of a semi-join
-is always ``left_anti``: NULL keys in the target survive, as they do under ``IN``.
+Keys are unique in a target. The complement of a semi-join is always ``left_anti``: NULL keys
+in the target survive, as they do under ``IN``.
 """
 
 from __future__ import annotations
@@ -16,10 +16,36 @@ def _names(columns: str | Sequence[str]) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
 
 
+def same_columns(left: DataFrame, right: DataFrame) -> None:
+    """Raise unless both sides have the same columns; their order does not matter."""
+    apart = set(left.columns) ^ set(right.columns)
+    if apart:
+        raise ValueError(f"columns of one side only: {sorted(apart)}")
+
+
+def once_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The non-NULL keys of ``source``, each once; a key that repeats fails the job.
+
+    The check rides on the shuffle by key and cannot be pruned: the key itself depends on it.
+    """
+    known = source.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("_times"))
+
+    def guarded(name: str) -> Column:
+        text = F.concat(F.lit(f"the source repeats {'/'.join(keys)} = "), F.concat_ws("/", *[F.col(k).cast("string") for k in keys]))
+        repeats = F.raise_error(text).cast(source.schema[name].dataType)
+        return F.when(F.col("_times") > 1, repeats).otherwise(F.col(name)).alias(name)
+
+    return known.select(*[guarded(k) for k in keys])
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Matched rows replaced, unmatched rows added."""
+    """Matched rows replaced, unmatched rows added. A key that the source repeats is an error.
+
+    A NULL key matches nothing: such rows of the source are added.
+    """
+    same_columns(target, source)
     keys = _names(key)
-    return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
+    return target.join(once_per_key(source, keys), keys, "left_anti").unionByName(source)
 
 
 def delete_by_key(target: DataFrame, gone: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -40,16 +66,24 @@ def update_where(target: DataFrame, condition: Column, assignments: Mapping[str,
 
 
 def insert_if_absent(
-    target: DataFrame, new: DataFrame, key: str, order: Sequence[str] = ()
+    target: DataFrame, new: DataFrame, key: str | Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
     """Rows of ``new`` whose key ``target`` lacks are added.
 
-    Of several new rows with one key the first by ``order`` (then by all columns) is kept.
+    Of several new rows with one key the first by ``order`` (then by all columns) is kept. A key
+    with a NULL in it equals no other: all such rows are added. They pass by the grouping, so
+    however many there are they do not meet in one task.
     """
-    rest = [c for c in new.columns if c != key and c not in order]
+    same_columns(target, new)
+    keys = _names(key)
+    rest = [c for c in new.columns if c not in keys and c not in order]
     first = F.min(F.struct(*order, *rest)).alias("_first")
-    once = new.groupBy(key).agg(first).select(key, "_first.*").select(*target.columns)
-    return target.unionByName(once.join(target.select(key), key, "left_anti"))
+    whole = F.lit(True)
+    for name in keys:
+        whole = whole & F.col(name).isNotNull()
+    once = new.where(whole).groupBy(*keys).agg(first).select(*keys, "_first.*")
+    added = once.join(target.select(*keys).distinct(), keys, "left_anti")
+    return target.unionByName(added).unionByName(new.where(~whole))
 
 
 def replace_groups(

@@ -67,9 +67,12 @@ def affected_hours(decoded: DataFrame, both_images: bool = False) -> DataFrame:
     if both_images:
         times = decoded.select(F.explode(F.array(old, new)).alias("_at"))
     else:
-        times = decoded.select(F.when(F.col("_op") == "d", old).otherwise(new).alias("_at"))
+        times = decoded.select(F.when(F.col("_route") == "delete", old).otherwise(new).alias("_at"))
     hour = F.date_trunc("hour", F.col("_at")).alias("payment_hour")
-    return times.select(hour).where(F.col("payment_hour").isNotNull()).distinct()
+    # the NULL hour goes after the grouping, tied to its count: a plain filter would be pushed
+    # to the scan and carry copies of the parse with it
+    hours = times.select(hour).groupBy("payment_hour").agg(F.count("*").alias("_n"))
+    return hours.where(F.when(F.col("_n") > 0, F.col("payment_hour")).isNotNull()).select("payment_hour")
 
 
 def in_hours(payments: DataFrame, hours: DataFrame) -> DataFrame:

@@ -21,22 +21,20 @@ def sum_latest(samples: DataFrame, series: Sequence[str], value: str, order: Seq
 
 
 def with_previous(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, slices: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, rows_per_slice: int = 2_000_000
 ) -> DataFrame:
     """Add ``name``: ``value`` of the row before, by ``order`` within ``keys``.
 
     A plain ``lag`` would put every row of a key into one task. Here rows are range-split
     by key and order, so a long series spans many slices; ``lag`` runs inside a slice, and
     the last row of each slice is repeated at the head of the key's next one. Those
-    repeated rows number at most one per slice and key. The split is written out once,
-    because two evaluations of a sampled range split need not agree.
+    repeated rows number at most one per slice and key. Slices are cut to
+    ``rows_per_slice`` rows of the whole input, so a slice keeps its size as the input grows.
+    The split is written out once, because two evaluations of a sampled range split need not agree.
     """
-    spark = df.sparkSession
-    slices = slices or max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
-    )
+    slices = max(1, -(-df.count() // rows_per_slice))
     ranged = df.repartitionByRange(slices, *keys, *order).withColumn("_slice", F.spark_partition_id())
-    sliced = settle(ranged)
+    sliced = settle(ranged, "slices")
 
     tail = F.max_by(F.struct(*order, value), F.struct(*order)).alias("_tail")
     tails = sliced.groupBy("_slice", *keys).agg(tail)
@@ -63,15 +61,17 @@ def counter_rate(
     by: Sequence[str] = (),
     order: Sequence[str] = (),
     minutes: int = 5,
-    slices: int | None = None,
+    rows_per_slice: int = 2_000_000,
 ) -> DataFrame:
     """Per-second increase of a counter, summed over series, by window and ``by`` labels.
 
     A value below the one before means the counter restarted from zero. The first sample
-    of a series has nothing to compare with and adds nothing.
+    of a series has nothing to compare with and adds nothing. A NULL sample is no sample: the
+    next one is compared with the last that has a value.
     """
     needed = list(dict.fromkeys([*series, *by, ts, *order, value]))
-    paired = with_previous(samples.select(*needed), series, [ts, *order], value, "_previous", slices)
+    known = samples.select(*needed).where(F.col(value).isNotNull())
+    paired = with_previous(known, series, [ts, *order], value, "_previous", rows_per_slice)
     now, before = F.col(value), F.col("_previous")
     increase = F.when(now >= before, now - before).when(now < before, now)
     window = F.window(F.col(ts).cast("timestamp"), f"{minutes} minutes")

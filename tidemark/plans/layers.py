@@ -30,7 +30,12 @@ def bronze(records: DataFrame) -> DataFrame:
 
 def silver_state(raw_log: DataFrame, mode: str = changes.REFERENCE, precision: str = "second") -> DataFrame:
     """Current payments after the whole of ``raw_log`` taken as one batch."""
-    resolved = changes.resolve(changes.decode(raw_log, precision), mode)
+    return live_after(changes.decode(raw_log, precision), mode)
+
+
+def live_after(decoded: DataFrame, mode: str = changes.REFERENCE) -> DataFrame:
+    """``silver_state`` of events that are decoded already."""
+    resolved = changes.resolve(decoded, mode)
     return resolved.where(~F.col("_deleted")).select(*schemas.PAYMENT.names)
 
 

@@ -52,14 +52,14 @@ def generated_payments(series: DataFrame, base: Column, n: str = "n") -> DataFra
     """One payment per number of ``series`` (1, 2, 3, ...)."""
     number = F.col(n)
     step = number - 1
-    cents = 2500 + (number * 17 % 475) * 100 + number * 13 % 100
+    whole, cents = 25 + number * 17 % 475, number * 13 % 100  # fixed values, as are the steps below
     quarter = F.make_dt_interval(mins=(step % 4 * 15).cast("int"))
     created = F.date_trunc("hour", base - _hours(step % 168)) - quarter
     rows = series.select(
         (2000 + number).alias("payment_id"),
         (step % 10 + 1).alias("merchant_id"),
         (700 + number).alias("shopper_id"),
-        (cents.cast("decimal(14,0)") / 100).cast("decimal(12,2)").alias("amount"),
+        (whole + cents.cast("decimal(10,2)") / 100).cast("decimal(12,2)").alias("amount"),
         _cycle(fixed.DEMO_CURRENCIES, step).alias("currency"),
         _cycle(fixed.DEMO_METHODS, step).alias("payment_method"),
         _cycle(fixed.DEMO_STATUSES, step).alias("payment_status"),
@@ -100,6 +100,10 @@ def refunds_for(payments: DataFrame) -> DataFrame:
     )
 
 
-def demo_refunds(spark: SparkSession, payments: DataFrame, base: Column) -> DataFrame:
-    generated = payments.where(F.col("payment_id").between(2001, 2000 + fixed.DEMO_SERIES_LENGTH))
+def demo_refunds(
+    spark: SparkSession, payments: DataFrame, base: Column, length: Column | int = fixed.DEMO_SERIES_LENGTH
+) -> DataFrame:
+    """Refunds of the generated payments, whose ids end with the series' ``length``."""
+    end = (length if isinstance(length, Column) else F.lit(length)) + 2000
+    generated = payments.where(F.col("payment_id").between(2001, end))
     return insert_if_absent(literal_refunds(spark, base), refunds_for(generated), "refund_id")

@@ -12,11 +12,15 @@ SILVER_VIEW, GOLD_VIEW = "payments_silver", "payment_metrics_gold"
 
 
 def publish(spark: SparkSession, layout: Layout, mode: str = changes.REFERENCE) -> None:
-    """Register the newest version of both tables under their names."""
+    """Register the newest version of both tables under their names.
+
+    Sessions of the same application find them below ``global_temp``.
+    """
     silver = layout.silver(spark, mode).read()
     live = changes.current_rows(silver) if mode == changes.ORDERED else silver
-    live.createOrReplaceTempView(SILVER_VIEW)
-    layout.gold(spark).read().createOrReplaceTempView(GOLD_VIEW)
+    for name, rows in ((SILVER_VIEW, live), (GOLD_VIEW, layout.gold(spark).read())):
+        rows.createOrReplaceTempView(name)
+        rows.createOrReplaceGlobalTempView(name)
 
 
 def validation_queries(spark: SparkSession) -> dict[str, DataFrame]:

@@ -1,10 +1,10 @@
-"""Table schemas. ``DAY`` is the physical partition column that readers prune on."""
+"""Table schemas. ``DAY`` and ``BUCKET`` are the physical partition columns that readers prune on."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-DAY = "_day"
+DAY, BUCKET = "_day", "_bucket"
 
 
 TEXT, INT, LONG, MOMENT = T.StringType(), T.IntegerType(), T.LongType(), T.TimestampType()
@@ -36,7 +36,8 @@ PAYMENT = struct(
 SILVER = extend(PAYMENT, ingested_at=MOMENT)
 # What ordered resolution keeps: deleted keys stay as tombstones so that an older event
 # arriving later cannot bring the row back.
-SILVER_VERSIONED = extend(SILVER, _version=LONG, _deleted=T.BooleanType())
+VERSION = struct(at=MOMENT, offset=LONG)
+SILVER_VERSIONED = extend(SILVER, _version=VERSION, _deleted=T.BooleanType())
 DEAD_LETTER = struct(kafka_value=TEXT, batch_id=LONG, error_reason=TEXT, ingested_at=MOMENT)
 GOLD = struct(
     payment_hour=MOMENT, country_code=TEXT, payment_method=TEXT, payment_count=LONG,
@@ -51,3 +52,7 @@ ENVELOPE = struct(op=TEXT, before=_IMAGE, after=_IMAGE)
 
 def with_day(schema: T.StructType) -> T.StructType:
     return extend(schema, **{DAY: T.DateType()})
+
+
+def with_part(schema: T.StructType) -> T.StructType:
+    return extend(schema, **{DAY: T.DateType(), BUCKET: INT})

@@ -2,6 +2,7 @@
 
 Needs such a format's runtime on the classpath (for instance Iceberg). It is not part of
 stock Spark, so the tests only check that Spark parses the statements.
+``streaming.jobs.run_lake_layers`` is the path that uses them.
 """
 
 from __future__ import annotations
@@ -19,13 +20,6 @@ def create_statement(name: str, schema: T.StructType, day_source: str) -> str:
     return f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING iceberg PARTITIONED BY (days({day_source}))"
 
 
-def upsert_statement(name: str, key: str) -> str:
-    return (
-        f"MERGE INTO {name} AS held USING {_SOURCE} AS fresh ON held.{key} = fresh.{key} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-    )
-
-
 def changes_statement(name: str, key: str, columns: Sequence[str]) -> str:
     """Upserts and deletes of one batch in a single commit, told apart by ``_deleted``."""
     assignments = ", ".join(f"held.{c} = fresh.{c}" for c in columns)
@@ -54,10 +48,6 @@ def _with_source(source: DataFrame, statement: str) -> None:
     source.sparkSession.sql(statement)
 
 
-def merge_into(name: str, source: DataFrame, key: str) -> None:
-    _with_source(source, upsert_statement(name, key))
-
-
 def merge_changes(name: str, resolved: DataFrame, key: str, columns: Sequence[str]) -> None:
     _with_source(resolved, changes_statement(name, key, columns))
 
@@ -68,12 +58,3 @@ def delete_from(name: str, gone: DataFrame, key: str) -> None:
 
 def append_to(name: str, rows: DataFrame) -> None:
     rows.writeTo(name).append()
-
-
-def replace_days(name: str, rows: DataFrame) -> None:
-    """Overwrite exactly the partitions that ``rows`` falls into, in one commit."""
-    rows.writeTo(name).overwritePartitions()
-
-
-def read_version(spark: SparkSession, name: str, version: int) -> DataFrame:
-    return spark.sql(f"SELECT * FROM {name} VERSION AS OF {version}")

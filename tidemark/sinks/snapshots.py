@@ -1,71 +1,88 @@
-"""A day-partitioned Parquet table whose every commit is a readable version.
+"""A Parquet table in parts (day, key bucket) whose every commit is a readable version.
 
-Stock Parquet has no row-level MERGE, so a commit writes the touched days into a new
-folder and appends one small DataFrame to the commit log: for each touched day, the folder
-that now holds it (NULL if the day became empty). A version is the newest entry per day up
-to it. Untouched days are never rewritten, readers see a commit entirely or not at all,
-and old versions stay readable. One writer at a time.
+Stock Parquet has no row-level MERGE, so a commit writes the touched parts into a new
+folder and adds one small file to the commit log: for each touched part, the folder
+that now holds it (NULL if the part became empty). A version is the newest entry per part up
+to it. Untouched parts are never rewritten, readers see a commit entirely or not at all,
+and old versions stay readable. A commit names its version in the log exclusively: of two
+writers that start from the same version one fails and leaves nothing listed.
 
 With a table format that supports MERGE, use ``tidemark.sinks.lake`` instead.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import DAY, LONG, MOMENT, TEXT, extend, struct, with_day
+from tidemark.schemas import BUCKET, DAY, INT, LONG, MOMENT, TEXT, extend, struct, with_part
 
-_ENTRY = struct(version=LONG, _day=T.DateType(), folder=TEXT, source_version=LONG)
+_ENTRY = struct(version=LONG, _day=T.DateType(), _bucket=INT, folder=TEXT, source=TEXT, source_version=LONG)
 _LOG = extend(_ENTRY, committed_at=MOMENT)
 
+Part = tuple[date | None, int]
+
+
+class CommitConflict(RuntimeError):
+    """Another writer has published this version already."""
+
 
 @dataclass(frozen=True)
 class Snapshot:
-    """One version of a table: the folders that hold its days."""
+    """One version of a table: the folders that hold its parts."""
 
     table: SnapshotTable
     version: int
     source_version: int
-    folders: list[str]
+    folders: dict[Part, str]
+
+    def rows(self, keep_part: bool = False) -> DataFrame:
+        """The rows; filters on ``_day`` and ``_bucket`` prune folders."""
+        return self._read(self.folders.values(), keep_part)
 
-    def rows(self, keep_day: bool = False) -> DataFrame:
-        """The rows; filters on ``_day`` prune folders."""
-        table, schema = self.table, with_day(self.table.schema)
-        if self.folders:
-            data = f"{table.path}/data"
+    def in_parts(self, parts: Iterable[Part]) -> DataFrame:
+        """Rows of the listed parts only; no other folder is listed or read."""
+        return self._read([self.folders[p] for p in parts if p in self.folders], False)
+
+    def in_days(self, days: Iterable[date | None]) -> DataFrame:
+        wanted = set(days)
+        return self.in_parts([p for p in self.folders if p[0] in wanted])
+
+    def _read(self, folders: Iterable[str], keep_part: bool) -> DataFrame:
+        table, schema = self.table, with_part(self.table.schema)
+        data, folders = f"{table.path}/data", sorted(folders)
+        if folders:
             reader = table.spark.read.schema(schema).option("basePath", data)
-            df = reader.parquet(*[f"{data}/{folder}" for folder in self.folders])
+            df = reader.parquet(*[f"{data}/{folder}" for folder in folders])
         else:
             df = table.spark.createDataFrame([], schema)
-        return df.select(*table.schema.names, *([DAY] if keep_day else []))
-
-    def in_days(self, days: Iterable[date | None]) -> DataFrame:
-        """Rows of the listed days only."""
-        return self.rows(keep_day=True).where(day_is_one_of(days)).drop(DAY)
+        return df.select(*table.schema.names, *([DAY, BUCKET] if keep_part else []))
 
 
 class SnapshotTable:
-    """``day_source`` is the timestamp column whose date partitions the table.
+    """``day_source`` is the timestamp column whose date, and ``key`` the column whose hash, makes a part.
 
-    Files are sorted by ``cluster_by`` within a day, so a filter on a range of it skips
-    row groups by their statistics.
+    Files are sorted by ``key`` within a part, so a filter on a range of it skips row groups
+    by their statistics. ``buckets`` must stay what it was when the table was made.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, day_source: str, cluster_by: str
+        self, spark: SparkSession, path: str, schema: T.StructType, day_source: str, key: str, buckets: int = 1
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.day_source = day_source
-        self.cluster_by = cluster_by
+        self.key = key
+        self.buckets = buckets
 
     # --- commit log --------------------------------------------------------------------
 
@@ -82,8 +99,8 @@ class SnapshotTable:
         log = self.log()
         if version is not None:
             log = log.where(F.col("version") <= version)
-        # one row per stored day: folder names, never table rows
-        newest = log.groupBy(DAY).agg(
+        # one row per stored part: folder names, never table rows
+        newest = log.groupBy(DAY, BUCKET).agg(
             F.max_by("folder", "version").alias("folder"),
             F.max("version").alias("version"),
             F.max("source_version").alias("source_version"),
@@ -93,7 +110,7 @@ class SnapshotTable:
             table=self,
             version=max((r.version for r in rows), default=0),
             source_version=max((r.source_version for r in rows), default=0),
-            folders=sorted(r.folder for r in rows if r.folder is not None),
+            folders={(r[DAY], r[BUCKET]): r.folder for r in rows if r.folder is not None},
         )
 
     def read(self, version: int | None = None) -> DataFrame:
@@ -104,55 +121,80 @@ class SnapshotTable:
         log = self.log().where((F.col("version") > after) & (F.col("version") <= upto))
         return [row[0] for row in log.select(DAY).distinct().collect()]
 
+    def has_taken(self, source: str, source_version: int) -> bool:
+        """Whether a commit from this source and version is listed."""
+        taken = (F.col("source") == source) & (F.col("source_version") == source_version)
+        return not self.log().where(taken).isEmpty()
+
     # --- writing -----------------------------------------------------------------------
 
-    def with_day(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(DAY, F.to_date(F.col(self.day_source)))
+    def with_part(self, df: DataFrame) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
+        return df.withColumns({DAY: F.to_date(F.col(self.day_source)), BUCKET: bucket})
+
+    def all_parts(self, days: Iterable[date | None]) -> list[Part]:
+        return [(day, bucket) for day in days for bucket in range(self.buckets)]
 
     def commit(
-        self, rows: DataFrame, days: Iterable[date | None], base: Snapshot, source_version: int = 0
+        self, rows: DataFrame, parts: Iterable[Part], base: Snapshot, source_version: int = 0, source: str = ""
     ) -> int:
-        """Make ``rows`` the whole content of ``days`` and publish the version after ``base``.
+        """Make ``rows`` the whole content of ``parts`` and publish the version after ``base``.
 
-        A failed attempt leaves an unlisted folder that the next attempt overwrites.
+        A failed attempt leaves an unlisted folder of its own name.
         """
-        days = list(days)
+        parts = list(parts)
         version = base.version + 1
-        attempt = f"v={version}"
-        # rebalancing sizes output files by bytes: a hot day is split over many tasks
-        placed = self.with_day(rows.select(*self.schema.names)).hint("rebalance", DAY)
-        ordered = placed.sortWithinPartitions(DAY, self.cluster_by)
-        ordered.write.mode("overwrite").partitionBy(DAY).parquet(f"{self.path}/data/{attempt}")
-
-        written = self._days_in(attempt)
-        unlisted = written - set(days)
+        attempt = f"v={version}-{uuid.uuid4().hex[:8]}"
+        # rebalancing sizes output files by bytes: a hot part is split over many tasks
+        placed = self.with_part(rows.select(*self.schema.names)).hint("rebalance", DAY, BUCKET)
+        ordered = placed.sortWithinPartitions(DAY, BUCKET, self.key)
+        ordered.write.mode("overwrite").partitionBy(DAY, BUCKET).parquet(f"{self.path}/data/{attempt}")
+
+        written = self._folders_in(attempt)
+        expected = {_folder(part): part for part in parts}
+        unlisted = written - set(expected)
         if unlisted:
-            raise ValueError(f"rows outside the committed days: {sorted(map(str, unlisted))}")
+            raise ValueError(f"rows outside the committed parts: {sorted(unlisted)}")
         entries = [
-            (version, day, f"{attempt}/{_folder(day)}" if day in written else None, source_version)
-            for day in days
+            (version, *part, f"{attempt}/{folder}" if folder in written else None, source, source_version)
+            for folder, part in expected.items()
         ]
-        log = self.spark.createDataFrame(entries, _ENTRY)
-        (
-            log.withColumn("committed_at", F.current_timestamp())
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(f"{self.path}/commits")
-        )
+        log = self.spark.createDataFrame(entries, _ENTRY).withColumn("committed_at", F.current_timestamp())
+        self._publish(log, version)
         return version
 
-    def _days_in(self, attempt: str) -> set[date | None]:
-        """Days present in a written folder; only the partition column is read."""
-        data = self.spark.read.schema(with_day(self.schema)).parquet(f"{self.path}/data/{attempt}")
-        return {row[0] for row in data.select(DAY).distinct().collect()}
+    def _publish(self, log: DataFrame, version: int) -> None:
+        """Write the log entries aside and give them the version's name, which must be free."""
+        aside = f"{self.path}/pending/{uuid.uuid4().hex}"
+        log.coalesce(1).write.parquet(aside)
+        (file,) = self.spark.read.schema(_LOG).parquet(aside).inputFiles()
+        context = self.spark.sparkContext
+        hadoop, gateway = context._jvm.org.apache.hadoop.fs, context._gateway
+        target = hadoop.Path(f"{self.path}/commits/v={version:012d}.parquet")
+        files = hadoop.FileContext.getFileContext(hadoop.Path(file).toUri(), context._jsc.hadoopConfiguration())
+        files.mkdir(target.getParent(), None, True)
+        try:
+            files.rename(hadoop.Path(file), target, gateway.new_array(hadoop.Options.Rename, 0))
+        except Py4JJavaError as failure:
+            if "FileAlreadyExists" in failure.java_exception.getClass().getName():
+                raise CommitConflict(f"version {version} of {self.path} was published by another writer") from failure
+            raise
+        finally:
+            files.delete(hadoop.Path(aside), True)
+
+    def _folders_in(self, attempt: str) -> set[str]:
+        """Part folders of a written attempt, from the listing; no file is opened."""
+        root = f"{self.path}/data/{attempt}"
+        files = self.spark.read.schema(with_part(self.schema)).parquet(root).inputFiles()
+        return {"/".join(file.split("/")[-3:-1]) for file in files}
 
 
-def day_is_one_of(days: Iterable[date | None]):
-    days = list(days)
-    dated = [d for d in days if d is not None]
-    match = F.col(DAY).isin(dated) if dated else F.lit(False)
-    return match | F.col(DAY).isNull() if len(dated) < len(days) else match
+def parts_in(df: DataFrame) -> list[Part]:
+    """The parts that occur in ``df``; as long as the partition list, whatever the data size."""
+    return [tuple(row) for row in df.select(DAY, BUCKET).distinct().collect()]
 
 
-def _folder(day: date | None) -> str:
-    return f"{DAY}={day.isoformat()}" if day is not None else f"{DAY}=__HIVE_DEFAULT_PARTITION__"
+def _folder(part: Part) -> str:
+    day, bucket = part
+    name = day.isoformat() if day is not None else "__HIVE_DEFAULT_PARTITION__"
+    return f"{DAY}={name}/{BUCKET}={bucket}"

@@ -7,22 +7,27 @@ the raw log are written once per session and then scanned, as a stored log would
 
 from __future__ import annotations
 
-import uuid
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.plans import layers
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import scratch_folder
 
 TOPIC = "cdc.public.payments"
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+#: When the topic was made again: offsets before it are higher than those after it.
+RESTART, OLD_TOPIC = datetime(2024, 1, 20), 1_300_000_000
 
 _stored: dict[tuple[str, str, str], str] = {}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"the session's time zone is {zone}; the test tables are in UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -30,11 +35,8 @@ def _store_once(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     """Folder holding ``build()`` for this session, in the shared checkpoint folder."""
     slot = (spark.sparkContext.applicationId, sf_dir, name)
     if slot not in _stored:
-        folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sample-{uuid.uuid4().hex}-{name}"
-        rows, cores = build(), spark.sparkContext.defaultParallelism
-        # a log of few files is spread over more, so that later scans use every core
-        spread = rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
-        spread.write.parquet(folder)
+        folder = scratch_folder(spark, f"sample-{name}")
+        build().hint("rebalance").write.parquet(folder)
         _stored[slot] = folder
     return _stored[slot]
 
@@ -106,7 +108,7 @@ def change_rows(events: DataFrame) -> DataFrame:
         created.alias("first_created_at"),
         updated.alias("updated_at"),
         (payment_id % 3).cast("int").alias("kafka_partition"),
-        event_id.alias("kafka_offset"),
+        F.when(at < F.lit(RESTART), event_id + OLD_TOPIC).otherwise(event_id).alias("kafka_offset"),
         at.alias("kafka_timestamp"),
     )
 

@@ -14,19 +14,24 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.operators import changes, merge, metrics, quality
 from tidemark.plans import layers
-from tidemark.schemas import DAY
+from tidemark.schemas import BUCKET, DAY
 from tidemark.sinks import lake
 from tidemark.sinks.deadletter import write_dead_letters
-from tidemark.sinks.snapshots import Snapshot, SnapshotTable
-from tidemark.sources.records import stream_table
+from tidemark.sinks.snapshots import Snapshot, SnapshotTable, parts_in
+from tidemark.sources.records import stream_lake_table, stream_table
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Folders of one deployment. ``root`` and ``checkpoints`` must be shared storage."""
+    """Folders of one deployment. ``root`` and ``checkpoints`` must be shared storage.
+
+    ``buckets``: how many parts by key a day of silver has; fixed once the table is made. Choose
+    it so that a part is a few hundred MB, for a small batch rewrites whole parts.
+    """
 
     root: str
     checkpoints: str
+    buckets: int = 4
 
     @property
     def bronze(self) -> str:
@@ -38,7 +43,7 @@ class Layout:
 
     def silver(self, spark: SparkSession, mode: str = changes.REFERENCE) -> SnapshotTable:
         schema = schemas.SILVER_VERSIONED if mode == changes.ORDERED else schemas.SILVER
-        return SnapshotTable(spark, f"{self.root}/payments_silver", schema, "created_at", changes.KEY)
+        return SnapshotTable(spark, f"{self.root}/payments_silver", schema, "created_at", changes.KEY, self.buckets)
 
     def gold(self, spark: SparkSession) -> SnapshotTable:
         return SnapshotTable(spark, f"{self.root}/payment_metrics_gold", schemas.GOLD, "payment_hour", "payment_hour")
@@ -70,48 +75,57 @@ def apply_batch(
     layout: Layout,
     mode: str = changes.REFERENCE,
     run: str = "manual",
+    drop_tombstones: bool = False,
 ) -> int | None:
     """One raw-log batch into the silver table and the dead letters; the new version, if any.
 
-    Payloads are parsed once; dead letters are told by the stored route alone. Nothing in silver changes unless every quality rule passes.
-    Only the days that gain or lose a row are read in full and rewritten; finding them
-    reads the key and day columns of silver, cut down to the batch's key range.
+    Payloads are parsed once; dead letters are told by the stored route alone. Nothing in
+    silver changes unless every quality rule passes, and nothing if silver has taken this batch
+    of this run before. Only the parts (day, key bucket) that gain or lose a row are read in
+    full and rewritten; finding them reads the key columns of silver, cut down to the batch's
+    key range.
     """
     silver = layout.silver(batch.sparkSession, mode)
-    write_dead_letters(changes.dead_letters(batch, batch_id), layout.dead_letters, run, batch_id)
+    if silver.has_taken(run, batch_id):
+        return None
+    letters = changes.dead_letters(batch, batch_id, drop_tombstones=drop_tombstones)
+    write_dead_letters(letters, layout.dead_letters, run, batch_id)
     resolved = changes.resolve(changes.decode(batch), mode).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _merge_resolved(silver, resolved, batch_id, mode)
+        return _merge_resolved(silver, resolved, batch_id, mode, run)
     finally:
         resolved.unpersist()
 
 
-def _merge_resolved(silver: SnapshotTable, resolved: DataFrame, batch_id: int, mode: str) -> int | None:
-    key, day = changes.KEY, F.col(DAY)
+def _merge_resolved(silver: SnapshotTable, resolved: DataFrame, batch_id: int, mode: str, run: str) -> int | None:
+    key = changes.KEY
     low, high = _check_and_span(resolved)
     if low is None:
         return None
     base = silver.snapshot()
-    held = base.rows(keep_day=True).where(F.col(key).between(low, high))
-    narrow = [key, "created_at", DAY] + (["_version"] if mode == changes.ORDERED else [])
+    held = base.rows(keep_part=True).where(F.col(key).between(low, high))
+    narrow = [key, "created_at", DAY, BUCKET] + (["_version"] if mode == changes.ORDERED else [])
     hits = held.select(*narrow).join(resolved.select(key), key, "left_semi").persist()
     try:
         if mode == changes.ORDERED:
-            resolved = _fresh_outcomes(hits, resolved)
-        arrivals = resolved if mode == changes.ORDERED else resolved.where(~F.col("_deleted"))
-        # the list of days is as long as the partition list, whatever the data size
-        touched = hits.select(day).union(silver.with_day(arrivals).select(day)).distinct()
-        days = [row[0] for row in touched.collect()]
-        if not days:
+            # an outcome that silver already holds, or holds newer, touches nothing
+            resolved = _fresh_outcomes(hits, resolved).persist(StorageLevel.MEMORY_AND_DISK)
+            arrivals, replaced = resolved, hits.join(resolved.select(key), key, "left_semi")
+        else:
+            arrivals, replaced = resolved.where(~F.col("_deleted")), hits
+        parts = parts_in(replaced.select(DAY, BUCKET).union(silver.with_part(arrivals).select(DAY, BUCKET)))
+        if not parts:
             return None
         stamped = resolved.withColumn("ingested_at", F.current_timestamp())
         if mode == changes.ORDERED:
-            after = merge.merge_upsert(base.in_days(days), stamped.select(*silver.schema.names), key)
+            after = merge.merge_upsert(base.in_parts(parts), stamped.select(*silver.schema.names), key)
         else:
-            after = changes.apply_changes(base.in_days(days), stamped)
-        return silver.commit(after, days, base, batch_id)
+            after = changes.apply_changes(base.in_parts(parts), stamped)
+        return silver.commit(after, parts, base, batch_id, run)
     finally:
         hits.unpersist()
+        if mode == changes.ORDERED:
+            resolved.unpersist()
 
 
 def _check_and_span(resolved: DataFrame) -> tuple[int | None, int | None]:
@@ -157,11 +171,12 @@ def run_silver(
     layout: Layout,
     mode: str = changes.REFERENCE,
     max_files_per_trigger: int | None = None,
+    drop_tombstones: bool = False,
 ) -> None:
     """Fold new raw-log rows into the current-state table, batch by batch."""
     run = _run_name(spark, layout.checkpoint("silver"))
     writer = bronze_stream(spark, layout, max_files_per_trigger).writeStream.foreachBatch(
-        lambda batch, batch_id: apply_batch(batch, batch_id, layout, mode, run)
+        lambda batch, batch_id: apply_batch(batch, batch_id, layout, mode, run, drop_tombstones)
     )
     _drain(writer, layout.checkpoint("silver"))
 
@@ -193,10 +208,10 @@ def run_gold(spark: SparkSession, layout: Layout, mode: str = changes.REFERENCE)
     """
     silver, gold = layout.silver(spark, mode), layout.gold(spark)
     now, base = silver.snapshot(), gold.snapshot()
-    days = [d for d in silver.changed_days(base.source_version, now.version) if d is not None]
+    days = silver.changed_days(base.source_version, now.version)
     if not days:
         return None
-    return gold.commit(_metrics_of(now, days, mode), days, base, now.version)
+    return gold.commit(_metrics_of(now, days, mode), gold.all_parts(days), base, now.version, "silver")
 
 
 def apply_gold_batch(
@@ -219,7 +234,7 @@ def apply_gold_batch(
         rows = merge.replace_groups(
             base.in_days(days), hours, cells.select(*schemas.GOLD.names), "payment_hour"
         )
-        return gold.commit(rows, days, base, base.source_version)
+        return gold.commit(rows, gold.all_parts(days), base, base.source_version, "events")
     finally:
         hours.unpersist()
 
@@ -238,9 +253,61 @@ def run_gold_from_events(
     _drain(writer, layout.checkpoint("gold"))
 
 
-def run_layers(records: DataFrame, layout: Layout, mode: str = changes.REFERENCE) -> None:
-    """Bronze, silver and gold in order over what has arrived."""
+def run_layers(
+    records: DataFrame,
+    layout: Layout,
+    mode: str = changes.REFERENCE,
+    max_files_per_trigger: int | None = None,
+    drop_tombstones: bool = False,
+) -> None:
+    """Bronze, silver and gold in order over what has arrived.
+
+    ``max_files_per_trigger`` bounds a silver batch. It is the caller's to set: in ``reference``
+    mode the outcome of a key depends on where its events are cut into batches.
+    """
     spark = records.sparkSession
     run_bronze(records, layout)
-    run_silver(spark, layout, mode)
+    run_silver(spark, layout, mode, max_files_per_trigger, drop_tombstones)
     run_gold(spark, layout, mode)
+
+
+@dataclass(frozen=True)
+class LakeLayout:
+    """Table names of a deployment on a catalog whose format supports MERGE."""
+
+    bronze: str
+    silver: str
+    gold: str
+    dead_letters: str
+    checkpoints: str
+
+
+def run_lake_layers(records: DataFrame, layout: LakeLayout) -> None:
+    """The three layers over named tables, which are made if they do not exist."""
+    spark = records.sparkSession
+    for name, schema, day_source in (
+        (layout.bronze, schemas.BRONZE_STORED, "kafka_timestamp"),
+        (layout.silver, schemas.SILVER, "created_at"),
+        (layout.gold, schemas.GOLD, "payment_hour"),
+        (layout.dead_letters, schemas.DEAD_LETTER, "ingested_at"),
+    ):
+        lake.ensure_table(spark, name, schema, day_source)
+    raw = layers.stored_bronze(records).writeStream.format("iceberg").outputMode("append")
+    raw.trigger(availableNow=True).option("checkpointLocation", f"{layout.checkpoints}/bronze").toTable(layout.bronze).awaitTermination()
+    for job, apply in (
+        ("silver", lambda batch, number: apply_batch_to_lake(batch, number, layout.silver, layout.dead_letters)),
+        ("gold", lambda batch, _: apply_gold_batch_to_lake(batch, layout.silver, layout.gold)),
+    ):
+        writer = stream_lake_table(spark, layout.bronze).writeStream.foreachBatch(apply)
+        _drain(writer, f"{layout.checkpoints}/{job}")
+
+
+def apply_gold_batch_to_lake(batch: DataFrame, silver: str, gold: str) -> None:
+    """Replace the hours a batch names: deleted first, so an hour without rows is emptied too."""
+    hours = metrics.affected_hours(changes.decode(batch), both_images=True).persist()
+    try:
+        lake.delete_from(gold, hours, "payment_hour")
+        cells = metrics.hourly_metrics(metrics.in_hours(batch.sparkSession.table(silver), hours))
+        lake.append_to(gold, cells.select(*schemas.GOLD.names))
+    finally:
+        hours.unpersist()
