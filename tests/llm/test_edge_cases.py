@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tidemark.llm import chat, decontaminate, lines, mixing, privacy, quality, simhash, urls, vectors, warc
-from tidemark.llm.common import components, scratch_path
+from tidemark.llm.common import components
 from tidemark.llm.queries import RULES
+from tidemark.session import scratch_folder
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = "the long text goes on and on\n" * 4000 + "ends here"
@@ -117,7 +118,7 @@ def test_archive(spark):
     ]
     pages = spark.createDataFrame([(*r, "mine") for r in rows], "page_id long, url string, html string, payload string")
     for table in (pages.repartition(3), pages.coalesce(1)):
-        path = scratch_path(spark, "test")
+        path = scratch_folder(spark, "test")
         warc.write_archive(table, path)
         got = sorted(
             ((r.page_id, r.record_type, r.refers_to, r.payload_bytes, None if r.payload is None else bytes(r.payload).decode()) for r in warc.read_archive(spark, path).collect()),
@@ -132,10 +133,10 @@ def test_archive(spark):
             full = top == -1 or page_id == top
             want.append((page_id, "response" if full else "revisit", None if full else top, len(html.encode()), html if full else None))
         assert got == sorted(want, key=repr)
-    path = scratch_path(spark, "test")
+    path = scratch_folder(spark, "test")
     warc.write_archive(empty(pages), path)
     assert warc.read_archive(spark, path).count() == 0
-    path = scratch_path(spark, "test")
+    path = scratch_folder(spark, "test")
     warc.write_archive(pages, path, min_bytes=1000)
     assert warc.read_archive(spark, path).where("record_type = 'revisit'").count() == 0
 

@@ -7,7 +7,7 @@ import pytest
 import corpus_pipeline
 from tests.llm import brute
 from tidemark.llm import quality
-from tidemark.llm.common import clear_scratch, table
+from tidemark.llm.common import table
 from tidemark.llm.queries import TARGETS
 
 SMALL = "/root/testdata/sf0.001"
@@ -15,9 +15,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def result(spark):
-    rows = corpus_pipeline.run(spark, SMALL).collect()
-    clear_scratch(spark)
-    return rows
+    return corpus_pipeline.run(spark, SMALL).collect()
 
 
 def test_whole_pipeline(spark, result):

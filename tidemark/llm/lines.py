@@ -2,16 +2,16 @@ r"""Fuzzy line deduplication by MinHash, one line kept of every component.
 
 A line's shingles are the ``CHARS`` characters that begin at each of its words, so a change
 touches the shingles of one or two words wherever it happens. Lines that are equal are one class,
-found by hash before anything else. A class of more than ``SHORT`` shingles has a MinHash
-signature: ``ROWS * BANDS`` minima of its shingles' hashes under exclusive-or with a fixed mask
-each. Classes that agree on all rows of a band meet in a bucket. With few shingles a
-similarity of 0.8 leaves only equal sets and sets with one shingle more, so short classes meet
-under the digest of their set and of the set less each shingle: exact, and never by chance.
+found by hash before anything else. A class has a MinHash signature: ``ROWS * BANDS`` minima of
+its shingles' hashes under exclusive-or with a fixed mask each. Classes that agree on all rows
+of a band meet in a bucket.
 
-In a bucket every class is compared with the smallest; only those that are not near it are
-compared with the rest, as the others hang together already. The exact Jaccard similarity decides,
-and distributed union-find (``common.components``) makes components. The first line of a component
-by (doc_id, text, place) stays, all others are taken out of their texts.
+In a bucket every class is compared with the one that has most copies; classes that hang together
+after that need no more comparing, only those outside meet the rest. Two classes are
+compared if their shingle counts allow the threshold and, where the counts are equal and too
+small for any difference, if their sets have one digest: what fails this cannot be near. The exact
+Jaccard similarity decides, and distributed union-find (``common.components``) makes components.
+The first line of a component by (doc_id, text, place) stays, all others are taken out.
 
 Everything is DataFrame expressions. Shingles are exploded rows, hashed and reduced in generated
 code, grouped where the lines already lie: no shuffle but one by line, one by bucket.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, small_enough, stored
 
-CHARS, SHORT = 10, 8
+CHARS = 10
 ROWS, BANDS = 4, 9
 SHINGLES = rf"(?s)(?=(.{{1,{CHARS}}}))\S+"
 LINE = ["h1", "h2"]
@@ -61,21 +61,27 @@ def _exploded(docs: DataFrame, *more: Column) -> DataFrame:
     )
 
 
-def _bucket_keys(lines: DataFrame) -> DataFrame:
-    """``(h1, h2, key)``: the buckets of every class of equal lines."""
-    classes = lines.groupBy(*LINE).agg(F.first("line").alias("line")).select(*LINE, shingles("line").alias("grams"))
-    few = classes.where(F.size("grams") <= SHORT).select(*LINE, F.transform("grams", lambda g: F.xxhash64(g)).alias("grams"))
-    digest = F.aggregate("grams", F.lit(0).cast("long"), lambda a, g: a.bitwiseXOR(g))
-    short = few.select(*LINE, "grams", digest.alias("whole")).select(
-        *LINE, F.explode(F.concat(F.array("whole"), F.transform("grams", lambda g: F.col("whole").bitwiseXOR(g)))).alias("key")
-    )
-    long = classes.where(F.size("grams") > SHORT).select(*LINE, F.explode("grams").alias("gram"))
-    hashed = long.select(*LINE, F.xxhash64("gram").alias("gram"))
+def _signatures(lines: DataFrame) -> DataFrame:
+    """``(h1, h2, copies, n, whole, keys)``: per class its size, set and the keys of its buckets."""
+    classes = lines.groupBy(*LINE).agg(F.first("line").alias("line"), F.count("*").alias("copies"))
+    grams = classes.select(*LINE, "copies", F.explode(shingles("line")).alias("gram"))
+    hashed = grams.select(*LINE, "copies", F.xxhash64("gram").alias("gram"))
     minima = [F.min(F.col("gram").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(_masks())]
-    signed = hashed.groupBy(*LINE).agg(*minima)
+    sizes = [F.max("copies").alias("copies"), F.count("*").alias("n"), F.bit_xor("gram").alias("whole")]
+    signed = hashed.groupBy(*LINE).agg(*sizes, *minima)
     keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
-    banded = signed.select(*LINE, F.explode(F.array(*keys)).alias("key"))
-    return short.unionByName(banded)
+    return signed.select(*LINE, "copies", "n", "whole", F.array(*keys).alias("keys"))
+
+
+def _may_be_near(a: str, b: str, threshold: float) -> Column:
+    """What two classes must fulfil to reach the threshold, told from their sizes and digests.
+
+    Sets of one size ``n`` that differ share at most ``n - 1`` of ``n + 1`` shingles.
+    """
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    sizes = F.least(n, m) >= F.greatest(n, m) * threshold
+    told_apart = (n == m) & (n - 1 < (n + 1) * threshold)
+    return sizes & (~told_apart | (F.col(f"{a}.whole") == F.col(f"{b}.whole")))
 
 
 def _node(prefix: str = "") -> Column:
@@ -93,23 +99,34 @@ def _near(pairs: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
 
 def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``(node, root)`` of every class of equal lines that is near another one."""
-    keys = _bucket_keys(_exploded(docs)).distinct()
-    met = keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1")
-    members = stored(met.select("key", _node().alias("node"), *LINE), "buckets")
-    wanted = stored(members.select(*LINE, "node").distinct(), "wanted")
+    signed = stored(_signatures(_exploded(docs)), "signatures")
+    keys = signed.select("h1", F.explode(F.array_distinct("keys")).alias("key"))
+    met = keys.withColumn("met", F.count("*").over(Window.partitionBy("key"))).where("met > 1").select("key", "h1")
+    info = F.struct(_node().alias("node"), "n", "whole", "copies").alias("x")
+    members = stored(met.join(signed.drop("keys").withColumn("x", info), "h1").select("key", *LINE, "x"), "buckets")
+
+    wanted = stored(members.select(*LINE, F.col("x.node").alias("node")).distinct(), "wanted")
     few = F.broadcast(wanted) if small_enough(wanted, MAX_BROADCAST) else wanted
     texts = _exploded(docs).join(few, LINE).groupBy("node").agg(F.first("line").alias("line"))
     grams = stored(texts.select("node", F.transform(shingles("line"), lambda g: F.xxhash64(g)).alias("grams")), "grams")
 
-    firsts = members.groupBy("key").agg(F.min("node").alias("b"))
-    to_first = members.join(firsts, "key").where("node <> b").select("key", F.col("node").alias("a"), "b")
-    to_first = stored(to_first, "stars")
-    near = stored(_near(to_first.select("a", "b").distinct(), grams, threshold), "near")
-    apart = to_first.join(near, ["a", "b"], "left_anti").select("key", "a")
-    rest = apart.join(members.select("key", F.col("node").alias("b")), "key").where("a <> b")
-    rest = rest.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct()
-    more = _near(rest.select("a", "b"), grams, threshold)
-    return components(near.unionByName(more))
+    members = members.select("key", "x")
+    heads = members.groupBy("key").agg(F.max_by("x", F.struct("x.copies", "x.node")).alias("y"))
+    stars = members.join(heads, "key").where("x.node <> y.node").where(_may_be_near("x", "y", threshold))
+    pairs = stars.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    near = stored(_near(pairs.distinct(), grams, threshold), "near")
+    joined = stored(components(near), "joined")
+
+    # classes outside the component of their bucket's head meet everything outside their own component
+    root = joined.select(F.col("node").alias("_node"), "root")
+    rooted = members.join(root, F.col("x.node") == F.col("_node"), "left").select("key", "x", F.coalesce("root", "x.node").alias("root"))
+    head = heads.join(root, F.col("y.node") == F.col("_node"), "left").select("key", F.coalesce("root", "y.node").alias("head"))
+    rooted = stored(rooted.join(head, "key"), "rooted")
+    outside = rooted.where("root <> head").select("key", F.col("x").alias("y"), F.col("root").alias("other"))
+    rest = rooted.join(outside, "key").where("root <> other").where(_may_be_near("x", "y", threshold))
+    pairs = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    more = stored(_near(pairs.distinct(), grams, threshold), "more")
+    return components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
 
 def removed_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
