@@ -2,44 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import settle as stored
 
-_FOLDER = f"tidemark-llm-{uuid.uuid4().hex}"
+__all__ = ["Forest", "components", "in_parts", "small_enough", "stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder below the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/{_FOLDER}/{label}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once as Parquet to the shared folder and read from there.
-
-    Lineage ends here: a lost executor costs a read of this table, not a recomputation.
-    ``clear_scratch`` removes all such tables of this session.
-    """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def clear_scratch(spark: SparkSession) -> None:
-    """Remove every table that ``stored`` wrote in this process; results that read them end too."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/{_FOLDER}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def small_enough(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows; reads no more than it must to know."""
     return df.limit(max_rows + 1).count() <= max_rows

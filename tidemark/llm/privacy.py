@@ -8,9 +8,10 @@ is the share of it that the term discloses (1: the term alone implies the entity
 disclosing at least ``generalise`` of some entity is replaced by that entity's class, one of at
 least ``remove`` is taken out. Counts are of all documents, whole texts, each term once a document.
 
-Only terms that occur with an entity often enough to be judged (``support``) need their counts,
-so candidates come from the documents with entities; what they are in all documents is counted
-in one more pass.
+Only terms that occur beside at least ``support`` different sets of personal values (by HyperLogLog)
+can be judged: copies of one document, however many, say nothing about a term. So
+candidates come from the documents with entities; what they are in all documents is counted in
+one more pass.
 
 Everything is built-in expressions. Patterns are written with possessive quantifiers, so long
 runs neither recurse nor backtrack.
@@ -39,18 +40,17 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9][\\x20-]?[0-9]", "phone": "\\+[0-9]"}
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 SPAN = "array<struct<kind:int,start:int,end:int>>"
-WORD = r"\p{L}+"
 MAX_LITERAL_TERMS, MAX_BROADCAST_TERMS = 2_000, 500_000
 BLOCK = 512
 
 
-def _matches(text: Column, pattern: str) -> Column:
+def _matches(text: Column, pattern: Column) -> Column:
     """``array<struct<start, end, text>>`` of all matches, in code points.
 
     The text is split at the matches; lengths of gaps and matches are added up, block by block so
     that the work follows the number of matches and not its square.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    found = F.regexp_extract_all(text, pattern, F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), F.char_length)
     pairs = F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("text"), g.alias("gap")))
     pairs = F.slice(pairs, 1, F.size(found))
@@ -86,7 +86,7 @@ def _holds(kind: str, match: Column) -> Column:
 
 
 def _spans_of(text: Column, number: int, kind: str) -> Column:
-    held = F.filter(_matches(text, PATTERNS[kind]), lambda m: _holds(kind, m["text"]))
+    held = F.filter(_matches(text, F.lit(PATTERNS[kind])), lambda m: _holds(kind, m["text"]))
     return _as_spans(held, number)
 
 
@@ -119,11 +119,13 @@ def disclosing_terms(keyed: DataFrame, generalise: float = 0.6, remove: float =
     """
     has = [F.exists("base", _of_kind(n)) for n in range(len(KINDS))]
     totals = keyed.agg(F.count("*").alias("docs"), *[F.count_if(h).alias(f"docs_{k}") for h, k in zip(has, KINDS, strict=True)])
+    values = F.array_sort(F.transform("base", lambda s: F.substr(F.col("text"), s["start"] + 1, s["end"] - s["start"])))
     private = keyed.where(F.size("base") > 0).select(
-        F.explode(terms(F.col("text"))).alias("term"), *[h.alias(k) for h, k in zip(has, KINDS, strict=True)]
+        F.xxhash64(values).alias("values"), F.explode(terms(F.col("text"))).alias("term"), *[h.alias(k) for h, k in zip(has, KINDS, strict=True)]
     )
-    often = F.greatest(*[F.col(k) for k in KINDS]) >= support
-    candidates = private.groupBy("term").agg(*[F.count_if(k).alias(k) for k in KINDS]).where(often)
+    different = [F.approx_count_distinct(F.when(F.col(k), F.col("values")), 0.1).alias(f"{k}_values") for k in KINDS]
+    counted = private.groupBy("term").agg(*[F.count_if(k).alias(k) for k in KINDS], *different)
+    candidates = counted.where(F.greatest(*[F.col(f"{k}_values") for k in KINDS]) >= support)
     candidates = stored(candidates, "candidates")
     judged = F.broadcast(candidates) if small_enough(candidates, MAX_BROADCAST_TERMS) else candidates
     everywhere = keyed.select(F.explode(terms(F.col("text"))).alias("term"))
@@ -135,15 +137,18 @@ def disclosing_terms(keyed: DataFrame, generalise: float = 0.6, remove: float =
         own, both = F.col(f"docs_{kind}"), F.col(kind)
         information = F.log2(F.col("docs") / own)
         mutual = F.log2(both * F.col("docs") / (F.col("n") * own))
-        share = F.when((both >= support) & (own < F.col("docs")), mutual / information)
+        share = F.when((F.col(f"{kind}_values") >= support) & (own < F.col("docs")), mutual / information)
         shares.append(F.struct(F.coalesce(share, F.lit(-1.0)).alias("disclosure"), F.lit(number).alias("kind")))
     best = table.select("term", F.array_max(F.array(*shares)).alias("best")).select("term", "best.*")
     return best.where(F.col("disclosure") >= generalise).withColumn("removed", F.col("disclosure") >= remove)
 
 
 def _term_spans(text: Column, told: Column) -> Column:
-    """Spans of the words for which ``told`` (a function of a lower-cased word) is true."""
-    words = F.filter(_matches(text, f"{EMAIL}|{WORD}"), lambda m: ~F.contains(m["text"], F.lit("@")) & told(F.lower(m["text"])))
+    """Spans of the words of ``told``, an array of lower-cased words, outside e-mail addresses."""
+    pattern = F.concat(F.lit(rf"{EMAIL}|(?iu)(?<!\p{{L}})(?:"), F.array_join(told, "|"), F.lit(r")(?!\p{L})"))
+    words = F.filter(
+        _matches(text, pattern), lambda m: ~F.contains(m["text"], F.lit("@")) & F.array_contains(told, F.lower(m["text"]))
+    )
     return _as_spans(words, len(KINDS))
 
 
@@ -157,9 +162,8 @@ def found(docs: DataFrame, generalise: float = 0.6, remove: float = 0.85, suppor
     if small_enough(told, MAX_LITERAL_TERMS):
         known = {r.term: (r.kind, r.removed) for r in told.collect()}
         names = sorted(known)
-        within = (lambda w: w.isin(names)) if names else (lambda w: F.lit(False))
-        hit = F.exists(terms(F.col("text")), within) if names else F.lit(False)
-        marked = keyed.withColumn("terms", F.when(hit, _term_spans(F.col("text"), within)).otherwise(none))
+        inside = F.filter(terms(F.col("text")), lambda w: w.isin(names)) if names else F.array().cast("array<string>")
+        joined = keyed.withColumn("_in", inside)
         gone = [w for w in names if known[w][1]]
         dropped = (lambda w: w.isin(gone)) if gone else (lambda w: F.lit(False))
     else:
@@ -167,10 +171,9 @@ def found(docs: DataFrame, generalise: float = 0.6, remove: float = 0.85, suppor
         each = keyed.select("_row", F.explode(terms(F.col("text"))).alias("term")).join(judged, "term")
         per_row = each.groupBy("_row").agg(F.collect_list("term").alias("_in"), F.collect_list(F.when(F.col("removed"), F.col("term"))).alias("_gone"))
         joined = keyed.join(per_row, "_row", "left")
-        spans = _term_spans(F.col("text"), lambda w: F.array_contains("_in", w))
-        marked = joined.withColumn("terms", F.when(F.col("_in").isNotNull(), spans).otherwise(none))
         dropped = lambda w: F.coalesce(F.array_contains("_gone", w), F.lit(False))
-    both = marked.withColumn("spans", F.concat("base", "terms"))
+    spans = F.when(F.size("_in") > 0, _term_spans(F.col("text"), F.col("_in"))).otherwise(none)
+    both = joined.withColumn("spans", F.concat("base", spans))
     return both.select("doc_id", "text", "base", "spans", sanitised(F.col("text"), F.col("spans"), dropped).alias("sanitised"))
 
 

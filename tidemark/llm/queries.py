@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat, decontaminate, lines, mixing, privacy, quality, simhash, urls, vectors, warc
-from tidemark.llm.common import scratch_path, table
+from tidemark.llm.common import table
+from tidemark.session import scratch_folder
 
 #: Relative weights of the mixture; every source that is not named has weight 1.
 TARGETS = {"src0": 2.0, "src1": 1.5, "src2": 0.5}
@@ -41,7 +42,7 @@ def op3_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "archive")
+    path = scratch_folder(spark, "archive")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
     payload = F.col("payload")
     derive = {"_digest": F.when(payload.isNotNull(), warc.base32_sha1(payload)), "_bytes": F.octet_length(payload).cast("long")}
