@@ -178,9 +178,8 @@ def test_simhash(docs, clashing):
     got = simhash.near_duplicates(clashing).collect()
     assert len(got) == len(HARD)
     assert {r.component_id for r in got if r.fp == 0} == {3}
-    same = [r for r in got if r.fp == got[0].fp and r.fp != 0]
-    assert all(r.fp == simhash.fingerprint_of(t) for r, t in zip(sorted(got, key=lambda r: r.doc_id or 0), [h[1] for h in sorted(HARD, key=lambda h: h[0] or 0)], strict=True) if r.doc_id)
-    assert same
+    same = [r.component_id for r in got if r.fp == simhash.fingerprint_of(HARD[0][1])]
+    assert same == [1] * 4
     kept = simhash.representatives(clashing)
     ids = sorted(r.doc_id for r in kept.collect())
     assert kept.columns == clashing.columns and ids == [1, 3, 6, 7]

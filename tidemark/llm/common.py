@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import settle as stored
 
+ROWS_PER_TASK = 100_000
 __all__ = ["Forest", "components", "in_parts", "small_enough", "stored", "table"]
 
 
@@ -36,6 +37,9 @@ def components(edges: DataFrame) -> DataFrame:
     current, seen = stored(start.distinct(), "edges"), None
     while True:
         print_of = current.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        # tasks follow the number of edges, which a round at most doubles
+        tasks = -(-print_of[0] // ROWS_PER_TASK) or 1
+        current = current.coalesce(tasks)
         if print_of == seen or print_of[0] == 0:
             return current.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
                 current.select("v", "v").distinct()
@@ -43,14 +47,11 @@ def components(edges: DataFrame) -> DataFrame:
         seen = print_of
         both = current.union(current.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
-        large = (
-            both.join(low, "u").where(F.col("v") > F.col("u"))
-            .select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
-        )
+        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("low").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("low"))
         ends = F.explode(F.array("u", "v")).alias("u")
         small = large.join(least, "u").select(ends, F.col("low").alias("v"))
-        current = stored(small.where(F.col("u") != F.col("v")).distinct(), "edges")
+        current = stored(small.where(F.col("u") != F.col("v")).distinct().coalesce(2 * tasks), "edges")
 
 
 class Forest:

@@ -33,6 +33,7 @@ CHARS = 10
 ROWS, BANDS = 4, 9
 SHINGLES = rf"(?s)(?=(.{{1,{CHARS}}}))\S+"
 LINE = ["h1", "h2"]
+BLOCK = 64
 MAX_BROADCAST = 1_000_000
 
 
@@ -73,15 +74,15 @@ def _signatures(lines: DataFrame) -> DataFrame:
     return signed.select(*LINE, "copies", "n", "whole", F.array(*keys).alias("keys"))
 
 
-def _may_be_near(a: str, b: str, threshold: float) -> Column:
+def _may_be_near(a: Column, b: Column, threshold: float) -> Column:
     """What two classes must fulfil to reach the threshold, told from their sizes and digests.
 
     Sets of one size ``n`` that differ share at most ``n - 1`` of ``n + 1`` shingles.
     """
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    n, m = a["n"], b["n"]
     sizes = F.least(n, m) >= F.greatest(n, m) * threshold
     told_apart = (n == m) & (n - 1 < (n + 1) * threshold)
-    return sizes & (~told_apart | (F.col(f"{a}.whole") == F.col(f"{b}.whole")))
+    return sizes & (~told_apart | (a["whole"] == b["whole"]))
 
 
 def _node(prefix: str = "") -> Column:
@@ -112,7 +113,7 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     members = members.select("key", "x")
     heads = members.groupBy("key").agg(F.max_by("x", F.struct("x.copies", "x.node")).alias("y"))
-    stars = members.join(heads, "key").where("x.node <> y.node").where(_may_be_near("x", "y", threshold))
+    stars = members.join(heads, "key").where("x.node <> y.node").where(_may_be_near(F.col("x"), F.col("y"), threshold))
     pairs = stars.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     near = stored(_near(pairs.distinct(), grams, threshold), "near")
     joined = stored(components(near), "joined")
@@ -122,13 +123,38 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     rooted = members.join(root, F.col("x.node") == F.col("_node"), "left").select("key", "x", F.coalesce("root", "x.node").alias("root"))
     head = heads.join(root, F.col("y.node") == F.col("_node"), "left").select("key", F.coalesce("root", "y.node").alias("head"))
     rooted = stored(rooted.join(head, "key"), "rooted")
-    outside = rooted.where("root <> head").select("key", F.col("x").alias("y"), F.col("root").alias("other"))
-    rest = rooted.join(outside, "key").where("root <> other").where(_may_be_near("x", "y", threshold))
-    pairs = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-    more = stored(_near(pairs.distinct(), grams, threshold), "more")
+    more = stored(_near_in_blocks(rooted, grams, threshold), "more")
+    if more.isEmpty():
+        return joined
     return components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
 
+def _near_in_blocks(rooted: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)``: near pairs of a bucket's outside classes and its classes of other components.
+
+    ``rooted(key, x, root, head)``. The outside classes of a bucket are gathered in blocks of about
+    ``BLOCK``; every class of the bucket meets a block as one row and is compared inside it, so
+    what is moved and made grows with the bucket and its blocks, not with its pairs.
+    """
+    outside = rooted.where("root <> head")
+    sizes = outside.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    sets = grams.select(F.col("node").alias("_node"), "grams")
+    busy = rooted.join(sizes, "key").join(sets, F.col("x.node") == F.col("_node")).drop("_node")
+    one = F.struct("root", "grams", F.col("x.node").alias("node"), F.col("x.n").alias("n"), F.col("x.whole").alias("whole"))
+    placed = busy.where("root <> head").withColumn("block", F.pmod(F.xxhash64("x.node"), F.col("blocks")))
+    blocks = placed.groupBy("key", "block").agg(F.collect_list(one).alias("others"))
+
+    def near(y: Column) -> Column:
+        both = F.size(F.array_intersect(F.col("grams"), y["grams"]))
+        share = both / (F.size("grams") + F.size(y["grams"]) - both)
+        may = _may_be_near(F.col("x"), y, threshold)
+        return (y["root"] != F.col("root")) & F.when(may, share >= threshold).otherwise(False)
+
+    met = busy.select("key", "x", "root", "grams").join(blocks.select("key", "others"), "key")
+    found = met.select(F.col("x.node").alias("a"), F.explode(F.transform(F.filter("others", near), lambda y: y["node"])).alias("b"))
+    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def removed_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``(doc_id, digest, gone)``: the places of the lines that each document loses."""
     digest = F.xxhash64("text").alias("digest")
@@ -148,19 +174,19 @@ def deduplicated(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     docs = docs.drop("n_lines", "n_removed")
     plain = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
     gone = stored(removed_lines(plain, threshold), "removed")
-    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest"), "gone")
-    if small_enough(gone, MAX_BROADCAST // 2) and gone.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()[0] <= 4 * MAX_BROADCAST:
+    gone = gone.select(F.col("doc_id").alias("_lines_doc"), F.col("digest").alias("_lines_digest"), F.col("gone").alias("_lines_gone"))
+    if small_enough(gone, MAX_BROADCAST // 2) and gone.agg(F.coalesce(F.sum(F.size("_lines_gone")), F.lit(0))).first()[0] <= 4 * MAX_BROADCAST:
         gone = F.broadcast(gone)
     text = F.col("text").cast("string")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_digest"))
+    same = F.col("doc_id").eqNullSafe(F.col("_lines_doc")) & (F.xxhash64(text) == F.col("_lines_digest"))
     lines = F.split(text, "\n")
-    left = F.array_join(F.filter(lines, lambda x, k: ~F.array_contains("gone", k)), "\n")
+    left = F.array_join(F.filter(lines, lambda x, k: ~F.array_contains("_lines_gone", k)), "\n")
     return (
         docs.join(gone, same, "left")
         .withColumns({
-            "n_lines": F.coalesce(F.size(F.when(text.isNotNull(), lines)), F.lit(0)),
-            "n_removed": F.coalesce(F.size(F.when(F.col("gone").isNotNull(), F.col("gone"))), F.lit(0)),
-            "text": F.when(F.col("gone").isNotNull(), left).otherwise(text),
+            "n_lines": F.when(text.isNotNull(), F.size(lines)).otherwise(0),
+            "n_removed": F.when(F.col("_lines_gone").isNotNull(), F.size("_lines_gone")).otherwise(0),
+            "text": F.when(F.col("_lines_gone").isNotNull(), left).otherwise(text),
         })
-        .drop("_doc", "_digest", "gone")
+        .drop("_lines_doc", "_lines_digest", "_lines_gone")
     )

@@ -194,12 +194,14 @@ def representatives(docs: DataFrame, radius: int = 4) -> DataFrame:
     prints = stored(narrow.select("doc_id", "_digest", _simhash()(F.col("text").cast("string")).alias("fp")), "fingerprints")
     rooted = prints.join(components_of(prints, radius), "fp")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_digest")).alias("first")
-    stays = stored(rooted.groupBy("root").agg(first).select("root", F.col("first.doc_id").alias("_id"), F.col("first._digest").alias("_print")), "stays")
+    stays = stored(rooted.groupBy("root").agg(first).select(
+        F.col("root").alias("_root"), F.col("first.doc_id").alias("_id"), F.col("first._digest").alias("_print")
+    ), "stays")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (digest == F.col("_print"))
     kept = docs.join(stays, same)
     rows = prints.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_print")))
     if rows.count() > stays.count():  # some rows are repeated in full
-        kept = kept.dropDuplicates(["root"])
+        kept = kept.dropDuplicates(["_root"])
     return kept.select(*[F.col(c) for c in docs.columns])
 
 

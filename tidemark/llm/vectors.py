@@ -33,6 +33,8 @@ from tidemark.llm.common import Forest, components, in_parts, stored
 
 SUBSPACES, CODES = 8, 64
 MAX_DIMS = 64
+#: Vectors that a task holds together with their copies for every list they visit.
+PIECE = 1024
 ROWS = "cid long, label int, dim int, vec array<double>, copies long"
 
 
@@ -145,9 +147,8 @@ def links(classes: DataFrame, index: Index, dim: int, threshold: float = 0.98, b
     reach = math.sqrt(max(0.0, 2 - 2 * threshold))
 
     def place(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
+        pieces = (whole.iloc[k : k + PIECE] for whole in batches for k in range(0, len(whole), PIECE))
+        for pdf in pieces:
             x = _unit(np.stack(pdf["vec"].to_numpy()))
             home, mask = _probes(index, x, reach)
             codes, error = _encode(index, x - index.centroids[home])
