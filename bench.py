@@ -13,7 +13,7 @@ import time
 from pyspark.sql import DataFrame
 
 from tidemark.checks.queries import QUERIES
-from tidemark.session import build_session
+from tidemark.session import build_session, clear_scratch
 from tidemark.sources import sample
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -68,6 +68,7 @@ def main() -> None:
         "cpus": int(CPUS),
     }
     print(json.dumps(result))
+    clear_scratch(spark)
     spark.stop()
 
 
