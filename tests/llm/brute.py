@@ -70,10 +70,14 @@ def line_shingles(line, chars=10):
     return {line[m.start() : m.start() + chars] for m in WORD.finditer(line)}
 
 
-def deduplicated(docs):
+def sliding_shingles(line, chars=10):
+    return {line[k : k + chars] for k in range(max(1, len(line) - chars + 1))}
+
+
+def deduplicated(docs, shingles=line_shingles):
     """``docs`` as (doc_id, text) with distinct ids: texts without lines that another one stands for."""
     classes = sorted({line for _, text in docs for line in (text or "").split("\n") if WORD.search(line)})
-    sets = {line: line_shingles(line) for line in classes}
+    sets = {line: shingles(line) for line in classes}
 
     def near(a, b):
         x, y = sets[a], sets[b]

@@ -1,8 +1,7 @@
 r"""Fuzzy line deduplication by MinHash, one line kept of every component.
 
-A line's shingles are the ``CHARS`` characters that begin at each of its words, so a change
-touches the shingles of one or two words wherever it happens. Lines that are equal are one class,
-found by hash before anything else. A class has a MinHash signature: ``ROWS * BANDS`` minima of
+A line's shingles are the ``CHARS`` characters that begin at each of its characters; a shorter line
+is its own only shingle. Lines that are equal are one class, found by hash before anything else. A class has a MinHash signature: ``ROWS * BANDS`` minima of
 its shingles' hashes under exclusive-or with a fixed mask each. Classes that agree on all rows
 of a band meet in a bucket.
 
@@ -14,7 +13,8 @@ Jaccard similarity decides, and distributed union-find (``common.components``) m
 The first line of a component by (doc_id, text, place) stays, all others are taken out.
 
 Everything is DataFrame expressions. Shingles are exploded rows, hashed and reduced in generated
-code, grouped where the lines already lie: no shuffle but one by line, one by bucket.
+code, grouped where the lines already lie: no shuffle but one by line, one by bucket. For comparing,
+texts are moved and made shingles of in place, as these take many times the room of a text.
 
 Rows: a NULL text stays NULL; an empty or blank line is kept and never compared. Rows that repeat
 both id and text are one document and get the same result; a NULL id is a value like others. An
@@ -31,7 +31,7 @@ from tidemark.llm.common import components, small_enough, stored
 
 CHARS = 10
 ROWS, BANDS = 4, 9
-SHINGLES = rf"(?s)(?=(.{{1,{CHARS}}}))\S+"
+SHINGLES = rf"(?s)(?=(.{{{CHARS}}}|\A.{{1,{CHARS - 1}}}\z))."
 LINE = ["h1", "h2"]
 BLOCK = 64
 MAX_BROADCAST = 1_000_000
@@ -54,6 +54,10 @@ def shingles(line: Column | str) -> Column:
     return F.array_distinct(F.regexp_extract_all(line, F.lit(SHINGLES), F.lit(1)))
 
 
+def _hashed(line: Column | str) -> Column:
+    return F.transform(shingles(line), lambda g: F.xxhash64(g))
+
+
 def _exploded(docs: DataFrame, *more: Column) -> DataFrame:
     """Lines that are not blank, with 128 bits of hash that stand for their text."""
     lines = docs.select("doc_id", *more, F.posexplode(F.split("text", "\n")).alias("place", "line"))
@@ -89,13 +93,18 @@ def _node(prefix: str = "") -> Column:
     return F.concat_ws("/", F.col(f"{prefix}h1"), F.col(f"{prefix}h2"))
 
 
-def _near(pairs: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
+def _share(a: Column, b: Column) -> Column:
+    """Jaccard similarity of two arrays of hashes; the lambdas keep each side from being made again."""
+    pair = F.array(F.struct(a.alias("a"), b.alias("b")))
+    sizes = F.transform(pair, lambda p: F.struct(F.size(F.array_intersect(p["a"], p["b"])).alias("both"), (F.size(p["a"]) + F.size(p["b"])).alias("all")))
+    return F.transform(sizes, lambda s: s["both"] / (s["all"] - s["both"]))[0]
+
+
+def _near(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``(a, b)`` whose exact Jaccard similarity reaches the threshold."""
-    left = grams.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
-    right = grams.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
-    both = F.size(F.array_intersect("ga", "gb"))
-    share = both / (F.size("ga") + F.size("gb") - both)
-    return pairs.join(left, "a").join(right, "b").where(share >= threshold).select("a", "b")
+    left = texts.select(F.col("node").alias("a"), F.col("line").alias("la"))
+    right = texts.select(F.col("node").alias("b"), F.col("line").alias("lb"))
+    return pairs.join(left, "a").join(right, "b").where(_share(_hashed("la"), _hashed("lb")) >= threshold).select("a", "b")
 
 
 def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -109,13 +118,13 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     wanted = stored(members.select(*LINE, F.col("x.node").alias("node")).distinct(), "wanted")
     few = F.broadcast(wanted) if small_enough(wanted, MAX_BROADCAST) else wanted
     texts = _exploded(docs).join(few, LINE).groupBy("node").agg(F.first("line").alias("line"))
-    grams = stored(texts.select("node", F.transform(shingles("line"), lambda g: F.xxhash64(g)).alias("grams")), "grams")
+    texts = stored(texts, "texts")
 
     members = members.select("key", "x")
     heads = members.groupBy("key").agg(F.max_by("x", F.struct("x.copies", "x.node")).alias("y"))
     stars = members.join(heads, "key").where("x.node <> y.node").where(_may_be_near(F.col("x"), F.col("y"), threshold))
     pairs = stars.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-    near = stored(_near(pairs.distinct(), grams, threshold), "near")
+    near = stored(_near(pairs.distinct(), texts, threshold), "near")
     joined = stored(components(near), "joined")
 
     # classes outside the component of their bucket's head meet everything outside their own component
@@ -123,13 +132,13 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     rooted = members.join(root, F.col("x.node") == F.col("_node"), "left").select("key", "x", F.coalesce("root", "x.node").alias("root"))
     head = heads.join(root, F.col("y.node") == F.col("_node"), "left").select("key", F.coalesce("root", "y.node").alias("head"))
     rooted = stored(rooted.join(head, "key"), "rooted")
-    more = stored(_near_in_blocks(rooted, grams, threshold), "more")
+    more = stored(_near_in_blocks(rooted, texts, threshold), "more")
     if more.isEmpty():
         return joined
     return components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
 
-def _near_in_blocks(rooted: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
+def _near_in_blocks(rooted: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """``(a, b)``: near pairs of a bucket's outside classes and its classes of other components.
 
     ``rooted(key, x, root, head)``. The outside classes of a bucket are gathered in blocks of about
@@ -138,7 +147,7 @@ def _near_in_blocks(rooted: DataFrame, grams: DataFrame, threshold: float) -> Da
     """
     outside = rooted.where("root <> head")
     sizes = outside.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    sets = grams.select(F.col("node").alias("_node"), "grams")
+    sets = texts.select(F.col("node").alias("_node"), _hashed("line").alias("grams"))
     busy = rooted.join(sizes, "key").join(sets, F.col("x.node") == F.col("_node")).drop("_node")
     one = F.struct("root", "grams", F.col("x.node").alias("node"), F.col("x.n").alias("n"), F.col("x.whole").alias("whole"))
     placed = busy.where("root <> head").withColumn("block", F.pmod(F.xxhash64("x.node"), F.col("blocks")))
