@@ -39,3 +39,15 @@ def test_lines_without_blanks_against_brute_force(spark):
     got = deduplicated(spark, docs)
     # banding may miss a pair just above the threshold
     assert sum(got[k] != want[k] for k in want) <= 1 and 0 < sum(not t for t in want.values()) < len(docs) - 30
+
+
+def test_no_near_pair_of_short_lines_is_left_to_chance(spark):
+    """Sets of 4 and 5 shingles, of 9 that differ in one, of 9 and 10."""
+    rnd = random.Random(7)
+    word = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    docs = []
+    for k in range(0, 3000, 6):
+        five, nine = word(14), word(18)
+        docs += [(k, five), (k + 1, five[:-1]), (k + 2, nine), (k + 3, nine[1:] + word(1)), (k + 4, ten := word(19)), (k + 5, ten[1:])]
+    got = deduplicated(spark, docs)
+    assert [k for k, text in got.items() if bool(text) != (k % 2 == 0)] == []

@@ -2,8 +2,10 @@ r"""Fuzzy line deduplication by MinHash, one line kept of every component.
 
 A line's shingles are the ``CHARS`` characters that begin at each of its characters; a shorter line
 is its own only shingle. Lines that are equal are one class, found by hash before anything else. A class has a MinHash signature: ``ROWS * BANDS`` minima of
-its shingles' hashes under exclusive-or with a fixed mask each. Classes that agree on all rows
-of a band meet in a bucket.
+its shingles' hashes, hashed anew with a fixed mask each. Classes that agree on all rows of a band
+meet in a bucket. Classes of at most ``SHORT`` shingles meet also under the digest of their set and
+of the set less each shingle: with at most 9 shingles in the larger set, a similarity of 0.8 leaves
+only equal sets, one shingle more or one exchanged, so none of these pairs is left to chance.
 
 In a bucket every class is compared with the one that has most copies; classes that hang together
 after that need no more comparing, only those outside meet the rest. Two classes are
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, small_enough, stored
 
-CHARS = 10
+CHARS, SHORT = 10, 10
 ROWS, BANDS = 4, 9
 SHINGLES = rf"(?s)(?=(.{{{CHARS}}}|\A.{{1,{CHARS - 1}}}\z))."
 LINE = ["h1", "h2"]
@@ -71,13 +73,28 @@ def _signatures(lines: DataFrame) -> DataFrame:
     classes = lines.groupBy(*LINE).agg(F.first("line").alias("line"), F.count("*").alias("copies"))
     grams = classes.select(*LINE, "copies", F.explode(shingles("line")).alias("gram"))
     hashed = grams.select(*LINE, "copies", F.xxhash64("gram").alias("gram"))
-    minima = [F.min(F.col("gram").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(_masks())]
+    minima = [F.min(F.xxhash64(F.col("gram").bitwiseXOR(F.lit(m)))).alias(f"m{k}") for k, m in enumerate(_masks())]
     sizes = [F.max("copies").alias("copies"), F.count("*").alias("n"), F.bit_xor("gram").alias("whole")]
     signed = hashed.groupBy(*LINE).agg(*sizes, *minima)
     keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
     return signed.select(*LINE, "copies", "n", "whole", F.array(*keys).alias("keys"))
 
 
+def _short_keys(lines: DataFrame, threshold: float) -> DataFrame:
+    """``(h1, key)``: digests of the sets of at most ``SHORT`` shingles, whole and less each shingle.
+
+    A shingle is left out only where one of so many may be missing. The first characters of a line
+    tell most lines with more shingles.
+    """
+    start = F.substring("line", 1, 2 * (CHARS + SHORT))
+    short = lines.where(F.size(shingles(start)) <= SHORT).select(*LINE, _hashed("line").alias("grams"))
+    short = short.where(F.size("grams") <= SHORT).dropDuplicates(LINE)
+    whole = short.withColumn("whole", F.aggregate("grams", F.lit(0).cast("long"), lambda a, g: a.bitwiseXOR(g)))
+    less = F.transform("grams", lambda g: F.col("whole").bitwiseXOR(g))
+    less = F.when(F.size("grams") - 1 >= F.size("grams") * F.lit(threshold), less).otherwise(F.array().cast("array<bigint>"))
+    return whole.select("h1", F.explode(F.concat(F.array("whole"), less)).alias("key"))
+
+
 def _may_be_near(a: Column, b: Column, threshold: float) -> Column:
     """What two classes must fulfil to reach the threshold, told from their sizes and digests.
 
@@ -111,6 +128,7 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``(node, root)`` of every class of equal lines that is near another one."""
     signed = stored(_signatures(_exploded(docs)), "signatures")
     keys = signed.select("h1", F.explode(F.array_distinct("keys")).alias("key"))
+    keys = keys.unionByName(_short_keys(_exploded(docs), threshold))
     met = keys.withColumn("met", F.count("*").over(Window.partitionBy("key"))).where("met > 1").select("key", "h1")
     info = F.struct(_node().alias("node"), "n", "whole", "copies").alias("x")
     members = stored(met.join(signed.drop("keys").withColumn("x", info), "h1").select("key", *LINE, "x"), "buckets")
