@@ -8,10 +8,10 @@ is the share of it that the term discloses (1: the term alone implies the entity
 disclosing at least ``generalise`` of some entity is replaced by that entity's class, one of at
 least ``remove`` is taken out. Counts are of all documents, whole texts, each term once a document.
 
-Only terms that occur beside at least ``support`` different sets of personal values (by HyperLogLog)
-can be judged: copies of one document, however many, say nothing about a term. So
-candidates come from the documents with entities; what they are in all documents is counted in
-one more pass.
+Only terms that occur in at least ``support`` different texts with the entity can be judged, whatever
+its values are there: copies of one document, however many, say nothing about a term. So
+candidates come from the texts with entities, each taken once with the number of its documents;
+what they are in all documents is counted in one more pass.
 
 Everything is built-in expressions. Patterns are written with possessive quantifiers, so long
 runs neither recurse nor backtrack.
@@ -119,13 +119,11 @@ def disclosing_terms(keyed: DataFrame, generalise: float = 0.6, remove: float =
     """
     has = [F.exists("base", _of_kind(n)) for n in range(len(KINDS))]
     totals = keyed.agg(F.count("*").alias("docs"), *[F.count_if(h).alias(f"docs_{k}") for h, k in zip(has, KINDS, strict=True)])
-    values = F.array_sort(F.transform("base", lambda s: F.substr(F.col("text"), s["start"] + 1, s["end"] - s["start"])))
-    private = keyed.where(F.size("base") > 0).select(
-        F.xxhash64(values).alias("values"), F.explode(terms(F.col("text"))).alias("term"), *[h.alias(k) for h, k in zip(has, KINDS, strict=True)]
-    )
-    different = [F.approx_count_distinct(F.when(F.col(k), F.col("values")), 0.1).alias(f"{k}_values") for k in KINDS]
-    counted = private.groupBy("term").agg(*[F.count_if(k).alias(k) for k in KINDS], *different)
-    candidates = counted.where(F.greatest(*[F.col(f"{k}_values") for k in KINDS]) >= support)
+    texts = keyed.where(F.size("base") > 0).groupBy("text", *[h.alias(k) for h, k in zip(has, KINDS, strict=True)]).agg(F.count("*").alias("docs"))
+    private = texts.select("docs", *KINDS, F.explode(terms(F.col("text"))).alias("term"))
+    both = [F.sum(F.when(F.col(k), F.col("docs")).otherwise(0)).alias(k) for k in KINDS]
+    counted = private.groupBy("term").agg(*both, *[F.count_if(k).alias(f"{k}_texts") for k in KINDS])
+    candidates = counted.where(F.greatest(*[F.col(f"{k}_texts") for k in KINDS]) >= support)
     candidates = stored(candidates, "candidates")
     judged = F.broadcast(candidates) if small_enough(candidates, MAX_BROADCAST_TERMS) else candidates
     everywhere = keyed.select(F.explode(terms(F.col("text"))).alias("term"))
@@ -137,7 +135,7 @@ def disclosing_terms(keyed: DataFrame, generalise: float = 0.6, remove: float =
         own, both = F.col(f"docs_{kind}"), F.col(kind)
         information = F.log2(F.col("docs") / own)
         mutual = F.log2(both * F.col("docs") / (F.col("n") * own))
-        share = F.when((F.col(f"{kind}_values") >= support) & (own < F.col("docs")), mutual / information)
+        share = F.when((F.col(f"{kind}_texts") >= support) & (own < F.col("docs")), mutual / information)
         shares.append(F.struct(F.coalesce(share, F.lit(-1.0)).alias("disclosure"), F.lit(number).alias("kind")))
     best = table.select("term", F.array_max(F.array(*shares)).alias("best")).select("term", "best.*")
     return best.where(F.col("disclosure") >= generalise).withColumn("removed", F.col("disclosure") >= remove)
