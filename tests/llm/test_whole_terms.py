@@ -22,3 +22,13 @@ def test_a_name_beside_one_address_in_many_documents(spark):
 def test_copies_of_one_text_do_not_count(spark):
     docs = [(k, "Quimby wrote from jq@mail.org to the desk") for k in range(20)]
     assert not any(term_spans(spark, docs).values())
+
+
+def test_numbers_mixed_ids_and_marks_are_words(spark):
+    hindi = "हिन्दी"
+    docs = [(k, f"K-48213 and user0042 and {hindi} by mail{k}@mail.org, call +49 30 1234567{k:02} or 4111 1111 1111 1111 for desk") for k in range(20)]
+    docs += [(100 + k, f"user{k} and K-{k} of the desk") for k in range(20)]
+    got = term_spans(spark, docs)
+    for k in range(20):
+        assert {"48213", "user0042", hindi} <= set(got[k]) and not {"4111", "49", "1111"} & set(got[k])
+    assert not any(got[100 + k] for k in range(20)) and not any(got[k] for k, _ in OTHER)

@@ -29,6 +29,8 @@ from tidemark.llm.common import small_enough, stored
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
+#: Letters with their combining marks, digits and underscores make a word.
+IN_WORD = r"\p{L}\p{M}\p{N}_"
 #: A local part starts where its run starts, or right behind the match before it.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 PATTERNS = {
@@ -106,10 +108,25 @@ def base_spans(text: Column) -> Column:
     return F.concat(*parts)
 
 
-def terms(text: Column) -> Column:
-    """The distinct lower-cased words of a text outside e-mail addresses."""
-    outside = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, EMAIL, " ")).otherwise(text)
-    return F.array_remove(F.array_distinct(F.split(F.lower(outside), r"[^\p{L}]+")), "")
+def outside(text: Column, base: Column) -> Column:
+    """``text`` with a blank for every character of its base spans."""
+    ordered = F.array_sort(F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+
+    def put(acc: Column, span: Column) -> Column:
+        end = F.greatest(acc["at"], span["end"])
+        start = F.greatest(acc["at"], span["start"])
+        between = F.substr(text, acc["at"] + 1, start - acc["at"])
+        return F.struct(end.alias("at"), F.concat(acc["out"], between, F.repeat(F.lit(" "), end - start)).alias("out"))
+
+    done = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), put)
+    # one lambda variable, so that the spans are put once
+    whole = F.transform(F.array(done), lambda d: F.concat(d["out"], F.substr(text, d["at"] + 1, F.char_length(text))))[0]
+    return F.when(F.size(base) == 0, text).otherwise(whole)
+
+
+def terms(text: Column, base: Column) -> Column:
+    """The distinct lower-cased words of a text outside its base spans."""
+    return F.array_remove(F.array_distinct(F.split(F.lower(outside(text, base)), f"[^{IN_WORD}]+")), "")
 
 
 def disclosing_terms(keyed: DataFrame, generalise: float = 0.6, remove: float = 0.85, support: int = 10) -> DataFrame:
@@ -119,14 +136,14 @@ def disclosing_terms(keyed: DataFrame, generalise: float = 0.6, remove: float =
     """
     has = [F.exists("base", _of_kind(n)) for n in range(len(KINDS))]
     totals = keyed.agg(F.count("*").alias("docs"), *[F.count_if(h).alias(f"docs_{k}") for h, k in zip(has, KINDS, strict=True)])
-    texts = keyed.where(F.size("base") > 0).groupBy("text", *[h.alias(k) for h, k in zip(has, KINDS, strict=True)]).agg(F.count("*").alias("docs"))
-    private = texts.select("docs", *KINDS, F.explode(terms(F.col("text"))).alias("term"))
+    texts = keyed.where(F.size("base") > 0).groupBy("text", "base", *[h.alias(k) for h, k in zip(has, KINDS, strict=True)]).agg(F.count("*").alias("docs"))
+    private = texts.select("docs", *KINDS, F.explode(terms(F.col("text"), F.col("base"))).alias("term"))
     both = [F.sum(F.when(F.col(k), F.col("docs")).otherwise(0)).alias(k) for k in KINDS]
     counted = private.groupBy("term").agg(*both, *[F.count_if(k).alias(f"{k}_texts") for k in KINDS])
     candidates = counted.where(F.greatest(*[F.col(f"{k}_texts") for k in KINDS]) >= support)
     candidates = stored(candidates, "candidates")
     judged = F.broadcast(candidates) if small_enough(candidates, MAX_BROADCAST_TERMS) else candidates
-    everywhere = keyed.select(F.explode(terms(F.col("text"))).alias("term"))
+    everywhere = keyed.select(F.explode(terms(F.col("text"), F.col("base"))).alias("term"))
     counts = everywhere.join(judged.select("term"), "term").groupBy("term").agg(F.count("*").alias("n"))
     # one row of totals, known by construction: broadcasting it is bounded
     table = candidates.join(counts, "term").crossJoin(F.broadcast(totals))
@@ -141,12 +158,10 @@ def disclosing_terms(keyed: DataFrame, generalise: float = 0.6, remove: float =
     return best.where(F.col("disclosure") >= generalise).withColumn("removed", F.col("disclosure") >= remove)
 
 
-def _term_spans(text: Column, told: Column) -> Column:
-    """Spans of the words of ``told``, an array of lower-cased words, outside e-mail addresses."""
-    pattern = F.concat(F.lit(rf"{EMAIL}|(?iu)(?<!\p{{L}})(?:"), F.array_join(told, "|"), F.lit(r")(?!\p{L})"))
-    words = F.filter(
-        _matches(text, pattern), lambda m: ~F.contains(m["text"], F.lit("@")) & F.array_contains(told, F.lower(m["text"]))
-    )
+def _term_spans(text: Column, base: Column, told: Column) -> Column:
+    """Spans of the words of ``told``, an array of lower-cased words, outside the base spans."""
+    pattern = F.concat(F.lit(f"(?iu)(?<![{IN_WORD}])(?:"), F.array_join(told, "|"), F.lit(f")(?![{IN_WORD}])"))
+    words = F.filter(_matches(outside(text, base), pattern), lambda m: F.array_contains(told, F.lower(m["text"])))
     return _as_spans(words, len(KINDS))
 
 
@@ -160,17 +175,17 @@ def found(docs: DataFrame, generalise: float = 0.6, remove: float = 0.85, suppor
     if small_enough(told, MAX_LITERAL_TERMS):
         known = {r.term: (r.kind, r.removed) for r in told.collect()}
         names = sorted(known)
-        inside = F.filter(terms(F.col("text")), lambda w: w.isin(names)) if names else F.array().cast("array<string>")
+        inside = F.filter(terms(F.col("text"), F.col("base")), lambda w: w.isin(names)) if names else F.array().cast("array<string>")
         joined = keyed.withColumn("_in", inside)
         gone = [w for w in names if known[w][1]]
         dropped = (lambda w: w.isin(gone)) if gone else (lambda w: F.lit(False))
     else:
         judged = F.broadcast(told) if small_enough(told, MAX_BROADCAST_TERMS) else told
-        each = keyed.select("_row", F.explode(terms(F.col("text"))).alias("term")).join(judged, "term")
+        each = keyed.select("_row", F.explode(terms(F.col("text"), F.col("base"))).alias("term")).join(judged, "term")
         per_row = each.groupBy("_row").agg(F.collect_list("term").alias("_in"), F.collect_list(F.when(F.col("removed"), F.col("term"))).alias("_gone"))
         joined = keyed.join(per_row, "_row", "left")
         dropped = lambda w: F.coalesce(F.array_contains("_gone", w), F.lit(False))
-    spans = F.when(F.size("_in") > 0, _term_spans(F.col("text"), F.col("_in"))).otherwise(none)
+    spans = F.when(F.size("_in") > 0, _term_spans(F.col("text"), F.col("base"), F.col("_in"))).otherwise(none)
     both = joined.withColumn("spans", F.concat("base", spans))
     return both.select("doc_id", "text", "base", "spans", sanitised(F.col("text"), F.col("spans"), dropped).alias("sanitised"))
 
