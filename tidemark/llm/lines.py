@@ -165,20 +165,20 @@ def _near_in_blocks(rooted: DataFrame, texts: DataFrame, threshold: float) -> Da
     """
     outside = rooted.where("root <> head")
     sizes = outside.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    sets = texts.select(F.col("node").alias("_node"), _hashed("line").alias("grams"))
+    sets = texts.select(F.col("node").alias("_node"), "line")
     busy = rooted.join(sizes, "key").join(sets, F.col("x.node") == F.col("_node")).drop("_node")
-    one = F.struct("root", "grams", F.col("x.node").alias("node"), F.col("x.n").alias("n"), F.col("x.whole").alias("whole"))
+    one = F.struct("root", "line", F.col("x.node").alias("node"), F.col("x.n").alias("n"), F.col("x.whole").alias("whole"))
     placed = busy.where("root <> head").withColumn("block", F.pmod(F.xxhash64("x.node"), F.col("blocks")))
     blocks = placed.groupBy("key", "block").agg(F.collect_list(one).alias("others"))
 
-    def near(y: Column) -> Column:
-        both = F.size(F.array_intersect(F.col("grams"), y["grams"]))
-        share = both / (F.size("grams") + F.size(y["grams"]) - both)
-        may = _may_be_near(F.col("x"), y, threshold)
-        return (y["root"] != F.col("root")) & F.when(may, share >= threshold).otherwise(False)
+    def may(y: Column) -> Column:
+        return (y["root"] != F.col("root")) & _may_be_near(F.col("x"), y, threshold)
 
-    met = busy.select("key", "x", "root", "grams").join(blocks.select("key", "others"), "key")
-    found = met.select(F.col("x.node").alias("a"), F.explode(F.transform(F.filter("others", near), lambda y: y["node"])).alias("b"))
+    met = busy.select("key", "x", "root", "line").join(blocks.select("key", "others"), "key")
+    met = met.withColumn("others", F.filter("others", may)).where(F.size("others") > 0)
+    met = met.select("x", "others", _hashed("line").alias("grams"))
+    near = F.filter("others", lambda y: _share(F.col("grams"), _hashed(y["line"])) >= threshold)
+    found = met.select(F.col("x.node").alias("a"), F.explode(F.transform(near, lambda y: y["node"])).alias("b"))
     return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
