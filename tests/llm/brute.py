@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
+from collections import Counter
 
 import xxhash
 
@@ -66,15 +68,11 @@ def personal_data(text):
 WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
 
 
-def line_shingles(line, chars=10):
-    return {line[m.start() : m.start() + chars] for m in WORD.finditer(line)}
-
-
 def sliding_shingles(line, chars=10):
     return {line[k : k + chars] for k in range(max(1, len(line) - chars + 1))}
 
 
-def deduplicated(docs, shingles=line_shingles):
+def deduplicated(docs, shingles=sliding_shingles):
     """``docs`` as (doc_id, text) with distinct ids: texts without lines that another one stands for."""
     classes = sorted({line for _, text in docs for line in (text or "").split("\n") if WORD.search(line)})
     sets = {line: shingles(line) for line in classes}
@@ -130,3 +128,61 @@ def copies(ident, rate, seed=42, piece=32):
             total += p
         count += n
     return count
+
+
+def spelling_words(docs):
+    """Occurrences of the counted words, a character dropped where the hash says so."""
+    counts = Counter()
+    for ident, text in docs:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if ident is None else ident}:{run}".encode())
+            at = h % len(run)
+            counts[run[:at] + run[at + 1 :] if h % 199 == 0 else run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+
+
+def spelling_variants(words):
+    """``word: (form, root, n, n_near, form_n)``, by trying every edit of every word."""
+    letters = {c for w in words for c in w}
+
+    def near(w):
+        cut = {w[:k] + w[k + 1 :] for k in range(len(w))}
+        swapped = {w[:k] + c + w[k + 1 :] for k in range(len(w)) for c in letters}
+        grown = {w[:k] + c + w[k:] for k in range(len(w) + 1) for c in letters}
+        return ((cut | swapped | grown) - {w}) & words.keys()
+
+    around = {w: near(w) for w in words}
+    best = {w: min(s, key=lambda x: (-words[x], x)) for w, s in around.items() if s}
+    form = {w: b for w, b in best.items() if words[b] >= 5 * words[w]}
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {w: (form.get(w), root(w), n, len(around[w]), words.get(form.get(w))) for w, n in words.items()}
+
+
+def without_repeats(docs, size=400):
+    """``(doc_id, n_bytes, spans, kept)`` per document, by counting every window."""
+    texts = [(ident, (text or "").encode()) for ident, text in docs]
+
+    def windows(data):
+        return [hashlib.blake2b(data[k : k + size], digest_size=16).digest() for k in range(len(data) - size + 1)]
+
+    counts = Counter(w for _, data in texts for w in windows(data))
+    out = []
+    for ident, data in texts:
+        spans = []
+        for k, w in enumerate(windows(data)):
+            if counts[w] > 1:
+                if spans and k <= spans[-1][1]:
+                    spans[-1] = spans[-1][0], k + size
+                else:
+                    spans.append((k, k + size))
+        kept, at = b"", 0
+        for a, b in spans:
+            kept, at = kept + data[at:a], b
+        out.append((ident, len(data), spans, kept + data[at:]))
+    return out

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, lines, mixing, privacy, quality, simhash, urls, vectors, warc
+from tidemark.llm import (
+    chat, decontaminate, lines, mixing, privacy, quality, simhash, substrings, urls, variants, vectors, warc, whitening,
+)
 from tidemark.llm.common import table
 from tidemark.session import scratch_folder
 
@@ -85,11 +87,31 @@ def op10_bm25_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_permuterm_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op13_refined_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_prefix_targets, op2_embedding_pq, op3_quality_cnn, op4_warc_chain, op5_url_logistic,
         op6_line_minhash, op7_simhash_bktree, op8_poisson_mixing, op9_pii_disclosure, op10_bm25_decontaminate,
+        op11_permuterm_variants, op12_prefix_free_parsing, op13_refined_whitening,
     )
 }
 
