@@ -7,8 +7,8 @@ could not tell:
 * **Parse.** A rolling hash of ``WINDOW`` bytes triggers where it falls below a bound, and phrases run
   from trigger to trigger. Equal text has equal triggers, so a window of ``size`` bytes is told by its first
   trigger: the *phrase suffix* before it and the *rest of the parse* behind it. Windows of one phrase that
-  are about as far from their trigger form a block, which stands for all of them. A window without a
-  trigger is a block of its own.
+  are about as far from their trigger form a block, which stands for all of them. Windows without a
+  trigger are parsed by a second, more frequent one; a window without that is a block of its own.
 * **Dictionary.** Blocks are named by a digest of all bytes of their windows and counted, but only
   those whose rest of the parse (as far as all windows of the block reach) occurs again; in text
   that does not repeat none does. A block that occurs twice repeats as a whole, with no look at
@@ -23,8 +23,8 @@ Phrases are ordered by name rather than by their letters: only equal neighbours
 digests. The work of a task is bounded by the text of its documents and by equal shares of the sorted entries.
 
 Rows: a NULL text is empty. A text shorter than ``size`` loses nothing. Rows that repeat id and text are
-two documents, so each of their windows occurs twice. A NULL id is a value like others. Text without triggers (a run
-of one byte) gives a block per byte. A very long text is parsed in pieces, one row of its task. An empty table gives an
+two documents, so each of their windows occurs twice. A NULL id is a value like others. Text without any trigger (as a run
+of one byte) gives a block per byte. A very long text is hashed in pieces, one row of its task. An empty table gives an
 empty result. Only the two named columns are read, so extra columns may have any name.
 """
 
@@ -43,24 +43,30 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import stored
 
 SIZE = 400
-WINDOW, PHRASE = 8, 48
+WINDOW = 8
 MIX = np.uint64(0x9E3779B97F4A7C15)
-BOUND = np.uint64((1 << 64) // PHRASE)
+#: One window in so many triggers; the second is asked where the first leaves whole windows without one.
+PHRASES = (48, 6)
 #: Distances to the trigger at which the blocks of a phrase are cut.
 CUTS = (0, 64, 128, 256)
+#: Bands of both kinds of trigger, then the windows without any.
+ALONE = 2 * len(CUTS)
 PIECE, HELD = 1 << 22, 50_000
 ENTRIES_PER_TASK = 200_000
-ALONE = len(CUTS)
 UNIT = ["doc_id", "digest"]
+#: Bits of a distance in a packed spot; a window is shorter than that many bytes.
+BITS = 14
 
+Spot = tuple[int, int, int, int]
 
-def triggers(data: bytes) -> list[int]:
-    """Where the hash of the next ``WINDOW`` bytes is below the bound."""
-    found = []
+
+def triggers(data: bytes, phrase: int) -> list[int]:
+    """Where the hash of the next ``WINDOW`` bytes is in the lowest ``phrase``-th."""
+    found, bound = [], np.uint64((1 << 64) // phrase)
     for start in range(0, len(data) - WINDOW + 1, PIECE):
         count = min(PIECE, len(data) - WINDOW + 1 - start)
         words = np.ndarray((count,), "<u8", data, start, (1,)).copy()
-        found.extend((np.flatnonzero(words * MIX < BOUND) + start).tolist())
+        found.extend((np.flatnonzero(words * MIX < bound) + start).tolist())
     return found
 
 
@@ -70,35 +76,58 @@ def _bands(size: int) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:], strict=False))
 
 
-def blocks_of(data: bytes, size: int) -> Iterator[tuple[int, int, int, int]]:
-    """``(band, at, far, near)``: the windows that start ``far`` down to ``near`` bytes before ``at``.
-
-    Each start of a window is in one block.
-    """
-    last, bands, before = len(data) - size, _bands(size), -1
-    if last < 0:
-        return
-    beyond = bands[-1][1]
-    for at in triggers(data):
-        reach, least = at - before - 1, max(0, at - last)
+def _cut(found: list[int], first: int, last: int, bands: list[tuple[int, int]], level: int) -> tuple[list[Spot], list[tuple[int, int]]]:
+    """Blocks of the starts from ``first`` to ``last`` by the triggers ``found``; runs of starts without one."""
+    spots, bare, before, beyond = [], [], first - 1, bands[-1][1]
+    for at in found:
         if before >= last:
-            return
+            break
+        reach, least = at - before - 1, max(0, at - last)
         for band, (a, b) in enumerate(bands):
             if a > reach:
                 break
             near, far = max(a, least), min(b - 1, reach)
             if near <= far:
-                yield band, at, far, near
-        for start in range(before + 1, min(at - beyond, last) + 1):
-            yield ALONE, start, 0, 0
+                spots.append((level * len(CUTS) + band, at, far, near))
+        if reach >= beyond:
+            bare.append((before + 1, min(at - beyond, last)))
         before = at
-    for start in range(before + 1, last + 1):
-        yield ALONE, start, 0, 0
+    if before < last:
+        bare.append((before + 1, last))
+    return spots, bare
+
+
+def blocks_of(data: bytes, size: int) -> list[Spot]:
+    """``(band, at, far, near)``: the windows that start ``far`` down to ``near`` bytes before ``at``.
+
+    Each start of a window is in one block. Where whole windows have no trigger, as in text of a
+    short period, more frequent triggers cut them; where those are missing too every window is a block.
+    """
+    last, bands = len(data) - size, _bands(size)
+    if last < 0:
+        return []
+    spots, bare = _cut(triggers(data, PHRASES[0]), 0, last, bands, 0)
+    for first, stop in bare:
+        finer = [first + t for t in triggers(data[first : stop + size], PHRASES[1])]
+        more, none = _cut(finer, first, stop, bands, 1)
+        spots += more
+        spots += [(ALONE, start, 0, 0) for a, b in none for start in range(a, b + 1)]
+    return spots
 
 
 def _rest(data: bytes, band: int, at: int, size: int, bands: list[tuple[int, int]]) -> bytes:
     """The bytes from the trigger on that all windows of a block have; all bytes of a window alone."""
-    return data[at : at + (size if band == ALONE else size - bands[band][1] + 1)]
+    return data[at : at + (size if band == ALONE else size - bands[band % len(CUTS)][1] + 1)]
+
+
+def _packed(spots: list[Spot]) -> np.ndarray:
+    band, at, far, near = np.array(spots, np.int64).reshape(-1, 4).T
+    return ((at << 4 | band) << BITS | far) << BITS | near
+
+
+def _unpacked(spot: int) -> Spot:
+    low = (1 << BITS) - 1
+    return spot >> 2 * BITS & 15, spot >> 2 * BITS + 4, spot >> BITS & low, spot & low
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -106,40 +135,49 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("digest"), text.cast("binary").alias("data"))
 
 
+def rests(texts: DataFrame, size: int) -> DataFrame:
+    """``(rest)`` of every block: the digest of the parse behind it."""
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands, short = _bands(size), xxhash.xxh3_64_intdigest
+        for batch in batches:
+            for value in batch.column("data"):
+                data = value.as_py()
+                found = [short(_rest(data, band, at, size, bands), band) for band, at, _, _ in blocks_of(data, size)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(found, np.uint64).view(np.int64))], ["rest"])
+
+    return texts.where(F.octet_length("data") >= size).select("data").mapInArrow(parse, "rest long")
+
+
 def parsed(texts: DataFrame, size: int) -> DataFrame:
-    """``(rest, name1, name2, doc_id, digest, band, at, far, near)`` of every block."""
-    fields = ["rest", "name1", "name2", *UNIT, "band", "at", "far", "near"]
+    """``(rest, name, doc_id, digest, spot)`` of every block; with ``rest``, ``name`` tells all bytes of it."""
+    fields = ["rest", "name", *UNIT, "spot"]
     kind = texts.schema["doc_id"].dataType.simpleString()
-    schema = f"rest long, name1 long, name2 long, doc_id {kind}, digest long, band int, at int, far int, near int"
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = _bands(size)
-        short, wide = xxhash.xxh3_64_intdigest, xxhash.xxh3_128_digest
+        bands, digest = _bands(size), xxhash.xxh3_64_intdigest
         for batch in batches:
-            rests: list[int] = []
-            names: list[bytes] = []
-            spots: list[tuple] = []
+            behind: list[int] = []
+            names: list[int] = []
+            spots: list[Spot] = []
             rows: list[int] = []
 
-            def flush(batch=batch, rests=rests, names=names, spots=spots, rows=rows) -> pa.RecordBatch:
-                named = np.frombuffer(b"".join(names), "<i8").reshape(-1, 2)
-                places = np.array(spots, np.int32).reshape(-1, 4)
-                owner = pa.array(rows, pa.int64())
+            def flush(batch=batch, held=(behind, names, spots, rows)) -> pa.RecordBatch:
+                owner = pa.array(held[3], pa.int64())
                 columns = [
-                    pa.array(np.array(rests, np.uint64).view(np.int64)), pa.array(named[:, 0].copy()), pa.array(named[:, 1].copy()),
-                    batch.column("doc_id").take(owner), batch.column("digest").take(owner),
-                    *[pa.array(places[:, k].copy()) for k in range(4)],
+                    *[pa.array(np.array(h, np.uint64).view(np.int64)) for h in held[:2]],
+                    *[batch.column(u).take(owner) for u in UNIT], pa.array(_packed(held[2])),
                 ]
-                for held in (rests, names, spots, rows):
-                    held.clear()
+                for h in held:
+                    h.clear()
                 return pa.RecordBatch.from_arrays(columns, fields)
 
             for row, value in enumerate(batch.column("data")):
                 data = value.as_py()
                 for spot in blocks_of(data, size):
                     band, at, far, near = spot
-                    rests.append(short(_rest(data, band, at, size, bands), band))
-                    names.append(wide(data[at - far : at - near + size], far * size + near))
+                    behind.append(digest(_rest(data, band, at, size, bands), band))
+                    names.append(digest(data[at - far : at - near + size], far << BITS | near))
                     spots.append(spot)
                     rows.append(row)
                     if len(rows) >= HELD:
@@ -147,12 +185,13 @@ def parsed(texts: DataFrame, size: int) -> DataFrame:
             if rows:
                 yield flush()
 
-    return texts.where(F.octet_length("data") >= size).mapInArrow(parse, schema)
+    blocks = texts.where(F.octet_length("data") >= size)
+    return blocks.mapInArrow(parse, f"rest long, name long, doc_id {kind}, digest long, spot long")
 
 
 def _windows(texts: DataFrame, blocks: DataFrame, size: int) -> DataFrame:
     """``(key, times, doc_id, digest, start)``: every window of ``blocks``, by its place in corpus order."""
-    spot = F.struct("times", "band", "at", "far", "near")
+    spot = F.struct("times", "spot")
     wanted = blocks.groupBy(*UNIT).agg(F.collect_list(spot).alias("spots")).withColumnsRenamed({u: f"_{u}" for u in UNIT})
     same = texts["doc_id"].eqNullSafe(wanted["_doc_id"]) & (texts["digest"] == wanted["_digest"])
     joined = texts.join(wanted, same).select(*UNIT, "data", "spots")
@@ -174,12 +213,12 @@ def _windows(texts: DataFrame, blocks: DataFrame, size: int) -> DataFrame:
                 row = batch.slice(k, 1).to_pylist()[0]
                 data, keys, times, starts = row["data"], [], [], []
                 for s in row["spots"]:
-                    rest = _rest(data, s["band"], s["at"], size, bands)
-                    head = bytes([s["band"]]) + xxhash.xxh3_128_digest(rest)
-                    end = s["at"] + len(rest)
-                    for far in range(s["near"], s["far"] + 1):
-                        start = s["at"] - far
-                        keys.append(head + far.to_bytes(4, "big") + data[start : s["at"]] + data[end : start + size])
+                    band, at, most, least = _unpacked(s["spot"])
+                    rest = _rest(data, band, at, size, bands)
+                    head, end = bytes([band]) + xxhash.xxh3_128_digest(rest), at + len(rest)
+                    for far in range(least, most + 1):
+                        start = at - far
+                        keys.append(head + far.to_bytes(2, "big") + data[start:at] + data[end : start + size])
                         times.append(s["times"])
                         starts.append(start)
                     if len(keys) >= HELD:
@@ -244,19 +283,21 @@ def _repeated(windows: DataFrame) -> DataFrame:
 
 def repeats(texts: DataFrame, size: int) -> DataFrame:
     """``(doc_id, digest, spans)``: the bytes of each document that repeat, as overlapping ``(start, stop)``."""
-    blocks = stored(parsed(texts, size), "blocks")
-    again = blocks.groupBy("rest").agg(F.count("*").alias("times")).where("times > 1").select("rest")
-    met = stored(blocks.join(again, "rest"), "met")
+    again = rests(texts, size).groupBy("rest").agg(F.count("*").alias("times")).where("times > 1").select("rest")
+    met = stored(parsed(texts, size).join(again, "rest"), "met")
 
-    name = ["name1", "name2"]
-    spot = F.min(F.struct(*UNIT, "band", "at", "far", "near")).alias("spot")
-    names = stored(met.groupBy("rest", *name).agg(F.count("*").alias("times"), spot), "names")
+    name = ["rest", "name"]
+    # where a block occurs once, the first is the one; else any will do
+    spot = [F.first(c).alias(c) for c in (*UNIT, "spot")]
+    names = stored(met.groupBy(*name).agg(F.count("*").alias("times"), *spot), "names")
     whole = met.join(names.where("times > 1").select(*name), name, "left_semi")
-    found = whole.select(*UNIT, (F.col("at") - F.col("far")).alias("start"), (F.col("at") - F.col("near") + size).alias("stop"))
+    low = (1 << BITS) - 1
+    at, far, near = F.shiftright("spot", 2 * BITS + 4), F.shiftright("spot", BITS).bitwiseAND(low), F.col("spot").bitwiseAND(low)
+    found = whole.select(*UNIT, (at - far).cast("int").alias("start"), (at - near + size).cast("int").alias("stop"))
 
     mixed = names.groupBy("rest").agg(F.count("*").alias("kinds"), F.min("times").alias("least"))
     mixed = mixed.where("kinds > 1 AND least = 1").select("rest")
-    ends = names.join(mixed, "rest", "left_semi").select("times", "spot.*")
+    ends = names.join(mixed, "rest", "left_semi").select("times", *UNIT, "spot")
     single = _repeated(_windows(texts, ends, size))
     found = found.unionByName(single.select(*UNIT, "start", (F.col("start") + size).alias("stop")))
     return found.groupBy(*UNIT).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
@@ -275,8 +316,8 @@ def _joined(spans: list[dict]) -> list[tuple[int, int]]:
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
     """``(doc_id, n_bytes, spans, kept)`` of every row: the byte spans taken out and the bytes that remain."""
-    if size < WINDOW:
-        raise ValueError(f"size must be at least {WINDOW}")
+    if not WINDOW <= size < 1 << BITS:
+        raise ValueError(f"size must be from {WINDOW} to {(1 << BITS) - 1}")
     texts = _texts(docs, id_col, text_col)
     found = stored(repeats(texts, size), "repeats").withColumnsRenamed({u: f"_{u}" for u in UNIT})
     same = texts["doc_id"].eqNullSafe(found["_doc_id"]) & (texts["digest"] == found["_digest"])
