@@ -40,10 +40,13 @@ def test_published_tables_answer_the_validation_queries(spark, tmp_path):
     jobs.run_gold(spark, layout)
     serving.publish(spark, layout)
     other = spark.newSession()
-    assert other.table("global_temp.payments_silver").count() == layout.silver(spark).read().count()
+    assert other.table("global_temp.payments_silver").count() == layout.read_silver(spark).count()
     assert {"payments_silver", "payment_metrics_gold"} <= set(visible_tables(spark))
     answers = serving.validation_queries(spark)
     totals = answers["totals"].collect()
     assert sum(r.total_payments for r in totals) == answers["silver_rows"].first().silver_rows > 0
     assert [r.total_volume for r in totals] == sorted((r.total_volume for r in totals), reverse=True)
     assert answers["gold_rows"].first().gold_rows >= len(totals)
+    # the tables themselves are seen by every session of the catalog
+    assert other.table(layout.silver).count() == other.table("global_temp.payments_silver").count()
+    spark.sql(f"DROP DATABASE {layout.namespace} CASCADE")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import random
 from collections import Counter
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +14,8 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.operators import changes, metrics, quality
 from tidemark.plans import layers
+from tidemark.sinks import tables
 from tidemark.sinks.deadletter import read_dead_letters, write_dead_letters
-from tidemark.sinks.snapshots import CommitConflict, SnapshotTable
 from tidemark.sources import sample
 from tidemark.sources.records import file_records
 from tidemark.streaming import jobs
@@ -21,6 +24,37 @@ SMALL = "/root/testdata/sf0.001"
 COLUMNS = schemas.PAYMENT.names
 
 
+@pytest.fixture
+def layout(spark, tmp_path):
+    made = jobs.Layout(str(tmp_path / "tables"), str(tmp_path / "progress"), buckets=2)
+    yield made
+    spark.sql(f"DROP DATABASE IF EXISTS {made.namespace} CASCADE")
+
+
+def files(spark, name):
+    """Paths of a table's data files; a rewritten partition has new ones."""
+    spark.catalog.refreshTable(name)
+    return set(spark.table(name).inputFiles())
+
+
+def folders(paths):
+    return {p.rsplit("/", 1)[0] for p in paths}
+
+
+def event(op, key, hour=0, amount="10.00", status="authorized", **more):
+    """A change event whose payment is made so many hours after 2024-01-01."""
+    micros = (1_704_067_200 + hour * 3600) * 1_000_000
+    image = {
+        "payment_id": key, "merchant_id": 1, "amount": amount, "currency": "EUR", "payment_method": "card",
+        "payment_status": status, "country_code": "NL", "created_at": micros, "updated_at": micros + 1_000_000,
+    } | more
+    return json.dumps({"op": op, "before" if op == "d" else "after": {"payment_id": key} if op == "d" else image})
+
+
+def log_of(spark, *values, start=0):
+    return spark.createDataFrame([(v, start + k) for k, v in enumerate(values)], "kafka_value STRING, kafka_offset BIGINT")
+
+
 def bag(df):
     return Counter(tuple(r) for r in df.collect())
 
@@ -37,80 +71,103 @@ def records_in_order(spark, folder, batches=3):
 
 
 @pytest.mark.parametrize("mode", [changes.REFERENCE, changes.ORDERED])
-def test_layers_fed_in_steps(spark, tmp_path, mode):
+def test_layers_fed_in_steps(spark, tmp_path, layout, mode):
     folder = str(tmp_path / "records")
-    layout = jobs.Layout(str(tmp_path / "tables"), str(tmp_path / "progress"))
     log = sample.raw_log(spark, SMALL)
     for step in records_in_order(spark, folder):
         jobs.run_layers(file_records(spark, folder), layout, mode)
-        silver = layout.silver(spark, mode)
-        assert silver.snapshot().version == step + 1
+        assert spark.table(layout.batches).count() == step + 1
 
     # raw log: every record once, masked
     stored = spark.read.parquet(layout.bronze)
     assert bag(stored.select(*schemas.BRONZE.names)) == bag(log.select(*schemas.BRONZE.names))
 
-    live = silver.read() if mode == changes.REFERENCE else changes.current_rows(silver.read())
+    live = layout.read_silver(spark, mode)
     if mode == changes.ORDERED:
         # the outcome does not depend on how the log was cut
         assert bag(live.select(*COLUMNS)) == bag(layers.silver_state(log, mode))
     assert live.select("payment_id").distinct().count() == live.count()
 
-    # metrics refreshed in steps equal metrics of the final state
-    assert bag(layout.gold(spark).read()) == bag(metrics.hourly_metrics(live).select(*schemas.GOLD.names))
+    # metrics that followed the changes equal metrics of the final state
+    assert bag(layout.read_gold(spark)) == bag(metrics.hourly_metrics(live).select(*schemas.GOLD.names))
 
     letters = read_dead_letters(spark, layout.dead_letters)
     assert letters.count() == log.where(F.col("_route").isin("null_op", "unexpected_op")).count()
     assert letters.select("batch_id").distinct().count() == 3
 
     # nothing new: nothing happens
-    before = silver.snapshot(), layout.gold(spark).snapshot(), silver.log().count()
+    names = (layout.silver, layout.cells, layout.batches, layout.change_log)
+    before = [files(spark, n) for n in names]
     jobs.run_layers(file_records(spark, folder), layout, mode)
-    after = silver.snapshot(), layout.gold(spark).snapshot(), silver.log().count()
-    assert [s.version for s in after[:2]] == [s.version for s in before[:2]] and after[0].version == 3
-    assert after[0].folders == before[0].folders and after[2] == before[2]
+    assert [files(spark, n) for n in names] == before
 
 
-def test_steps_equal_batches_in_reference_mode(spark, tmp_path):
+def test_steps_equal_batches_in_reference_mode(spark, layout):
     log = sample.raw_log(spark, SMALL)
-    layout = jobs.Layout(str(tmp_path / "t"), str(tmp_path / "p"))
     half = F.lit(datetime(2024, 1, 16))
     parts = [log.where(F.col("kafka_timestamp") <= half), log.where(F.col("kafka_timestamp") > half)]
     state = layers.silver_state(parts[0])
     for i, part in enumerate(parts):
-        jobs.apply_batch(part, i, layout)
+        assert jobs.apply_batch(part, i, layout) > 0
     state = changes.apply_changes(state, changes.resolve(changes.decode(parts[1])))
-    table = layout.silver(spark)
-    assert bag(table.read().select(*COLUMNS)) == bag(state.select(*COLUMNS))
-    # time travel, and a replay of the last batch
-    assert bag(table.read(version=1).select(*COLUMNS)) == bag(layers.silver_state(parts[0]))
-    jobs.apply_batch(parts[1], 1, layout)
-    assert bag(table.read().select(*COLUMNS)) == bag(state.select(*COLUMNS))
+    assert bag(layout.read_silver(spark).select(*COLUMNS)) == bag(state.select(*COLUMNS))
+    # an earlier state, and a replay of the last batch
+    assert bag(jobs.silver_as_of(spark, layout, "manual", 0).select(*COLUMNS)) == bag(layers.silver_state(parts[0]))
+    before = files(spark, layout.silver)
+    assert jobs.apply_batch(parts[1], 1, layout) == 0 and files(spark, layout.silver) == before
 
 
-def test_metrics_from_events(spark, tmp_path):
+def test_metrics_from_events_and_from_changes(spark, layout):
     log = sample.raw_log(spark, SMALL)
-    layout = jobs.Layout(str(tmp_path / "t"), str(tmp_path / "p"))
     jobs.apply_batch(log, 0, layout)
     jobs.apply_gold_batch(log, layout)
-    full = metrics.hourly_metrics(layout.silver(spark).read()).select(*schemas.GOLD.names)
-    assert bag(layout.gold(spark).read()) == bag(full)
-    jobs.run_gold(spark, layout)
-    assert bag(layout.gold(spark).read()) == bag(full)
-
-
-def test_bad_batch_leaves_silver_alone(spark, tmp_path):
-    layout = jobs.Layout(str(tmp_path / "t"), str(tmp_path / "p"))
+    full = metrics.hourly_metrics(layout.read_silver(spark)).select(*schemas.GOLD.names)
+    assert bag(layout.read_gold_by_hour(spark)) == bag(full)
+    jobs.run_gold_from_changes(spark, layout)
+    assert bag(layout.read_gold_by_hour(spark)) == bag(full)
+    # a delete that names only its key: the events do not tell the hour, the change rows do
+    key = layout.read_silver(spark).first().payment_id
+    jobs.apply_batch(log_of(spark, event("d", key)), 1, layout)
+    jobs.run_gold_from_changes(spark, layout)
+    full = metrics.hourly_metrics(layout.read_silver(spark)).select(*schemas.GOLD.names)
+    assert bag(layout.read_gold_by_hour(spark)) == bag(full)
+
+
+def test_bad_batch_publishes_nothing(spark, layout):
     bad = '{"op":"c","after":{"payment_id":1,"amount":"-5"}}'
-    batch = spark.createDataFrame([(bad, 1), ("junk", 2)], "kafka_value STRING, kafka_offset BIGINT")
     for _ in range(2):
         with pytest.raises(quality.DataQualityError, match="negative_amount"):
-            jobs.apply_batch(batch, 0, layout)
-    assert layout.silver(spark).snapshot().version == 0
+            jobs.apply_batch(log_of(spark, bad, "junk"), 0, layout)
+    for name in (layout.silver, layout.change_log, layout.batches):
+        assert not files(spark, name)
     # a retried batch does not repeat its dead letters
     assert read_dead_letters(spark, layout.dead_letters).count() == 1
 
 
+@pytest.mark.parametrize("broken", ["_rewrite_parts", "drop_parts", "overwrite_parts"])
+def test_a_batch_that_failed_is_completed_by_its_retry(spark, layout, monkeypatch, broken):
+    jobs.apply_batch(log_of(spark, event("c", 1), event("c", 2, 30), event("c", 3, 60)), 0, layout)
+    second = log_of(spark, event("u", 1, 90), event("d", 2), event("u", 3, 60, "99.00"), start=10)
+
+    def fail(name, *args, **kwargs):
+        if broken != "overwrite_parts" or name == layout.silver:
+            raise RuntimeError("lost")
+        return whole(name, *args, **kwargs)
+
+    whole = tables.overwrite_parts
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs if broken == "_rewrite_parts" else tables, broken, fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            jobs.apply_batch(second, 1, layout)
+    for _ in range(2):
+        jobs.apply_batch(second, 1, layout)
+    got = {(r.payment_id, r.created_at.day, str(r.amount)) for r in layout.read_silver(spark).collect()}
+    assert got == {(1, 4, "10.00"), (3, 3, "99.00")}
+    jobs.run_gold(spark, layout)
+    full = metrics.hourly_metrics(layout.read_silver(spark)).select(*schemas.GOLD.names)
+    assert bag(layout.read_gold(spark)) == bag(full)
+
+
 def test_dead_letters_of_other_runs_are_kept(spark, tmp_path):
     letters = changes.dead_letters(spark.createDataFrame([("junk",)], "kafka_value STRING"), 0)
     for run in ("a", "b", "b"):
@@ -118,98 +175,163 @@ def test_dead_letters_of_other_runs_are_kept(spark, tmp_path):
     assert read_dead_letters(spark, str(tmp_path)).count() == 2
 
 
-def test_commit_rewrites_only_the_touched_days(spark, tmp_path):
-    schema = schemas.struct(k=schemas.LONG, at=schemas.MOMENT)
-    table = SnapshotTable(spark, str(tmp_path), schema, "at", "k")
-    day = 86_400
-
-    def rows(*pairs):
-        df = spark.createDataFrame(list(pairs), "k BIGINT, d INT")
-        return df.select("k", F.timestamp_seconds(F.col("d") * day).alias("at"))
-
-    def days(*numbers):
-        got = [r[0] for r in spark.createDataFrame([(n,) for n in numbers], "n INT").select(F.date_from_unix_date("n")).collect()]
-        return got
-
-    parts = lambda *numbers: table.all_parts(days(*numbers))
-    table.commit(rows((1, 0), (2, 1), (3, None)), [*parts(0, 1), (None, 0)], table.snapshot())
-    table.commit(rows((9, 1)), parts(1), table.snapshot(), source_version=5, source="a")
-    assert sorted(r.k for r in table.read().collect()) == [1, 3, 9]
-    assert [f.split("-")[0] for f in table.snapshot().folders.values()].count("v=1") == 2
-    assert table.has_taken("a", 5) and not table.has_taken("b", 5) and not table.has_taken("a", 4)
-    table.commit(rows(), parts(0), table.snapshot())
-    assert sorted(r.k for r in table.read().collect()) == [3, 9]
-    assert sorted(r.k for r in table.read(version=1).collect()) == [1, 2, 3]
-    assert table.changed_days(1, 2) == days(1) and table.snapshot().source_version == 5
-    assert [r.k for r in table.snapshot().in_days([None]).collect()] == [3]
-    with pytest.raises(ValueError, match="outside"):
-        table.commit(rows((1, 0)), parts(3), table.snapshot())
-    # of two writers that start from one version, the second is refused and lists nothing
-    base = table.snapshot()
-    table.commit(rows((4, 5)), parts(5), base)
-    with pytest.raises(CommitConflict):
-        table.commit(rows((5, 5)), parts(5), base)
-    assert sorted(r.k for r in table.read().collect()) == [3, 4, 9]
-
-
-def test_merge_reads_one_key_range_and_pruned_days(spark, tmp_path):
-    layout = jobs.Layout(str(tmp_path / "t"), str(tmp_path / "p"))
-    jobs.apply_batch(sample.raw_log(spark, SMALL), 0, layout)
-    base = layout.silver(spark).snapshot()
-    held = base.rows(keep_part=True).where(F.col("payment_id").between(3, 9)).select("payment_id", "_day")
-    plan = held._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(payment_id,3), LessThanOrEqual(payment_id,9)" in plan
-    assert "ReadSchema: struct<payment_id:bigint>" in plan
-    part = next(iter(base.folders))
-    assert len({f.rsplit("/", 1)[0] for f in base.in_parts([part]).inputFiles()}) == 1
-
-
-def test_one_row_rewrites_one_part(spark, tmp_path):
-    layout = jobs.Layout(str(tmp_path / "t"), str(tmp_path / "p"))
-    log = sample.raw_log(spark, SMALL)
-    jobs.apply_batch(log, 0, layout)
-    before = layout.silver(spark).snapshot()
-    one = log.where("_route = 'upsert'").limit(1)
-    jobs.apply_batch(one, 1, layout)
-    after = layout.silver(spark).snapshot()
-    moved = {p for p in before.folders.keys() | after.folders.keys() if before.folders.get(p) != after.folders.get(p)}
-    # one part, or two if the row moved to another day
-    assert after.version == 2 and 1 <= len(moved) <= 2 and len(before.folders) > 10
+def test_one_row_rewrites_one_partition_and_the_last_one_empties_it(spark, layout):
+    day = 24
+    jobs.apply_batch(log_of(spark, *[event("c", k, day * (k % 12)) for k in range(48)]), 0, layout)
+    before = files(spark, layout.silver)
+    assert len(folders(before)) > 12
+    jobs.apply_batch(log_of(spark, event("u", 5, day * 5, "77.00")), 1, layout)
+    after = files(spark, layout.silver)
+    assert len(folders(before ^ after)) == 1
+    # a payment that moves to a day of its own takes one partition along, and leaves one
+    jobs.apply_batch(log_of(spark, event("u", 5, day * 40)), 2, layout)
+    moved = files(spark, layout.silver)
+    assert len(folders(after ^ moved)) == 2
+    # its delete leaves an empty day
+    jobs.apply_batch(log_of(spark, event("d", 5)), 3, layout)
+    left = files(spark, layout.silver)
+    assert len(moved - left) == 1 and not left - moved
+    shown = {r.partition.split("/")[0] for r in spark.sql(f"SHOW PARTITIONS {layout.silver}").collect()}
+    assert "_day=2024-02-10" not in shown and layout.read_silver(spark).count() == 47
 
 
 @pytest.mark.parametrize("mode", [changes.REFERENCE, changes.ORDERED])
-def test_replay_makes_no_version(spark, tmp_path, mode):
-    layout = jobs.Layout(str(tmp_path / "t"), str(tmp_path / "p"))
+def test_replay_changes_nothing(spark, layout, mode):
     log = sample.raw_log(spark, SMALL)
-    assert jobs.apply_batch(log, 0, layout, mode) == 1
-    assert jobs.apply_batch(log, 0, layout, mode) is None
+    assert jobs.apply_batch(log, 0, layout, mode) > 0
+    before = files(spark, layout.silver)
+    assert jobs.apply_batch(log, 0, layout, mode) == 0
     if mode == changes.ORDERED:  # known outcomes touch nothing even under another batch number
-        assert jobs.apply_batch(log, 1, layout, mode) is None
-    assert layout.silver(spark, mode).snapshot().version == 1
-
-
-def test_gold_covers_the_day_of_rows_without_a_time(spark, tmp_path):
-    layout = jobs.Layout(str(tmp_path / "t"), str(tmp_path / "p"))
-    rows = spark.createDataFrame([(1,)], "payment_id BIGINT").select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) if f.name != "payment_id" else F.col("payment_id") for f in schemas.SILVER.fields]
-    )
-    silver = layout.silver(spark)
-    silver.commit(rows, silver.all_parts([None]), silver.snapshot())
-    jobs.run_gold(spark, layout)
-    assert [(r.payment_hour, r.payment_count) for r in layout.gold(spark).read().collect()] == [(None, 1)]
-
-
-def test_bounded_batches(spark, tmp_path):
+        assert jobs.apply_batch(log, 1, layout, mode) == 0
+    assert files(spark, layout.silver) == before
+
+
+def test_gold_by_retraction_over_random_batches(spark, layout):
+    rng = random.Random(4)
+    for number in range(10):
+        events = []
+        for key in rng.sample(range(30), 8):
+            if rng.random() < 0.3:
+                events.append(event("d", key))
+            else:
+                events.append(event("u", key, rng.randrange(60), f"{rng.randrange(1, 900)}.25", rng.choice(["authorized", "failed"])))
+        jobs.apply_batch(log_of(spark, *events), number, layout)
+        if number in (2, 3, 9):
+            jobs.run_gold(spark, layout)
+            full = metrics.hourly_metrics(layout.read_silver(spark)).select(*schemas.GOLD.names)
+            assert bag(layout.read_gold(spark)) == bag(full)
+    # silver is not scanned: gold follows even where it is gone
+    want = bag(layout.read_gold(spark))
+    spark.sql(f"TRUNCATE TABLE {layout.silver}")
+    spark.sql(f"TRUNCATE TABLE {layout.cells}")
+    fresh = jobs.Layout(layout.root, f"{layout.checkpoints}-new", layout.buckets)
+    jobs.run_gold(spark, fresh)
+    assert bag(layout.read_gold(spark)) == want
+    # cells of a lost checkpoint are not added to a second time
+    jobs.run_gold(spark, jobs.Layout(layout.root, f"{layout.checkpoints}-newer", layout.buckets))
+    assert bag(layout.read_gold(spark)) == want
+
+
+def test_a_retried_gold_step_counts_once(spark, layout):
+    jobs.apply_batch(log_of(spark, event("c", 1), event("c", 2, 30), event("c", 3, 31)), 0, layout)
+    images = spark.table(layout.change_log)
+    # the first attempt got as far as one of the two days
+    jobs.apply_deltas(images.where("payment_id = 1"), 7, layout)
+    jobs.apply_deltas(images, 7, layout)
+    assert [(r.payment_hour.day, r.payment_count) for r in layout.read_gold(spark).orderBy("payment_hour").collect()] == [(1, 1), (2, 1), (2, 1)]
+    jobs.apply_deltas(images, 7, layout)
+    assert layout.read_gold(spark).agg(F.sum("payment_count")).first()[0] == 3
+    # taken out again, the cell is no longer shown
+    gone = images.select("payment_id", F.col("after").alias("before"), F.lit(None).cast(images.schema["after"].dataType).alias("after"))
+    jobs.apply_deltas(gone, 8, layout)
+    assert layout.read_gold(spark).count() == 0 and spark.table(layout.cells).count() == 3
+
+
+def test_cells_without_amounts_or_hours(spark):
+    row = "struct<created_at:timestamp,amount:decimal(12,2),country_code:string,payment_method:string,payment_status:string>"
+    rows = [(None, (None, None, "NL", "card", "authorized")), ((None, None, "NL", "card", "failed"), None), (None, (None, 5, "NL", None, None)), (None, None)]
+    images = spark.createDataFrame([], f"before {row}, after {row}")
+    images = spark.createDataFrame([(b and (b[0], b[1] and Decimal(b[1]), *b[2:]), a and (a[0], a[1] and Decimal(a[1]), *a[2:])) for b, a in rows], images.schema)
+    cells = metrics.add_cells(metrics.hourly_cells(images.select("after.*").where("false")), metrics.hourly_cells(metrics.signed_payments(images)))
+    got = {tuple(r) for r in metrics.gold_of_cells(cells).collect()}
+    assert got == {(None, "NL", None, 1, Decimal("5.00"), 0.0)}
+
+
+def scans(df):
+    """Rows that each file scan of ``df`` gave out of the row groups it read, and its files."""
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().execute().count()
+
+    def walk(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            yield from walk(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            yield from walk(plan.plan())
+        else:
+            if kind == "FileSourceScanExec":
+                yield tuple(plan.metrics().apply(m).value() for m in ("numOutputRows", "numFiles"))
+            for i in range(plan.children().size()):
+                yield from walk(plan.children().apply(i))
+
+    return list(walk(execution.executedPlan()))
+
+
+def test_distant_keys_are_looked_up_in_few_row_groups(spark, layout):
+    parts, rows = 150, 30_000
+    name = layout.table("wide")
+    spark.sql(f"CREATE DATABASE {layout.namespace} LOCATION '{layout.folder}'")
+    schema = schemas.struct(payment_id=schemas.LONG, v=schemas.TEXT, _day=schemas.T.DateType())
+    spark.sql(tables.create_statement(name, schema, ["_day"], lookups=["payment_id"]))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
+    made = spark.range(rows).select(F.col("id").alias("payment_id"), F.lit("v").alias("v"), day.alias("_day"))
+    tables.overwrite_parts(name, made, ["payment_id"])
+    keys = spark.createDataFrame([(0,), (rows - 1,), (rows * 5,)], "payment_id LONG")
+    with tables.lookups(spark):
+        found = tables.with_keys(spark.table(name), keys, "payment_id").select("payment_id", "_day")
+        (read, _), = scans(found)
+        assert found.count() == 2
+    assert read < 0.05 * rows
+    # many keys go by their range, to the same result
+    many = spark.range(tables.MAX_LOOKUPS + 50).select(F.col("id").alias("payment_id"))
+    assert tables.with_keys(spark.table(name), many, "payment_id").count() == tables.MAX_LOOKUPS + 50
+
+
+def test_parts_prune_the_scan_at_run_time(spark, layout):
+    jobs.apply_batch(log_of(spark, *[event("c", k, 24 * k) for k in range(20)]), 0, layout)
+    hours = spark.createDataFrame([(datetime(2024, 1, 3),), (datetime(2024, 1, 9),)], "payment_hour timestamp")
+    days = hours.select(tables.day_of("payment_hour").alias("_day")).distinct()
+    rows = tables.in_parts(spark.table(layout.silver), days)
+    (_, read), = [s for s in scans(rows) if s[1]]
+    assert read == 2 and rows.count() == 2
+    assert "dynamicpruning" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_columns_with_defaults(spark, layout):
+    layout.ensure(spark)
+    columns = ", ".join(c for c in COLUMNS)
+    spark.sql(f"INSERT INTO {layout.silver} ({columns}, _day, _bucket) SELECT 1, 2, 3.00, 'EUR', 'card', 'failed', 'NL', current_timestamp(), current_timestamp(), current_date(), 0")
+    row = spark.table(layout.silver).first()
+    assert row.ingested_at is not None and row.amount == 3
+    assert "DEFAULT" not in tables.create_statement("a.b", schemas.GOLD)
+
+
+def test_gold_covers_the_day_of_rows_without_a_time(spark, layout):
+    jobs.apply_batch(log_of(spark, event("c", 1)), 0, layout)
+    images = spark.table(layout.change_log).withColumn("after", F.col("after").withField("created_at", F.lit(None).cast("timestamp")))
+    jobs.apply_deltas(images, 0, layout)
+    assert [(r.payment_hour, r.payment_count) for r in layout.read_gold(spark).collect()] == [(None, 1)]
+
+
+def test_bounded_batches(spark, tmp_path, layout):
     folder = str(tmp_path / "records")
-    layout = jobs.Layout(str(tmp_path / "tables"), str(tmp_path / "progress"))
     records = sample.record_log(spark, SMALL)
     for parity in (0, 1):
         records.where(F.col("offset") % 2 == parity).coalesce(1).write.mode("append").parquet(folder)
         jobs.run_bronze(file_records(spark, folder), layout)
-    jobs.run_layers(file_records(spark, folder), layout, changes.ORDERED, max_files_per_trigger=4)
-    silver = layout.silver(spark, changes.ORDERED)
-    assert silver.snapshot().version > 1
-    live = changes.current_rows(silver.read()).select(*COLUMNS)
+    jobs.run_layers(file_records(spark, folder), layout, changes.ORDERED, max_files_per_trigger=20)
+    assert spark.table(layout.batches).count() > 1
+    live = layout.read_silver(spark, changes.ORDERED).select(*COLUMNS)
     assert bag(live) == bag(layers.silver_state(sample.raw_log(spark, SMALL), changes.ORDERED))
 
 

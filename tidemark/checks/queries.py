@@ -473,54 +473,79 @@ def q_counter_rate(spark, d):
 # --- the incremental jobs --------------------------------------------------------------
 
 
+def _layout(spark):
+    folder = scratch_folder(spark, "stream")
+    # a day of the test tables is far below the size of one part
+    return jobs.Layout(f"{folder}/tables", f"{folder}/progress", buckets=1)
+
+
 def _streamed(spark, d, mode):
     """All three layers run over the stored record files as streams."""
     _events(spark, d)
-    folder = scratch_folder(spark, "stream")
-    layout = jobs.Layout(f"{folder}/tables", f"{folder}/progress")
+    layout = _layout(spark)
     jobs.run_layers(file_records(spark, sample.record_folder(spark, d)), layout, mode)
     return layout
 
 
 @query
 def q_stream_silver(spark, d):
-    table = _streamed(spark, d, changes.ORDERED).silver(spark, changes.ORDERED)
-    return changes.current_rows(table.read()).select(*schemas.PAYMENT.names)
+    return _streamed(spark, d, changes.ORDERED).read_silver(spark, changes.ORDERED).select(*schemas.PAYMENT.names)
 
 
 @query
 def q_stream_gold(spark, d):
-    return _streamed(spark, d, changes.REFERENCE).gold(spark).read()
+    return _streamed(spark, d, changes.REFERENCE).read_gold(spark)
+
+
+def _late_and_early(records, moment: str):
+    late = F.col(moment) >= F.lit(SPLIT)
+    return records.where(~late), records.where(late)
 
 
 @query
 def q_stream_gold_events(spark, d):
     """Metrics refreshed by the hours that events name, batch by batch, then by what silver changed."""
     _events(spark, d)
-    folder = scratch_folder(spark, "stream")
-    layout = jobs.Layout(f"{folder}/tables", f"{folder}/progress")
-    records = sample.record_log(spark, d)
-    late = F.col("timestamp") >= F.lit(SPLIT)
-    for part in (records.where(~late), records.where(late)):
-        part.write.mode("append").parquet(f"{folder}/records")
-        jobs.run_bronze(file_records(spark, f"{folder}/records"), layout)
+    layout = _layout(spark)
+    for part in _late_and_early(sample.record_log(spark, d), "timestamp"):
+        part.write.mode("append").parquet(f"{layout.root}/records")
+        jobs.run_bronze(file_records(spark, f"{layout.root}/records"), layout)
         jobs.run_silver(spark, layout)
         jobs.run_gold_from_events(spark, layout)
-    jobs.run_gold(spark, layout)
-    return layout.gold(spark).read()
+    jobs.run_gold_from_changes(spark, layout)
+    return layout.read_gold_by_hour(spark)
 
 
 @query
 def q_silver_version(spark, d):
-    """Silver as of its first commit, read after the second."""
+    """Silver as it was after its first batch, told after the second."""
     _events(spark, d)
-    folder = scratch_folder(spark, "stream")
-    layout = jobs.Layout(f"{folder}/tables", f"{folder}/progress")
-    log = _log(spark, d)
-    late = F.col("kafka_timestamp") >= F.lit(SPLIT)
-    for number, part in enumerate((log.where(~late), log.where(late))):
+    layout = _layout(spark)
+    for number, part in enumerate(_late_and_early(_log(spark, d), "kafka_timestamp")):
         jobs.apply_batch(part, number, layout)
-    return layout.silver(spark).read(version=1).select(*schemas.PAYMENT.names)
+    return jobs.silver_as_of(spark, layout, "manual", 0).select(*schemas.PAYMENT.names)
+
+
+@query
+def q_table_silver(spark, d):
+    """The silver table after two batches, the second applied twice."""
+    _events(spark, d)
+    layout = _layout(spark)
+    parts = _late_and_early(_log(spark, d), "kafka_timestamp")
+    for number, part in ((0, parts[0]), (1, parts[1]), (1, parts[1])):
+        jobs.apply_batch(part, number, layout)
+    return layout.read_silver(spark).select(*schemas.PAYMENT.names)
+
+
+@query
+def q_gold_retraction(spark, d):
+    """Metric cells of the first batch with the second one's old images taken out and new ones added."""
+    first, _, resolved, _ = _two_batches(spark, d)
+    before = first.select(changes.KEY, F.struct(*first.columns).alias("before"))
+    after = F.when(~F.col("_deleted"), F.struct(*schemas.PAYMENT.names)).alias("after")
+    images = resolved.join(before, changes.KEY, "left").select(changes.KEY, "before", after)
+    deltas = metrics.hourly_cells(metrics.signed_payments(images))
+    return metrics.gold_of_cells(metrics.add_cells(metrics.hourly_cells(first), deltas)).select(*schemas.GOLD.names)
 
 
 @query

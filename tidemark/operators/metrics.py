@@ -38,6 +38,55 @@ def hourly_metrics(payments: DataFrame, exact_rate: bool = False) -> DataFrame:
     )
 
 
+# --- cells that can be added to and taken from -----------------------------------------
+
+CELL = ("payment_hour", "country_code", "payment_method")
+SUMS = ("payment_count", "valued_count", "gross_volume", "authorized_count")
+
+
+def signed_payments(changes: DataFrame) -> DataFrame:
+    """Rows ``(sign, payment columns)`` of change rows ``(before, after)``: the old image counts -1, the new one +1.
+
+    An image that is NULL, or marked ``_deleted``, is no payment.
+    """
+    def image(side: str, sign: int) -> Column:
+        row = F.col(side)
+        fields = changes.schema[side].dataType.names
+        live = row.isNotNull() & (~F.coalesce(row["_deleted"], F.lit(False)) if "_deleted" in fields else F.lit(True))
+        return F.when(live, F.struct(F.lit(sign).alias("sign"), *[row[c].alias(c) for c in ("created_at", "amount", "country_code", "payment_method", "payment_status")]))
+
+    images = F.filter(F.array(image("before", -1), image("after", 1)), lambda i: i.isNotNull())
+    return changes.select(F.inline(images))
+
+
+def hourly_cells(signed: DataFrame) -> DataFrame:
+    """Sums per hour, country and method of rows with a ``sign``; without one every row counts once."""
+    sign = F.col("sign") if "sign" in signed.columns else F.lit(1)
+    hour = F.date_trunc("hour", F.col("created_at")).alias("payment_hour")
+    return signed.groupBy(hour, "country_code", "payment_method").agg(
+        F.sum(sign).cast("long").alias("payment_count"),
+        F.sum(F.when(F.col("amount").isNotNull(), sign).otherwise(0)).cast("long").alias("valued_count"),
+        F.coalesce(F.sum(F.col("amount") * sign), F.lit(0)).cast("decimal(28,2)").alias("gross_volume"),
+        F.sum(F.when(F.col("payment_status") == AUTHORIZED, sign).otherwise(0)).cast("long").alias("authorized_count"),
+    )
+
+
+def add_cells(cells: DataFrame, deltas: DataFrame) -> DataFrame:
+    """Cells with the deltas added in. One that nets to nothing stays, with zeros: see ``gold_of_cells``."""
+    sums = [F.sum(c).cast(cells.schema[c].dataType).alias(c) for c in SUMS]
+    return cells.select(*CELL, *SUMS).unionByName(deltas.select(*CELL, *SUMS)).groupBy(*CELL).agg(*sums)
+
+
+def gold_of_cells(cells: DataFrame) -> DataFrame:
+    """Count, volume and share as ``hourly_metrics`` gives them, of the cells that hold a payment."""
+    share = F.col("authorized_count").cast("decimal(12,1)") / F.col("payment_count").cast("decimal(20,0)")
+    return cells.where(F.col("payment_count") > 0).select(
+        *CELL, "payment_count",
+        F.when(F.col("valued_count") > 0, F.col("gross_volume")).cast(MONEY).alias("gross_volume"),
+        share.cast("decimal(6,5)").cast("double").alias("auth_rate"),
+    )
+
+
 def rollup_country_method(gold: DataFrame) -> DataFrame:
     """Hourly cells added up per country and method, largest volume first.
 

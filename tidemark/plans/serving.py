@@ -12,13 +12,12 @@ SILVER_VIEW, GOLD_VIEW = "payments_silver", "payment_metrics_gold"
 
 
 def publish(spark: SparkSession, layout: Layout, mode: str = changes.REFERENCE) -> None:
-    """Register the newest version of both tables under their names.
+    """Register the live rows of both tables under their names.
 
-    Sessions of the same application find them below ``global_temp``.
+    Sessions of the same application find them below ``global_temp``; the tables themselves are in
+    the catalog, under ``layout.namespace``.
     """
-    silver = layout.silver(spark, mode).read()
-    live = changes.current_rows(silver) if mode == changes.ORDERED else silver
-    for name, rows in ((SILVER_VIEW, live), (GOLD_VIEW, layout.gold(spark).read())):
+    for name, rows in ((SILVER_VIEW, layout.read_silver(spark, mode)), (GOLD_VIEW, layout.read_gold(spark))):
         rows.createOrReplaceTempView(name)
         rows.createOrReplaceGlobalTempView(name)
 

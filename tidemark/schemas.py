@@ -44,6 +44,19 @@ GOLD = struct(
     gross_volume=T.DecimalType(18, 2), auth_rate=T.DoubleType(),
 )
 
+# A change of silver: what a batch found under a key, and what it left there. Kept for every
+# batch, so that readers of silver can follow it without reading it.
+def change_rows(held: T.StructType) -> T.StructType:
+    return struct(payment_id=LONG, before=held, after=held, run=TEXT, batch=LONG)
+
+
+BATCHES = struct(run=TEXT, batch=LONG, taken_at=MOMENT)
+# Metric cells as sums, which can be added to and taken from; the share is derived when they are read.
+CELLS = struct(
+    payment_hour=MOMENT, country_code=TEXT, payment_method=TEXT, payment_count=LONG, valued_count=LONG,
+    gross_volume=T.DecimalType(28, 2), authorized_count=LONG,
+)
+
 # Every payload field is read as text and typed afterwards, so one odd value costs one
 # NULL and never the whole record.
 _IMAGE = struct(**{name: TEXT for name in [*PAYMENT.names, "shopper_id"]})

@@ -1,37 +1,51 @@
-"""Bronze, silver and gold as incremental Structured Streaming jobs."""
+"""Bronze, silver and gold as incremental Structured Streaming jobs over named tables.
+
+Silver and gold are stock Parquet tables of the session catalog. A silver batch first stores its
+*change rows* (what it found under each key and what it leaves there), then rewrites the partitions they touch. The
+change rows make a failed batch repeatable, let gold follow silver without reading it, and lead back to earlier states.
+"""
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from dataclasses import dataclass
-from datetime import date
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.operators import changes, merge, metrics, quality
+from tidemark.operators import changes, metrics, quality
 from tidemark.plans import layers
 from tidemark.schemas import BUCKET, DAY
-from tidemark.sinks import lake
+from tidemark.session import settle
+from tidemark.sinks import lake, tables
 from tidemark.sinks.deadletter import write_dead_letters
-from tidemark.sinks.snapshots import Snapshot, SnapshotTable, parts_in
 from tidemark.sources.records import stream_lake_table, stream_table
 
+PART = [DAY, BUCKET]
+STEP, RUN = "_step", "_run"
+
+
+def silver_schema(mode: str) -> T.StructType:
+    return schemas.SILVER_VERSIONED if mode == changes.ORDERED else schemas.SILVER
+
 
 @dataclass(frozen=True)
 class Layout:
-    """Folders of one deployment. ``root`` and ``checkpoints`` must be shared storage.
+    """One deployment. ``root`` and ``checkpoints`` are folders on shared storage.
 
-    ``buckets``: how many parts by key a day of silver has; fixed once the table is made. Choose
+    Tables live in ``database``, made below ``root`` if it does not exist; without a name one is derived from
+    ``root``. ``buckets``: how many parts by key a day of silver has; fixed once the table is made. Choose
     it so that a part is a few hundred MB, for a small batch rewrites whole parts.
     """
 
     root: str
     checkpoints: str
     buckets: int = 4
+    database: str | None = None
 
     @property
     def bronze(self) -> str:
@@ -41,16 +55,87 @@ class Layout:
     def dead_letters(self) -> str:
         return f"{self.root}/payments_silver_dlq"
 
-    def silver(self, spark: SparkSession, mode: str = changes.REFERENCE) -> SnapshotTable:
-        schema = schemas.SILVER_VERSIONED if mode == changes.ORDERED else schemas.SILVER
-        return SnapshotTable(spark, f"{self.root}/payments_silver", schema, "created_at", changes.KEY, self.buckets)
+    @property
+    def namespace(self) -> str:
+        return self.database or f"tidemark_{hashlib.sha256(self.root.encode()).hexdigest()[:12]}"
+
+    @property
+    def folder(self) -> str:
+        return f"{self.root}/catalog"
+
+    def table(self, name: str) -> str:
+        return f"{self.namespace}.{name}"
+
+    @property
+    def silver(self) -> str:
+        return self.table("payments_silver")
 
-    def gold(self, spark: SparkSession) -> SnapshotTable:
-        return SnapshotTable(spark, f"{self.root}/payment_metrics_gold", schemas.GOLD, "payment_hour", "payment_hour")
+    @property
+    def change_log(self) -> str:
+        return self.table("payments_silver_changes")
+
+    @property
+    def batches(self) -> str:
+        return self.table("batches")
+
+    @property
+    def cells(self) -> str:
+        """Gold as sums, kept by adding what silver changed."""
+        return self.table("payment_metrics_cells")
+
+    @property
+    def gold(self) -> str:
+        """Gold recomputed by the hour."""
+        return self.table("payment_metrics_gold")
 
     def checkpoint(self, job: str) -> str:
         return f"{self.checkpoints}/{job}"
 
+    def ensure(self, spark: SparkSession, mode: str = changes.REFERENCE) -> None:
+        """Make the tables that do not exist yet."""
+        if spark.catalog.tableExists(self.gold):
+            return
+        held, key = silver_schema(mode), changes.KEY
+        part = {DAY: T.DateType(), BUCKET: T.IntegerType()}
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.namespace} LOCATION '{self.folder}'")
+        for statement in (
+            tables.create_statement(self.silver, schemas.extend(held, **part), PART, lookups=[key], defaults={"ingested_at": "current_timestamp()"}),
+            tables.create_statement(self.change_log, schemas.change_rows(held), ["run", "batch"]),
+            tables.create_statement(self.batches, schemas.BATCHES, ["run"], defaults={"taken_at": "current_timestamp()"}),
+            tables.create_statement(self.cells, schemas.extend(schemas.CELLS, **{RUN: T.StringType(), STEP: T.LongType(), DAY: T.DateType()}), [DAY]),
+            tables.create_statement(self.gold, schemas.with_day(schemas.GOLD), [DAY]),
+        ):
+            spark.sql(statement)
+
+    def refresh(self, spark: SparkSession) -> None:
+        """Let a session see what another one, as that of a stream, has written."""
+        for name in (self.silver, self.change_log, self.batches, self.cells, self.gold):
+            spark.catalog.refreshTable(name)
+
+    # --- reading ---
+
+    def read_silver(self, spark: SparkSession, mode: str = changes.REFERENCE) -> DataFrame:
+        """The current rows."""
+        rows = spark.table(self.silver).select(*silver_schema(mode).names)
+        return changes.current_rows(rows) if mode == changes.ORDERED else rows
+
+    def read_gold(self, spark: SparkSession) -> DataFrame:
+        """Metrics of the cells that follow silver's changes."""
+        return metrics.gold_of_cells(spark.table(self.cells)).select(*schemas.GOLD.names)
+
+    def read_gold_by_hour(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self.gold).select(*schemas.GOLD.names)
+
+
+def silver_as_of(spark: SparkSession, layout: Layout, run: str, batch_id: int, mode: str = changes.REFERENCE) -> DataFrame:
+    """The current rows as they were after a batch: later change rows taken back, earliest first."""
+    key, held = changes.KEY, silver_schema(mode)
+    later = spark.table(layout.change_log).where((F.col("run") == run) & (F.col("batch") > batch_id))
+    found = later.groupBy(key).agg(F.min_by("before", "batch").alias("before"))
+    kept = spark.table(layout.silver).select(*held.names).join(found.select(key), key, "left_anti")
+    rows = kept.unionByName(found.where(F.col("before").isNotNull()).select("before.*"))
+    return changes.current_rows(rows) if mode == changes.ORDERED else rows
+
 
 def _drain(writer, checkpoint: str) -> None:
     query = writer.trigger(availableNow=True).option("checkpointLocation", checkpoint).start()
@@ -76,88 +161,94 @@ def apply_batch(
     mode: str = changes.REFERENCE,
     run: str = "manual",
     drop_tombstones: bool = False,
-) -> int | None:
-    """One raw-log batch into the silver table and the dead letters; the new version, if any.
-
-    Payloads are parsed once; dead letters are told by the stored route alone. Nothing in
-    silver changes unless every quality rule passes, and nothing if silver has taken this batch
-    of this run before. Only the parts (day, key bucket) that gain or lose a row are read in
-    full and rewritten; finding them reads the key columns of silver, cut down to the batch's
-    key range.
+) -> int:
+    """One raw-log batch into the silver table and the dead letters; the number of changed keys.
+
+    Payloads are parsed once; dead letters are told by the stored route alone. The quality rules are
+    counted while the outcomes are stored, and nothing is published unless all pass. A batch of this run that
+    silver has taken changes nothing. Publishing is two steps: the change rows of the batch, then the parts they touch,
+    which depend on the stored change rows and the untouched rest alone. So a batch that failed
+    between or within them is completed by its retry, whatever it left behind.
     """
-    silver = layout.silver(batch.sparkSession, mode)
-    if silver.has_taken(run, batch_id):
-        return None
+    spark = batch.sparkSession
+    layout.ensure(spark, mode)
+    this = (F.col("run") == run) & (F.col("batch") == batch_id)
+    if not spark.table(layout.batches).where(this).isEmpty():
+        return 0
     letters = changes.dead_letters(batch, batch_id, drop_tombstones=drop_tombstones)
     write_dead_letters(letters, layout.dead_letters, run, batch_id)
-    resolved = changes.resolve(changes.decode(batch), mode).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _merge_resolved(silver, resolved, batch_id, mode, run)
-    finally:
-        resolved.unpersist()
-
-
-def _merge_resolved(silver: SnapshotTable, resolved: DataFrame, batch_id: int, mode: str, run: str) -> int | None:
-    key = changes.KEY
-    low, high = _check_and_span(resolved)
-    if low is None:
-        return None
-    base = silver.snapshot()
-    held = base.rows(keep_part=True).where(F.col(key).between(low, high))
-    narrow = [key, "created_at", DAY, BUCKET] + (["_version"] if mode == changes.ORDERED else [])
-    hits = held.select(*narrow).join(resolved.select(key), key, "left_semi").persist()
-    try:
-        if mode == changes.ORDERED:
-            # an outcome that silver already holds, or holds newer, touches nothing
-            resolved = _fresh_outcomes(hits, resolved).persist(StorageLevel.MEMORY_AND_DISK)
-            arrivals, replaced = resolved, hits.join(resolved.select(key), key, "left_semi")
-        else:
-            arrivals, replaced = resolved.where(~F.col("_deleted")), hits
-        parts = parts_in(replaced.select(DAY, BUCKET).union(silver.with_part(arrivals).select(DAY, BUCKET)))
-        if not parts:
-            return None
-        stamped = resolved.withColumn("ingested_at", F.current_timestamp())
-        if mode == changes.ORDERED:
-            after = merge.merge_upsert(base.in_parts(parts), stamped.select(*silver.schema.names), key)
-        else:
-            after = changes.apply_changes(base.in_parts(parts), stamped)
-        return silver.commit(after, parts, base, batch_id, run)
-    finally:
-        hits.unpersist()
-        if mode == changes.ORDERED:
-            resolved.unpersist()
-
-
-def _check_and_span(resolved: DataFrame) -> tuple[int | None, int | None]:
-    """Apply the quality rules and return the key range, in one pass over the outcomes.
-
-    Keys are unique after resolution, so the duplicate-key rule has nothing to find.
+    images = spark.table(layout.change_log).where(this)
+    changed = images.count()
+    if not changed:
+        outcomes = _checked_outcomes(batch, mode)
+        with tables.lookups(spark):
+            fresh = _change_rows(outcomes, layout, mode)
+            tables.overwrite_parts(layout.change_log, fresh.withColumns({"run": F.lit(run), "batch": F.lit(batch_id).cast("long")}))
+        images = spark.table(layout.change_log).where(this)
+        changed = images.count()
+    if changed:
+        _rewrite_parts(images, layout, mode)
+    spark.sql(f"INSERT INTO {layout.batches} (run, batch) VALUES (:run, :batch)", args={"run": run, "batch": batch_id})
+    return changed
+
+
+def _counters() -> list[Column]:
+    """Rows that break each quality rule. Keys are unique after resolution, so no rule on repeats is needed."""
+    return [F.count_if(F.col("_upserted") & bad).alias(name) for name, bad in quality.payment_rules().items()]
+
+
+def _checked_outcomes(batch: DataFrame, mode: str) -> DataFrame:
+    """The stored outcomes of a batch; the rules are counted by the job that stores them."""
+    counted = Observation()
+    outcomes = settle(changes.resolve(changes.decode(batch), mode).observe(counted, *_counters()), "outcomes")
+    quality.raise_on_failures(counted.get)
+    return outcomes
+
+
+def _change_rows(outcomes: DataFrame, layout: Layout, mode: str) -> DataFrame:
+    """``(payment_id, before, after)`` of the keys that a batch changes.
+
+    Silver is read by the keys: few of them are looked up in the Bloom filters of its files, many
+    are left to the join, which adaptive execution sizes.
     """
-    upserted = F.col("_upserted")
-    counters = [F.count_if(upserted & bad).alias(name) for name, bad in quality.payment_rules().items()]
-    span = [F.min(changes.KEY).alias("_low"), F.max(changes.KEY).alias("_high")]
-    counts = resolved.agg(*counters, *span).first().asDict()
-    low, high = counts.pop("_low"), counts.pop("_high")
-    quality.raise_on_failures(counts)
-    return low, high
-
-
-def _fresh_outcomes(hits: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Outcomes newer than the held row; a tombstone stays in the day of the row it replaces."""
-    held = hits.select(
-        changes.KEY, F.col("created_at").alias("_held_created_at"), F.col("_version").alias("_held")
-    )
-    joined = resolved.join(held, changes.KEY, "left")
-    fresh = joined.where(F.col("_held").isNull() | (F.col("_held") < F.col("_version")))
-    created = F.when(F.col("_deleted"), F.coalesce("_held_created_at", "created_at")).otherwise(F.col("created_at"))
-    return fresh.withColumn("created_at", created).drop("_held_created_at", "_held")
+    spark, key, held = outcomes.sparkSession, changes.KEY, silver_schema(mode)
+    found = tables.with_keys(spark.table(layout.silver), outcomes, key).select(key, F.struct(*held.names).alias("before"))
+    outcomes = outcomes.withColumn("ingested_at", F.current_timestamp())
+    if mode == changes.ORDERED:
+        # a tombstone stays in the day of the row it replaces
+        was = F.col("before.created_at")
+        created = F.when(F.col("_deleted"), F.coalesce(was, "created_at")).otherwise(F.col("created_at"))
+        after = F.struct(*[created.alias(c) if c == "created_at" else F.col(c) for c in held.names])
+        wanted = F.col("before").isNull() | (F.col("before._version") < F.col("_version"))
+    else:
+        after = F.when(~F.col("_deleted"), F.struct(*held.names))
+        wanted = F.col("before").isNotNull() | ~F.col("_deleted")
+    met = outcomes.join(found, key, "left").where(wanted)
+    return met.select(key, "before", after.alias("after"))
+
+
+def _with_part(rows: DataFrame, layout: Layout, moment: str = "created_at", key: str = changes.KEY) -> DataFrame:
+    bucket = F.pmod(F.xxhash64(key), F.lit(layout.buckets)).cast("int")
+    return rows.withColumns({DAY: tables.day_of(moment), BUCKET: bucket})
+
+
+def _rewrite_parts(images: DataFrame, layout: Layout, mode: str) -> None:
+    """Silver with the change rows carried out, part by touched part."""
+    spark, key = images.sparkSession, changes.KEY
+    ends = images.select(key, F.explode(F.array("before", "after")).alias("row")).where(F.col("row").isNotNull())
+    touched = _with_part(ends.select("row.*"), layout).select(*PART).distinct()
+    touched = settle(touched, "touched")
+    base = tables.in_parts(spark.table(layout.silver), touched)
+    new = _with_part(images.where(F.col("after").isNotNull()).select("after.*"), layout)
+    after = base.join(images.select(key), key, "left_anti").unionByName(new)
+    tables.replace_parts(layout.silver, touched, settle(after, "after"), [key])
 
 
 def apply_batch_to_lake(batch: DataFrame, batch_id: int, silver: str, dead_letters: str) -> None:
     """``apply_batch`` for named tables of a format with MERGE: one commit per table."""
     resolved = changes.resolve(changes.decode(batch)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        _check_and_span(resolved)
+        quality.raise_on_failures(resolved.agg(*_counters()).first().asDict())
         stamped = resolved.withColumn("ingested_at", F.current_timestamp())
         lake.merge_changes(silver, stamped, changes.KEY, schemas.SILVER.names)
         # last, so that a batch that fails its rules and is retried adds no letters
@@ -172,71 +263,90 @@ def run_silver(
     mode: str = changes.REFERENCE,
     max_files_per_trigger: int | None = None,
     drop_tombstones: bool = False,
-) -> None:
-    """Fold new raw-log rows into the current-state table, batch by batch."""
-    run = _run_name(spark, layout.checkpoint("silver"))
+) -> str:
+    """Fold new raw-log rows into the current-state table, batch by batch; the name of the run."""
+    layout.ensure(spark, mode)
+    run = run_name(spark, layout.checkpoint("silver"))
     writer = bronze_stream(spark, layout, max_files_per_trigger).writeStream.foreachBatch(
         lambda batch, batch_id: apply_batch(batch, batch_id, layout, mode, run, drop_tombstones)
     )
     _drain(writer, layout.checkpoint("silver"))
+    layout.refresh(spark)
+    return run
 
 
-def _run_name(spark: SparkSession, checkpoint: str) -> str:
+def run_name(spark: SparkSession, checkpoint: str) -> str:
     """A name that lasts as long as the checkpoint, so a retried batch finds its own folder."""
     path = f"{checkpoint}-run"
-    try:
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(file):
         return spark.read.text(path).first().value
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
     name = uuid.uuid4().hex
     spark.createDataFrame([(name,)], "value STRING").coalesce(1).write.text(path)
     return name
 
 
-def _metrics_of(silver: Snapshot, days: list[date], mode: str) -> DataFrame:
-    rows = silver.in_days(days)
-    return metrics.hourly_metrics(changes.current_rows(rows) if mode == changes.ORDERED else rows)
+def change_stream(spark: SparkSession, layout: Layout, mode: str = changes.REFERENCE) -> DataFrame:
+    """Silver's change rows as they are stored, batch after batch."""
+    path = f"{layout.folder}/{layout.change_log.rpartition('.')[2]}"
+    return stream_table(spark, path, schemas.change_rows(silver_schema(mode)))
 
 
-def run_gold(spark: SparkSession, layout: Layout, mode: str = changes.REFERENCE) -> int | None:
-    """Recompute the metric days whose silver rows changed since the last refresh.
+def apply_deltas(images: DataFrame, batch_id: int, layout: Layout, run: str = "manual") -> None:
+    """Take old images from, and add new images to, the metric cells; silver is not read.
 
-    What changed is read off silver's commit log: no payload is parsed again, a payment
-    moved between hours refreshes both, and a delete that names only its key is covered.
-    Silver is read, and gold rewritten, one day partition at a time either way.
+    Only the days of the images are read and rewritten. Every row of a day names the step that wrote it
+    last, and cells that net to nothing stay as zeros: so a retried step leaves out the days it had finished.
     """
-    silver, gold = layout.silver(spark, mode), layout.gold(spark)
-    now, base = silver.snapshot(), gold.snapshot()
-    days = silver.changed_days(base.source_version, now.version)
-    if not days:
-        return None
-    return gold.commit(_metrics_of(now, days, mode), gold.all_parts(days), base, now.version, "silver")
+    spark = images.sparkSession
+    deltas = metrics.hourly_cells(metrics.signed_payments(images)).withColumn(DAY, tables.day_of("payment_hour"))
+    deltas = settle(deltas, "deltas")
+    days = deltas.select(DAY).distinct()
+    held = tables.in_parts(spark.table(layout.cells), days)
+    this = (F.col(RUN) == run) & (F.col(STEP) >= batch_id)
+    done = held.where(this).select(DAY).distinct()
+    cells = metrics.add_cells(held.join(done, DAY, "left_anti"), deltas.join(done, DAY, "left_anti"))
+    marked = cells.withColumns({RUN: F.lit(run), STEP: F.lit(batch_id).cast("long"), DAY: tables.day_of("payment_hour")})
+    after = settle(marked, "cells")
+    if not after.isEmpty():
+        tables.overwrite_parts(layout.cells, after)
+
+
+def run_gold(spark: SparkSession, layout: Layout, mode: str = changes.REFERENCE) -> None:
+    """Bring the metric cells up to date with the change rows silver has stored since."""
+    layout.ensure(spark, mode)
+    run = run_name(spark, layout.checkpoint("gold"))
+    if not spark.table(layout.cells).where(F.col(RUN) != run).isEmpty():
+        # cells of a lost checkpoint: this run starts from the first change again
+        spark.sql(f"TRUNCATE TABLE {layout.cells}")
+    writer = change_stream(spark, layout, mode).writeStream.foreachBatch(
+        lambda images, step: apply_deltas(images, step, layout, run)
+    )
+    _drain(writer, layout.checkpoint("gold"))
+    layout.refresh(spark)
 
 
-def apply_gold_batch(
-    batch: DataFrame, layout: Layout, mode: str = changes.REFERENCE, both_images: bool = True
-) -> int | None:
-    """Recompute only the hours that a raw-log batch names; other hours of the day are kept.
+def refresh_hours(hours: DataFrame, layout: Layout, mode: str = changes.REFERENCE) -> None:
+    """Recompute the listed hours from silver; other hours of their days are kept.
 
-    It does not count as having caught up with silver: ``run_gold`` still visits every day
-    silver changed.
+    The days prune both tables at run time, as partition filters.
     """
-    spark = batch.sparkSession
-    hours = metrics.affected_hours(changes.decode(batch), both_images).persist()
-    try:
-        days = [row[0] for row in hours.select(F.to_date("payment_hour")).distinct().collect()]
-        if not days:
-            return None
-        gold = layout.gold(spark)
-        now, base = layout.silver(spark, mode).snapshot(), gold.snapshot()
-        cells = _metrics_of(now, days, mode).join(hours, "payment_hour", "left_semi")
-        rows = merge.replace_groups(
-            base.in_days(days), hours, cells.select(*schemas.GOLD.names), "payment_hour"
-        )
-        return gold.commit(rows, gold.all_parts(days), base, base.source_version, "events")
-    finally:
-        hours.unpersist()
+    spark = hours.sparkSession
+    hours = settle(hours.select("payment_hour").distinct(), "hours")
+    days = hours.select(tables.day_of("payment_hour").alias(DAY)).distinct()
+    rows = tables.in_parts(spark.table(layout.silver), days).drop(*PART)
+    live = changes.current_rows(rows) if mode == changes.ORDERED else rows
+    named = hours.select(F.col("payment_hour").alias("_hour"))
+    same = F.col("payment_hour").eqNullSafe(F.col("_hour"))
+    cells = metrics.hourly_metrics(live).join(named, same, "left_semi").select(*schemas.GOLD.names)
+    kept = tables.in_parts(spark.table(layout.gold), days).drop(DAY).join(named, same, "left_anti")
+    after = settle(kept.unionByName(cells).withColumn(DAY, tables.day_of("payment_hour")), "hours-after")
+    tables.replace_parts(layout.gold, settle(days, "days"), after, ["payment_hour"])
+
+
+def apply_gold_batch(batch: DataFrame, layout: Layout, mode: str = changes.REFERENCE, both_images: bool = True) -> None:
+    """Recompute the hours that a raw-log batch names."""
+    refresh_hours(metrics.affected_hours(changes.decode(batch), both_images), layout, mode)
 
 
 def run_gold_from_events(
@@ -247,10 +357,24 @@ def run_gold_from_events(
     max_files_per_trigger: int | None = None,
 ) -> None:
     """``apply_gold_batch`` over new raw-log rows; run it after silver has taken them in."""
+    layout.ensure(spark, mode)
     writer = bronze_stream(spark, layout, max_files_per_trigger).writeStream.foreachBatch(
         lambda batch, _: apply_gold_batch(batch, layout, mode, both_images)
     )
-    _drain(writer, layout.checkpoint("gold"))
+    _drain(writer, layout.checkpoint("gold-events"))
+    layout.refresh(spark)
+
+
+def run_gold_from_changes(spark: SparkSession, layout: Layout, mode: str = changes.REFERENCE) -> None:
+    """Recompute every hour that silver's change rows name: also of deletes that log only a key."""
+    layout.ensure(spark, mode)
+
+    def refresh(images: DataFrame, _: int) -> None:
+        hour = F.date_trunc("hour", "created_at").alias("payment_hour")
+        refresh_hours(metrics.signed_payments(images).select(hour), layout, mode)
+
+    _drain(change_stream(spark, layout, mode).writeStream.foreachBatch(refresh), layout.checkpoint("gold-changes"))
+    layout.refresh(spark)
 
 
 def run_layers(
