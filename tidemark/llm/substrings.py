@@ -284,6 +284,8 @@ def _repeated(windows: DataFrame) -> DataFrame:
 def repeats(texts: DataFrame, size: int) -> DataFrame:
     """``(doc_id, digest, spans)``: the bytes of each document that repeat, as overlapping ``(start, stop)``."""
     again = rests(texts, size).groupBy("rest").agg(F.count("*").alias("times")).where("times > 1").select("rest")
+    # stored, so that the join reads two plain shuffles, whose hot keys adaptive execution splits
+    again = stored(again, "again")
     met = stored(parsed(texts, size).join(again, "rest"), "met")
 
     name = ["rest", "name"]
