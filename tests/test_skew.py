@@ -86,3 +86,36 @@ def test_counter_rate_matches_plain_lag(spark, events):
     split = series.with_previous(events, ["user_id"], ["ts", "event_id"], "value", "p", rows_per_slice=5_000)
     assert split.exceptAll(plain.select(*split.columns)).isEmpty()
     assert plain.count() == split.count()
+
+
+def test_counter_segments_of_a_series_with_nine_tenths_of_all_rows(spark):
+    """No task reads more than a few slices of the hot series, and segments add up to the plain lag."""
+    from pyspark.sql import Window
+
+    n = F.col("id")
+    samples = spark.range(0, ROWS, 1, 8).select(
+        F.timestamp_seconds(1_704_067_200 + n).alias("ts"), (n * 37 % 101).alias("value"), n.alias("event_id"),
+        F.when(n % 10 == 0, n % 7 + 1).otherwise(0).alias("series"), F.when(n % 1000 < 500, "a").otherwise("b").alias("label"),
+    )
+    for by in (["series"], ["label"]):
+        segments = series.counter_segments(samples, ["series"], "ts", "value", by, ["event_id"])
+        rate = series.counter_rate(samples, ["series"], "ts", "value", by, ["event_id"])
+        before = F.lag("value").over(Window.partitionBy("series").orderBy("ts", "event_id"))
+        plain = samples.withColumn("step", series.increase(before, F.col("value"))).where("step IS NOT NULL")
+        start = F.window("ts", "5 minutes")["start"].alias("window_start")
+        want = plain.groupBy(*by, start).agg((F.sum("step").cast("double") / 300).alias("rate"))
+        assert {tuple(r) for r in rate.collect()} == {tuple(r) for r in want.select(*rate.columns).collect()}
+        # what meets by series is segments, a sixtieth of the hot one's samples
+        assert segments.where("series = 0").count() < 2 * ROWS / 60 + 2
+    assert rate._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+
+
+def test_segments_merge_across_gaps_restarts_and_nulls(spark):
+    rows = [(0, 5.0), (30, 7.0), (400, 1.0), (410, None), (2000, 4.0), (2001, 4.0), (90_000, 10.0)]
+    samples = spark.createDataFrame([(k, t, v) for k in (1, 2) for t, v in rows], "series int, t int, value double")
+    samples = samples.withColumn("ts", F.timestamp_seconds("t"))
+    got = {(r.series, int(r.window_start.timestamp())): r.rate * 300 for r in series.counter_rate(samples, ["series"], "ts", "value", ["series"]).collect()}
+    want = {0: 2.0, 300: 1.0, 1800: 3.0, 90_000: 6.0}
+    assert got == {(k, w): pytest.approx(v) for k in (1, 2) for w, v in want.items()}
+    with pytest.raises(ValueError):
+        series.counter_rate(samples, ["series"], "ts", "value", slice_seconds=7)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import settle
@@ -53,6 +53,51 @@ def with_previous(
     )
 
 
+def counter_segments(
+    samples: DataFrame,
+    series: Sequence[str],
+    ts: str,
+    value: str,
+    by: Sequence[str] = (),
+    order: Sequence[str] = (),
+    seconds: int = 60,
+) -> DataFrame:
+    """What each time slice of a series adds to a counter: ``(series, by, slice, first, last, inner)``.
+
+    ``first`` and ``last`` are the outermost samples as ``(ts, order, value)``, ``inner`` the increase between
+    neighbours inside the slice (NULL if there are none). Segments of one series follow
+    each other by ``first`` and merge: the increases add up, plus the one from ``last`` to the next
+    ``first``. Samples meet by series and slice, so a series however long lies in many tasks.
+    """
+    needed = list(dict.fromkeys([*series, *by, ts, *order, value]))
+    sliced = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / seconds).alias("_slice")
+    known = samples.select(*needed, sliced).where(F.col(value).isNotNull())
+    before = F.lag(value).over(Window.partitionBy(*series, "_slice").orderBy(ts, *order))
+    sample = F.struct(ts, *order, F.col(value).alias("_value"))
+    groups = list(dict.fromkeys([*series, *by]))
+    return known.withColumn("_inner", increase(before, F.col(value))).groupBy(*groups, "_slice").agg(
+        F.min(sample).alias("_first"), F.max(sample).alias("_last"), F.sum("_inner").alias("_inner")
+    )
+
+
+def increase(before: Column, now: Column) -> Column:
+    """What a counter went up by. A lower value means that it started again from zero."""
+    return F.when(now >= before, now - before).when(now < before, now)
+
+
+def bridged(segments: DataFrame, series: Sequence[str]) -> DataFrame:
+    """Segments with ``_bridge``: the increase from the last sample of earlier slices to their first one.
+
+    Only segments meet by series. Of several segments of one slice (they differ in labels) the
+    earliest has the bridge; what lies between the others is inside the slice already.
+    """
+    in_time = Window.partitionBy(*series).orderBy("_slice", "_first")
+    earlier = F.max("_last").over(in_time.rowsBetween(Window.unboundedPreceding, -1))
+    opens = ~F.lag("_slice").over(in_time).eqNullSafe(F.col("_slice"))
+    step = increase(earlier["_value"], F.col("_first._value"))
+    return segments.withColumn("_bridge", F.when(opens, step))
+
+
 def counter_rate(
     samples: DataFrame,
     series: Sequence[str],
@@ -61,24 +106,23 @@ def counter_rate(
     by: Sequence[str] = (),
     order: Sequence[str] = (),
     minutes: int = 5,
-    rows_per_slice: int = 2_000_000,
+    slice_seconds: int = 60,
 ) -> DataFrame:
     """Per-second increase of a counter, summed over series, by window and ``by`` labels.
 
     A value below the one before means the counter restarted from zero. The first sample
     of a series has nothing to compare with and adds nothing. A NULL sample is no sample: the
     next one is compared with the last that has a value.
+
+    One pass over the samples: they become segments of ``slice_seconds``, which must divide the
+    window, and only segments meet to be put in a row.
     """
-    needed = list(dict.fromkeys([*series, *by, ts, *order, value]))
-    known = samples.select(*needed).where(F.col(value).isNotNull())
-    paired = with_previous(known, series, [ts, *order], value, "_previous", rows_per_slice)
-    now, before = F.col(value), F.col("_previous")
-    increase = F.when(now >= before, now - before).when(now < before, now)
-    window = F.window(F.col(ts).cast("timestamp"), f"{minutes} minutes")
-    rate = (F.sum(increase).cast("double") / (minutes * 60)).alias("rate")
-    return (
-        paired.where(before.isNotNull())
-        .groupBy(*by, window.alias("_window"))
-        .agg(rate)
-        .select(*by, F.col("_window.start").alias("window_start"), "rate")
-    )
+    if minutes * 60 % slice_seconds:
+        raise ValueError(f"{slice_seconds} seconds do not divide {minutes} minutes")
+    segments = bridged(counter_segments(samples, series, ts, value, by, order, slice_seconds), series)
+    per_window = minutes * 60 // slice_seconds
+    start = F.timestamp_seconds(F.floor(F.col("_slice") / per_window) * (minutes * 60)).alias("window_start")
+    parts = F.array("_inner", "_bridge")
+    added = segments.select(*by, start, F.explode(parts).alias("_step")).where(F.col("_step").isNotNull())
+    rate = (F.sum("_step").cast("double") / (minutes * 60)).alias("rate")
+    return added.groupBy(*by, "window_start").agg(rate)
