@@ -151,6 +151,15 @@ def test_urls(spark):
     assert urls.judged(empty(pages), RULES).count() == 0
 
 
+def test_equally_long_rules(spark):
+    """The first listed of two rules of one length decides, in either order."""
+    tied = [urls.Rule("block", "a.org", "/xx/"), urls.Rule("allow", "b.a.org", "/x")]
+    pages = spark.createDataFrame([(1, "http://b.a.org/xx/y")], "page_id long, url string")
+    assert len(tied[0].name) == len(tied[1].name)
+    for listed in (tied, tied[::-1]):
+        row = urls.judged(pages, listed).first()
+        assert (row.rule, row.verdict) == (listed[0].name, listed[0].verdict)
+
 def test_lines(docs, clashing):
     got = lines.deduplicated(clashing)
     assert set(clashing.columns) == set(got.columns)

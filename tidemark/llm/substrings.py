@@ -305,15 +305,12 @@ def repeats(texts: DataFrame, size: int) -> DataFrame:
     return found.groupBy(*UNIT).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
-def _joined(spans: list[dict]) -> list[tuple[int, int]]:
+def _joined(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Overlapping and touching spans as maximal ones."""
-    out: list[tuple[int, int]] = []
-    for start, stop in sorted((s["start"], s["stop"]) for s in spans):
-        if out and start <= out[-1][1]:
-            out[-1] = out[-1][0], max(out[-1][1], stop)
-        else:
-            out.append((start, stop))
-    return out
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(stops[order])
+    opens = np.concatenate(([True], starts[1:] > reach[:-1]))
+    return starts[opens], reach[np.append(opens[1:], True)]
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
@@ -327,18 +324,27 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
         for batch in batches:
-            spans, kept = [], []
-            for data, found in zip(batch.column("data"), batch.column("spans"), strict=True):
-                data, gone, pieces, at = data.as_py(), _joined(found.as_py() or []), [], 0
-                for start, stop in gone:
-                    pieces.append(data[at:start])
-                    at = stop
-                kept.append(b"".join([*pieces, data[at:]]))
-                spans.append([{"start": a, "stop": b} for a, b in gone])
+            found = batch.column("spans")
+            flat, bounds = found.flatten(), np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(found), 0).to_numpy())))
+            every = [flat.field(k).to_numpy() for k in (0, 1)]
+            firsts, lasts, counts, kept = [], [], [0], []
+            for row, value in enumerate(batch.column("data")):
+                data, at = value.as_py(), slice(bounds[row], bounds[row + 1])
+                if at.start == at.stop:
+                    kept.append(data)
+                    counts.append(0)
+                    continue
+                a, b = _joined(every[0][at], every[1][at])
+                ends = zip([0, *b.tolist()], [*a.tolist(), len(data)], strict=True)
+                kept.append(b"".join([data[x:y] for x, y in ends]))
+                firsts.append(a)
+                lasts.append(b)
+                counts.append(len(a))
+            gone = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int32), pa.int32()) for c in (firsts, lasts)]
+            spans = pa.ListArray.from_arrays(pa.array(np.cumsum(counts), pa.int32()), pa.StructArray.from_arrays(gone, ["start", "stop"]))
             sizes = pc.binary_length(batch.column("data")).cast(pa.int64())
-            columns = [batch.column("doc_id"), sizes, pa.array(spans, span), pa.array(kept, pa.binary())]
+            columns = [batch.column("doc_id"), sizes, spans, pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "spans", "kept"])
 
     return joined.mapInArrow(cut, f"doc_id {kind}, n_bytes long, spans array<struct<start:int,stop:int>>, kept binary")

@@ -84,7 +84,8 @@ def split_url(url: Column) -> tuple[Column, Column]:
 def first_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column, Column]:
     """Name and verdict of the longest rule that fits; of equally long ones the first listed."""
     name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for rule in sorted(rules, key=lambda r: len(r.name)):
+    # what is asked later takes precedence
+    for rule in sorted(reversed(rules), key=lambda r: len(r.name)):
         fits = ((host == rule.host) | F.endswith(host, F.lit(f".{rule.host}"))) & F.startswith(path, F.lit(rule.path))
         name, verdict = F.when(fits, rule.name).otherwise(name), F.when(fits, rule.verdict).otherwise(verdict)
     return name, verdict
