@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+import time
 from collections import Counter
 from datetime import datetime
 from decimal import Decimal
@@ -335,6 +336,32 @@ def test_bounded_batches(spark, tmp_path, layout):
     assert bag(live) == bag(layers.silver_state(sample.raw_log(spark, SMALL), changes.ORDERED))
 
 
+def test_redelivered_records_are_taken_once(spark, tmp_path, layout):
+    folder = str(tmp_path / "records")
+    records = sample.record_log(spark, SMALL).where(F.col("offset") % 4 == 0)
+    odd = records.limit(3).withColumn("timestamp", F.lit(datetime(1999, 1, 1)).cast("timestamp"))
+    total = records.count()
+    # twice in one run, again after a restart, then with records that are years late and of a restarted topic
+    for part in (records.unionByName(records), records, odd):
+        part.coalesce(1).write.mode("append").parquet(folder)
+        done = jobs.run_bronze(file_records(spark, folder), layout, redelivered_within="1 day")
+    assert spark.read.parquet(layout.bronze).count() == total + 3
+    assert done.lastProgress["stateOperators"][0]["numRowsTotal"] == total + 3
+
+
+def test_what_was_seen_is_forgotten_behind_the_watermark(spark, tmp_path, layout):
+    folder = str(tmp_path / "records")
+    records = sample.record_log(spark, SMALL).where(F.col("offset") % 4 == 0)
+    held = []
+    for k in range(3):
+        part = records.withColumn("offset", F.col("offset") + F.lit(k).cast("long") * 10_000_000_000)
+        part.coalesce(1).write.mode("append").parquet(folder)
+        done = jobs.run_bronze(file_records(spark, folder), layout, redelivered_within="1 second")
+        held.append(done.lastProgress["stateOperators"][0]["numRowsTotal"])
+        time.sleep(1.5)
+    assert max(held) <= records.count() and spark.read.parquet(layout.bronze).count() == 3 * records.count()
+
+
 def test_dead_letters_before_the_first_batch_and_of_empty_ones(spark, tmp_path):
     assert read_dead_letters(spark, str(tmp_path / "none")).count() == 0
     none = changes.dead_letters(spark.createDataFrame([], "kafka_value STRING"), 0)

@@ -366,6 +366,7 @@ FROM paired WHERE previous IS NOT NULL GROUP BY 1, 2""",
     "q_silver_version": f"WITH {_TWO_BATCHES} SELECT * FROM after_first",
     "q_table_silver": f"WITH {_TWO_BATCHES} SELECT * FROM state",
     "q_gold_retraction": f"WITH {_TWO_BATCHES} {_gold('state')}",
+    "q_stream_once": f"WITH {_CDC} SELECT kafka_partition, count(*) AS n FROM cdc GROUP BY kafka_partition",
     "q_stream_dlq": f"""WITH {_CDC}
 SELECT CASE WHEN op IS NULL THEN 'null_op' ELSE 'unexpected_op' END AS error_reason, count(*) AS n
 FROM cdc WHERE op IS NULL OR op NOT IN ('c', 'u', 'r', 'd') GROUP BY 1""",

@@ -548,6 +548,17 @@ def q_gold_retraction(spark, d):
     return metrics.gold_of_cells(metrics.add_cells(metrics.hourly_cells(first), deltas)).select(*schemas.GOLD.names)
 
 
+@query
+def q_stream_once(spark, d):
+    """Records in the raw log after every file was delivered twice, the second time after a restart."""
+    _events(spark, d)
+    layout = _layout(spark)
+    for _ in range(2):
+        sample.record_log(spark, d).write.mode("append").parquet(f"{layout.root}/records")
+        jobs.run_bronze(file_records(spark, f"{layout.root}/records"), layout, redelivered_within="30 days")
+    return spark.read.parquet(layout.bronze).groupBy("kafka_partition").agg(F.count("*").alias("n"))
+
+
 @query
 def q_stream_dlq(spark, d):
     letters = read_dead_letters(spark, _streamed(spark, d, changes.REFERENCE).dead_letters)

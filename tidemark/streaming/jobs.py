@@ -15,6 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark import schemas
 from tidemark.operators import changes, metrics, quality
@@ -137,16 +138,36 @@ def silver_as_of(spark: SparkSession, layout: Layout, run: str, batch_id: int, m
     return changes.current_rows(rows) if mode == changes.ORDERED else rows
 
 
-def _drain(writer, checkpoint: str) -> None:
+def _drain(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     query = writer.trigger(availableNow=True).option("checkpointLocation", checkpoint).start()
     query.awaitTermination()
+    return query
 
 
-def run_bronze(records: DataFrame, layout: Layout) -> None:
-    """Append new records, masked, to the raw log, partitioned by record day."""
+#: What tells one record from another. Offsets start anew when a topic is made again, times do not.
+RECORD_ID = ["topic", "partition", "offset", "timestamp"]
+
+
+def once(records: DataFrame, within: str) -> DataFrame:
+    """A stream of records without those delivered before, as long as the first one is ``within`` past.
+
+    The past is counted from arrival and not from the time of the record, so no late record is taken for an
+    old one. What has been seen is kept in the state store, survives a restart, and is dropped behind the watermark.
+    """
+    arrived = records.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+    return arrived.dropDuplicatesWithinWatermark(RECORD_ID).drop("_arrived")
+
+
+def run_bronze(records: DataFrame, layout: Layout, redelivered_within: str | None = None) -> StreamingQuery:
+    """Append new records, masked, to the raw log, partitioned by record day; the finished run.
+
+    ``redelivered_within``: take a record that comes again within so long only once.
+    """
+    if redelivered_within:
+        records = once(records, redelivered_within)
     rows = layers.stored_bronze(records).withColumn(DAY, F.to_date("kafka_timestamp"))
     writer = rows.writeStream.format("parquet").outputMode("append").partitionBy(DAY)
-    _drain(writer.option("path", layout.bronze), layout.checkpoint("bronze"))
+    return _drain(writer.option("path", layout.bronze), layout.checkpoint("bronze"))
 
 
 def bronze_stream(spark: SparkSession, layout: Layout, max_files_per_trigger: int | None = None) -> DataFrame:
