@@ -9,13 +9,24 @@ from pyspark.sql import functions as F
 from tidemark.session import settle as stored
 
 ROWS_PER_TASK = 100_000
-__all__ = ["Forest", "components", "in_parts", "small_enough", "stored", "table"]
+__all__ = ["Forest", "components", "free", "in_parts", "small_enough", "stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def small_enough(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows; reads no more than it must to know."""
     return df.limit(max_rows + 1).count() <= max_rows
