@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter
 
+import regex
 import xxhash
 
 PII = {
@@ -106,12 +107,45 @@ def word_shingles(found):
 
 
 def holds_item(text, item):
-    want, have = word_shingles(words(item)), words(text)
-    if not want:
-        return False
-    size = len(next(iter(want)))
-    got = {tuple(have[k : k + size]) for k in range(len(have) - size + 1)}
-    return len(want & got) >= 0.8 * len(want)
+    """Four fifths of the shingles of an item, of all but its last sentence or line, and of that one."""
+    pieces = [words(p) for p in re.split(r"[.?!]\s|\n", item or "")]
+    pieces = [p for p in pieces if p]
+    have, want = words(text), words(item)
+    parts = [want, sum(pieces[:-1], []), pieces[-1]] if len(pieces) > 1 else [want]
+
+    def share(part):
+        wanted = word_shingles(part)
+        size = len(next(iter(wanted)))
+        got = {tuple(have[k : k + size]) for k in range(len(have) - size + 1)}
+        return len(wanted & got) / len(wanted)
+
+    return bool(want) and all(share(p) >= 0.8 for p in parts)
+
+
+def term_spans(docs, support=10, generalise=0.6):
+    """``id: spans`` of the words that disclose a kind, by counting every word of every text."""
+    found, n, with_word, texts = {}, Counter(), Counter(), {}
+    held = Counter()
+    for ident, text in docs:
+        text = text or ""
+        base, rest = personal_data(text), list(text)
+        for _, a, b in base:
+            rest[a:b] = " " * (b - a)
+        found[ident] = [(m.start(), m.end(), m.group().lower()) for m in regex.finditer(r"[\p{L}\p{M}\p{N}_]+", "".join(rest))]
+        kinds = {k for k, *_ in base}
+        held.update(kinds)
+        for word in {w for *_, w in found[ident]}:
+            n[word] += 1
+            for kind in kinds:
+                with_word[word, kind] += 1
+                texts.setdefault((word, kind), set()).add(text)
+    total, told = len(docs), set()
+    for (word, kind), both in with_word.items():
+        if len(texts[word, kind]) >= support and held[kind] < total:
+            share = math.log2(both * total / (n[word] * held[kind])) / math.log2(total / held[kind])
+            if share >= generalise:
+                told.add(word)
+    return {i: [(a, b) for a, b, w in words_of if w in told] for i, words_of in found.items()}
 
 
 def copies(ident, rate, seed=42, piece=32):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pytest
@@ -103,3 +104,28 @@ def test_network_covers_the_whole_text():
     long_good = b"good words here " * 3000
     assert quality.score_texts([long_good], net)[0] > 0.5
     assert quality.score_texts([long_good + b"BAD!! BAD!! " * 6000], net)[0] < quality.score_texts([long_good], net)[0]
+
+
+def test_network_against_a_plain_loop():
+    """Convolution, pooling and combination written out, one byte at a time."""
+    rng = np.random.default_rng(5)
+    texts = [b"", b"a", bytes(rng.integers(0, 256, 255)), b"plain words " * 21, "é漢".encode() * 200, bytes(rng.integers(0, 256, 2000))]
+    net = quality.train([b"good words here " * 40, b"BAD!! BAD!! " * 60] * 6, np.array([1.0, 0.0] * 6), epochs=3)
+    for text, got in zip(texts, quality.score_texts(texts, net), strict=True):
+        filters = range(len(net.bias))
+        tops, start = [], 0
+        while True:  # chunks of 256 bytes, 192 apart, until one reaches the end
+            best = [-math.inf] * len(net.bias)
+            for at in range(start, start + 256, 2):
+                byte = [text[at + j] if at + j < len(text) else 256 for j in range(8)]
+                for f in filters:
+                    best[f] = max(best[f], sum(float(net.table[j, byte[j], f]) for j in range(8)))
+            tops.append([max(0.0, best[f] + float(net.bias[f])) for f in filters])
+            if start + 256 >= len(text):
+                break
+            start += 192
+        z = float(net.intercept)
+        for f in filters:
+            column = [t[f] for t in tops]
+            z += sum(column) / len(column) * float(net.mean_weight[f]) + max(column) * float(net.max_weight[f])
+        assert abs(got - 1 / (1 + math.exp(-z))) < 1e-4

@@ -1,11 +1,13 @@
 """Benchmark decontamination: a BM25 index of test items, asked with every passage of a corpus.
 
-The index holds test items only. It is built once, its size is checked, and it travels to the
+The index holds test items only. Its size is checked: a test set beyond the bound is dealt by
+``item_id`` to several indexes, and the corpus is asked once for each. An index travels to the
 tasks with the function; a training text is cut into overlapping word windows, each longer
 than an item by the step between two windows, so every occurrence lies whole in some window.
 A window retrieves all items whose BM25 score reaches the item's threshold (block-max WAND),
-and a retrieved item counts when enough of its five-word shingles stand in the window, for the
-whole item, its question part and its answer part.
+and a retrieved item counts when enough of its five-word shingles stand in the window: of the
+whole item, of its question and of its answer. The answer is the last sentence or line; an item of
+one sentence or line is question and answer at once, so the whole decides.
 
 An item's threshold is the least score that a window with the required share of its shingles can
 have: the item's own score less the largest word weights that the missing shingles may cost. So
@@ -13,7 +15,9 @@ retrieval loses nothing that verification would accept.
 
 Rows: a NULL or wordless text or item matches nothing. Repeated rows each give their matches.
 Of equal ``item_id`` each row is a test item of its own; a row of matches is kept once per
-(row of docs, item_id), the best overlap first. Empty tables give an empty result.
+(row of docs, item_id), the best overlap first. Empty tables give an empty result. Extra columns are
+carried along, whatever their names. Texts of any length are asked whole. With several indexes a
+score is that of the item's own index; which items match does not depend on their number.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import free, stored
 from tidemark.llm.quality import _slices
 
 #: ASCII bytes other than letters and digits part words; all others belong to them.
@@ -205,20 +210,24 @@ def matches_of(index: Index, text: str | None) -> list[tuple[int | None, float,
             whole = shingles(item.words)
             share = lambda part: sum(s in held or s in short for s in part) / len(part)  # noqa: B023, E731
             asked, answered = map(share, item.parts)
-            if share(whole) >= SHARE and (asked >= SHARE or answered >= SHARE):
+            if share(whole) >= SHARE and asked >= SHARE and answered >= SHARE:
                 row = (item.item_id, score, asked, answered)
                 if item.item_id not in best or best[item.item_id][2:] < row[2:]:
                     best[item.item_id] = row
     return sorted(best.values(), key=lambda r: (r[0] is None, r[0] or 0))
 
 
-def load_index(benchmark: DataFrame, max_items: int = 200_000, max_bytes: int = 256 << 20) -> Index:
-    """The index of a test set whose size is checked first; more than the bound is an error."""
-    items, size = benchmark.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0))).first()
-    if items > max_items or size > max_bytes:
-        raise ValueError(f"{items} test items of {size} bytes exceed the index bound; split the test set")
-    rows = benchmark.select("item_id", F.col("text").cast("string")).collect()
-    return build_index(sorted(map(tuple, rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")))
+def load_indexes(benchmark: DataFrame, max_items: int = 200_000, max_bytes: int = 64 << 20) -> Iterator[Index]:
+    """Indexes of a test set, one after the other, each of about ``max_items`` or ``max_bytes`` at most.
+
+    Rows of one ``item_id`` are in one index. There is at least one, if need be an empty one.
+    """
+    rows = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
+    items, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    parts = max(1, -(-items // max_items), -(-size // max_bytes))
+    for part in range(parts):
+        found = rows.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part).collect()
+        yield build_index(sorted(map(tuple, found), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")))
 
 
 MATCH = "array<struct<item_id:bigint,score:double,question_overlap:double,answer_overlap:double>>"
@@ -228,7 +237,7 @@ def with_matches(docs: DataFrame, index: Index, text_col: str = "text", name: st
     """``docs`` with ``name``: the test items each text holds."""
     spark, place = docs.sparkSession, docs.columns.index(text_col)
     schema = docs.select("*", F.lit(None).cast(MATCH).alias(name)).schema
-    # one copy of the index per executor, not one per task; load_index has bounded its size
+    # one copy of the index per executor, not one per task; load_indexes has bounded its size
     shared = spark.sparkContext.broadcast(cloudpickle.dumps(index))
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())]))
     names = [f.name for f in kind.value_type]
@@ -243,13 +252,24 @@ def with_matches(docs: DataFrame, index: Index, text_col: str = "text", name: st
     return docs.mapInArrow(run, schema)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``(doc_id, item_id, score, question_overlap, answer_overlap)``: a row per text and item in it."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, **bounds: int) -> DataFrame:
+    """``(doc_id, item_id, score, question_overlap, answer_overlap)``: a row per text and item in it.
+
+    ``bounds`` are those of ``load_indexes``.
+    """
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    hits = with_matches(texts, load_index(benchmark)).select("doc_id", F.explode("_matches").alias("_"))
-    return hits.select("doc_id", "_.*")
+    found = None
+    for index in load_indexes(benchmark, **bounds):
+        hits = with_matches(texts, index).select("doc_id", F.explode("_matches").alias("_")).select("doc_id", "_.*")
+        # what was found before is stored, so that one index is in use at a time
+        found = hits if found is None else stored(found, "matches").unionByName(hits)
+    return found
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, **bounds: int) -> DataFrame:
     """The rows of ``docs`` that hold no test item."""
-    return with_matches(docs, load_index(benchmark)).where(F.size("_matches") == 0).drop("_matches")
+    name, kept = free(docs, "_matches")[0], None
+    for index in load_indexes(benchmark, **bounds):
+        asked = docs if kept is None else stored(kept, "clean")
+        kept = with_matches(asked, index, name=name).where(F.size(name) == 0).drop(name)
+    return kept

@@ -20,7 +20,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_enough
+from tidemark.llm.common import free, small_enough
 
 PIECE, SALTS = 32, 64
 MAX_BROADCAST_SOURCES = 20_000
@@ -74,31 +74,26 @@ def rates(docs: DataFrame, targets: Mapping[str, float], other: float = 1.0) ->
 def replicate(docs: DataFrame, targets: Mapping[str, float], other: float = 1.0, seed: int = 42) -> DataFrame:
     """``docs`` repeated to the target weights, with ``copy`` (from 1) and ``order_key``, shuffled."""
     docs = docs.drop("copy", "order_key")
-    pieces = F.greatest(F.ceil(F.col("rate") / PIECE), F.lit(1)).cast("int")
-    plan = rates(docs, targets, other).withColumn("_pieces", pieces)
-    plan = plan.select(
-        F.col("source").alias("_source"), "_pieces", _distribution(F.col("rate") / F.col("_pieces")).alias("_below")
-    )
-    if small_enough(plan.select("_source"), MAX_BROADCAST_SOURCES):
-        same = F.col("source").eqNullSafe(F.col("_source"))
+    its_source, pieces, below, own, its_salt, copies = free(docs, "_source", "_pieces", "_below", "_salt", "_plan_salt", "_copies")
+    plan = rates(docs, targets, other).withColumn(pieces, F.greatest(F.ceil(F.col("rate") / PIECE), F.lit(1)).cast("int"))
+    plan = plan.select(F.col("source").alias(its_source), pieces, _distribution(F.col("rate") / F.col(pieces)).alias(below))
+    same = F.col("source").eqNullSafe(F.col(its_source))
+    if small_enough(plan.select(its_source), MAX_BROADCAST_SOURCES):
         planned = docs.join(F.broadcast(plan), same)
     else:  # many sources: a hot one is spread over salts
         salt = F.pmod(F.xxhash64(identity()), F.lit(SALTS))
-        spread = plan.withColumn("_plan_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("_salt") == F.col("_plan_salt"))
-        planned = docs.withColumn("_salt", salt).join(spread, same).drop("_salt", "_plan_salt")
+        spread = plan.withColumn(its_salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        planned = docs.withColumn(own, salt).join(spread, same & (F.col(own) == F.col(its_salt))).drop(own, its_salt)
 
     def drawn(total: Column, piece: Column) -> Column:
         at = _uniform(F.lit(str(seed)), identity(), piece.cast("string"))
-        return total + F.size(F.filter("_below", lambda c: c <= at))
+        return total + F.size(F.filter(below, lambda c: c <= at))
 
-    copies = F.aggregate(F.sequence(F.lit(1), F.col("_pieces")), F.lit(0), drawn)
-    counted = planned.withColumn("_copies", copies).drop("_source", "_pieces", "_below")
-    exploded = counted.where("_copies > 0").withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    )
+    count = F.aggregate(F.sequence(F.lit(1), F.col(pieces)), F.lit(0), drawn)
+    counted = planned.withColumn(copies, count).drop(its_source, pieces, below)
+    exploded = counted.where(F.col(copies) > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(copies))))
     key = F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), identity(), F.col("copy").cast("string")))
-    keyed = exploded.drop("_copies").withColumn("order_key", key)
+    keyed = exploded.drop(copies).withColumn("order_key", key)
     return keyed.repartition("order_key").sortWithinPartitions("order_key")
 
 

@@ -16,6 +16,10 @@ what they are in all documents is counted in one more pass.
 Everything is built-in expressions. Patterns are written with possessive quantifiers, so long
 runs neither recurse nor backtrack.
 
+A term that discloses two entities equally is counted to the later one in ``KINDS``; its spans and
+what becomes of it are the same. Names that stand beside an entity in fewer than ``support`` texts
+are not judged and stay.
+
 Rows: a NULL text is empty and has no span. Repeated rows count as documents each. An empty
 table gives an empty result. Columns other than ``doc_id`` and ``text`` are not read.
 """
@@ -125,8 +129,16 @@ def outside(text: Column, base: Column) -> Column:
 
 
 def terms(text: Column, base: Column) -> Column:
-    """The distinct lower-cased words of a text outside its base spans."""
-    return F.array_remove(F.array_distinct(F.split(F.lower(outside(text, base)), f"[^{IN_WORD}]+")), "")
+    """The distinct lower-cased words of a text outside its base spans.
+
+    Words are parted before they are lower-cased, as the case of a letter may hang on its neighbours.
+    """
+    return F.array_distinct(F.transform(_spellings(text, base), F.lower))
+
+
+def _spellings(text: Column, base: Column) -> Column:
+    """The distinct words of a text outside its base spans, as they are written."""
+    return F.array_remove(F.array_distinct(F.split(outside(text, base), f"[^{IN_WORD}]+")), "")
 
 
 def disclosing_terms(keyed: DataFrame, generalise: float = 0.6, remove: float = 0.85, support: int = 10) -> DataFrame:
@@ -159,10 +171,15 @@ def disclosing_terms(keyed: DataFrame, generalise: float = 0.6, remove: float =
 
 
 def _term_spans(text: Column, base: Column, told: Column) -> Column:
-    """Spans of the words of ``told``, an array of lower-cased words, outside the base spans."""
-    pattern = F.concat(F.lit(f"(?iu)(?<![{IN_WORD}])(?:"), F.array_join(told, "|"), F.lit(f")(?![{IN_WORD}])"))
-    words = F.filter(_matches(outside(text, base), pattern), lambda m: F.array_contains(told, F.lower(m["text"])))
-    return _as_spans(words, len(KINDS))
+    """Spans of the words of ``told``, an array of lower-cased words, outside the base spans.
+
+    They are searched as the text spells them: folding case in a pattern would miss a word such as
+    one with a dotted capital I, whose lower case has a character more. Spellings hold no sign that
+    means anything to a pattern.
+    """
+    written = F.filter(_spellings(text, base), lambda w: F.array_contains(told, F.lower(w)))
+    pattern = F.concat(F.lit(f"(?<![{IN_WORD}])(?:"), F.array_join(written, "|"), F.lit(f")(?![{IN_WORD}])"))
+    return _as_spans(_matches(outside(text, base), pattern), len(KINDS))
 
 
 def found(docs: DataFrame, generalise: float = 0.6, remove: float = 0.85, support: int = 10) -> DataFrame:

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import free
+
 #: A chunk is CHUNK blocks long and the next one begins STEP blocks later.
 BLOCK, CHUNK, STEP = 64, 4, 3
 WIDTH, STRIDE, FILTERS, PAD = 8, 2, 16, 256
@@ -218,5 +220,6 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is judged good, with all their columns."""
-    scores = with_score(docs, fit(docs, labels), name="_quality")
-    return scores.where(F.col("_quality") >= 0.5).drop("_quality")
+    name = free(docs, "_quality")[0]
+    scores = with_score(docs, fit(docs, labels), name=name)
+    return scores.where(F.col(name) >= 0.5).drop(name)

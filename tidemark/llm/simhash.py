@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Forest, components, in_parts, stored
+from tidemark.llm.common import Forest, components, free, in_parts, stored
 
 SEED = 42
 BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -194,14 +194,14 @@ def representatives(docs: DataFrame, radius: int = 4) -> DataFrame:
     prints = stored(narrow.select("doc_id", "_digest", _simhash()(F.col("text").cast("string")).alias("fp")), "fingerprints")
     rooted = prints.join(components_of(prints, radius), "fp")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_digest")).alias("first")
+    root, its_id, its_digest = free(docs, "_root", "_id", "_print")
     stays = stored(rooted.groupBy("root").agg(first).select(
-        F.col("root").alias("_root"), F.col("first.doc_id").alias("_id"), F.col("first._digest").alias("_print")
+        F.col("root").alias(root), F.col("first.doc_id").alias(its_id), F.col("first._digest").alias(its_digest)
     ), "stays")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (digest == F.col("_print"))
-    kept = docs.join(stays, same)
-    rows = prints.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_print")))
+    kept = docs.join(stays, F.col("doc_id").eqNullSafe(F.col(its_id)) & (digest == F.col(its_digest)))
+    rows = prints.join(stays, F.col("doc_id").eqNullSafe(F.col(its_id)) & (F.col("_digest") == F.col(its_digest)))
     if rows.count() > stays.count():  # some rows are repeated in full
-        kept = kept.dropDuplicates(["_root"])
+        kept = kept.dropDuplicates([root])
     return kept.select(*[F.col(c) for c in docs.columns])
 
 
