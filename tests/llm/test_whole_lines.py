@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 from tests.llm import brute
-from tidemark.llm import lines
+from tidemark.llm import lines, shingles
 
 APART = [
     "https://example.org/news/2024/05/17/a-long-title",
@@ -51,3 +51,21 @@ def test_no_near_pair_of_short_lines_is_left_to_chance(spark):
         docs += [(k, five), (k + 1, five[:-1]), (k + 2, nine), (k + 3, nine[1:] + word(1)), (k + 4, ten := word(19)), (k + 5, ten[1:])]
     got = deduplicated(spark, docs)
     assert [k for k, text in got.items() if bool(text) != (k % 2 == 0)] == []
+
+
+def test_recall_of_the_bands_just_above_the_threshold():
+    rnd, letters, pairs = random.Random(1), "abcdefghijklmnopqrstuvwxyz   ", []
+    while len(pairs) < 2000:
+        one = [rnd.choice(letters) for _ in range(rnd.randint(25, 400))]
+        two = one[:]
+        for _ in range(rnd.randint(1, max(1, len(one) // 70))):
+            two[rnd.randrange(len(two))] = rnd.choice(letters)
+        x, y = brute.sliding_shingles("".join(one)), brute.sliding_shingles("".join(two))
+        if 0.8 <= len(x & y) / len(x | y) <= 0.85:
+            pairs.append(("".join(one), "".join(two)))
+
+    def keys(texts):
+        return [set(k.tolist()) for a, b in shingles.groups(texts) for k in lines._signed(texts[a:b], 0.8)[2]]
+
+    met = [bool(a & b) for a, b in zip(*(keys(list(side)) for side in zip(*pairs, strict=True)), strict=True)]
+    assert sum(met) >= 0.98 * len(pairs)
