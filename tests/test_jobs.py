@@ -13,12 +13,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.operators import changes, metrics, quality
+from tidemark.operators import changes, metrics, quality, series
 from tidemark.plans import layers
 from tidemark.sinks import tables
 from tidemark.sinks.deadletter import read_dead_letters, write_dead_letters
 from tidemark.sources import sample
-from tidemark.sources.records import file_records
+from tidemark.sources.records import file_records, stream_table
 from tidemark.streaming import jobs
 
 SMALL = "/root/testdata/sf0.001"
@@ -374,3 +374,63 @@ def test_dead_letters_before_the_first_batch_and_of_empty_ones(spark, tmp_path):
     later = one.withColumn("ingested_at", F.lit(datetime(2040, 1, 1)).cast("timestamp"))
     write_dead_letters(later, str(tmp_path), "a", 0)
     assert [r.ingested_at.year for r in read_dead_letters(spark, str(tmp_path)).collect()] == [2040]
+
+
+def test_last_values_follow_the_stream(spark, tmp_path, layout):
+    folder, table = str(tmp_path / "samples"), layout.table("last")
+    schema = "host string, at timestamp, n long, up double"
+    drops = [
+        [("a", 10, 1, 1.0), ("b", 10, 2, 5.0), (None, 3, 3, 7.0)],
+        [("a", 9, 4, 2.0), ("b", 11, 5, None), ("c", 1, 6, 0.0)],  # late, without a value, new
+        [("a", 10, 7, 3.0), (None, 2, 8, 9.0)],  # the same moment, later in the log
+    ]
+    seen = []
+    for drop in drops:
+        rows = [(h, datetime.fromtimestamp(1_704_067_200 + s), n, v) for h, s, n, v in drop]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        samples = stream_table(spark, folder, spark.read.parquet(folder).schema)
+        jobs.run_last_values(samples, layout, "last", ["host"], "up", ["at", "n"])  # each run is a restart
+        whole = series.last_value(spark.read.parquet(folder), ["host"], "up", ["at", "n"])
+        assert bag(spark.table(table).select("host", "up")) == bag(whole)
+        seen.append(files(spark, table))
+    assert seen[0] != seen[1]
+    jobs.run_last_values(samples, layout, "last", ["host"], "up", ["at", "n"])
+    assert files(spark, table) == seen[2]
+
+
+def test_a_batch_of_last_values_opens_its_parts_only(spark, tmp_path):
+    layout = jobs.Layout(str(tmp_path / "tables"), str(tmp_path / "progress"), buckets=16)
+    folder, table = str(tmp_path / "samples"), layout.table("last")
+    for rows in (spark.range(400).selectExpr("id", "1 AS n", "id * 1.0D AS up"), spark.range(1).selectExpr("id", "2 AS n", "9.0D AS up")):
+        rows.coalesce(1).write.mode("append").parquet(folder)
+        before = files(spark, table) if spark.catalog.tableExists(table) else set()
+        jobs.run_last_values(stream_table(spark, folder, rows.schema), layout, "last", ["id"], "up", ["n"])
+    after = files(spark, table)
+    assert len(folders(before - after)) == 1 and len(before & after) >= 15
+    assert spark.table(table).agg(F.sum("up")).first()[0] == sum(range(400)) + 9.0
+    spark.sql(f"DROP DATABASE {layout.namespace} CASCADE")
+
+
+@pytest.mark.parametrize("spread", [1, 4])
+def test_orphans_are_told_when_no_parent_can_come(spark, tmp_path, layout, spread):
+    minute = lambda m: datetime.fromtimestamp(1_704_067_200 + 60 * m)
+    kids, dads = str(tmp_path / "kids"), str(tmp_path / "dads")
+
+    def told(children, parents):
+        spark.createDataFrame([(k, p, minute(m)) for k, p, m in children], "kid long, pid long, born timestamp").write.mode("append").parquet(kids)
+        spark.createDataFrame([(p, minute(m)) for p, m in parents], "pid long, came timestamp").write.mode("append").parquet(dads)
+        held = quality.orphans_in_motion(
+            stream_table(spark, kids, spark.read.parquet(kids).schema), stream_table(spark, dads, spark.read.parquet(dads).schema),
+            "pid", "pid", "born", "came", wait="30 minutes", reach="1 day", late="10 minutes", spread=spread,
+        )
+        path = jobs.run_orphans(held, layout, "orphans")
+        return sorted(r.kid for r in spark.read.schema("kid long").parquet(path).collect())
+
+    # 1: parent before; 2: inside the wait, a drop later; 3: after the wait; 4: never; 5: names nobody; 10..: many of one parent
+    many = [(k, 7, 0) for k in range(10, 40)]
+    assert told([(1, 1, 0), (2, 2, 0), (3, 3, 0), (4, 4, 0), (5, None, 0), *many], [(1, -60), (7, -1)]) == []
+    assert told([(6, 1, 20)], [(2, 29), (9, 20)]) == []
+    assert told([(7, 7, 45)], [(3, 31), (9, 45)]) == [3, 4]
+    # 8 comes later than the watermark allows and is dropped; a parent older than ``reach`` is none
+    assert told([(8, 4, -1000), (9, 1, 1500)], [(9, 1500)]) == [3, 4]
+    assert told([(50, 9, 3000)], [(9, 3000)]) == [3, 4, 9]

@@ -94,3 +94,30 @@ def test_orphans_are_counted_before_the_join(spark):
     child = spark.createDataFrame([(1,)] * 50 + [(2,), (None,)], "fk BIGINT")
     parent = spark.createDataFrame([(2,)], "pk BIGINT")
     assert [tuple(r) for r in quality.fk_orphans(child, parent, "fk", "pk").collect()] == [(1, 50)]
+
+
+def test_kinds_of_nested_fields(spark):
+    log = spark.createDataFrame(
+        [
+            ('{"op":"c","after":{"id":1,"card":{"bin":411111,"tags":["a",2,"b"]}}}',),
+            ('{"op":"c","after":{"id":"1","card":{"bin":"x","tags":[]}}}',),
+            ('{"op":"c","after":{"id":2.5,"card":null,"ok":true}}',),
+            ('{"op":"c","after":{"a":{"b":{"c":{"d":1}}}}}',),
+            ("not-json",), (None,), ("7",), ("{}",),
+        ],
+        "kafka_value STRING",
+    )
+    contract = {"op": "text", "after": "object", "after.id": "number", "after.card": "object", "after.card.bin": "number",
+                "after.card.tags": "array", "after.card.tags[]": "text", "after.ok": "boolean"}
+    nested = {("after.a", "object", None, 1), ("after.a.b", "object", None, 1), ("after.a.b.c", "object", None, 1)}
+    wanted = {
+        ("after.id", "text", "number", 1), ("after.card.bin", "text", "number", 1), ("after.card.tags[]", "number", "text", 1),
+    }
+    got = {tuple(r) for r in drift.type_drift(log, contract).collect()}
+    assert got == wanted | nested | {("after.a.b.c.d", "number", None, 1)}
+    # what lies below the last level is told, not lost
+    got = {tuple(r) for r in drift.type_drift(log, contract, depth=4).collect()}
+    assert got == wanted | nested - {("after.a.b.c", "object", None, 1)} | {("after.a.b.c", "unread object", None, 1)}
+    kinds = {(r.path, r.kind): r.records for r in drift.payload_kinds(log).collect()}
+    assert kinds[("after.id", "number")] == 2 and kinds[("after.card", "null")] == 1 and kinds[("after.card.tags[]", "text")] == 1
+    assert drift.type_drift(log.where("false"), contract).isEmpty()

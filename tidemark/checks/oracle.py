@@ -370,4 +370,24 @@ FROM paired WHERE previous IS NOT NULL GROUP BY 1, 2""",
     "q_stream_dlq": f"""WITH {_CDC}
 SELECT CASE WHEN op IS NULL THEN 'null_op' ELSE 'unexpected_op' END AS error_reason, count(*) AS n
 FROM cdc WHERE op IS NULL OR op NOT IN ('c', 'u', 'r', 'd') GROUP BY 1""",
+    "q_type_drift": f"""WITH {_CDC},
+images AS (
+  SELECT 'after' AS side, kafka_offset FROM cdc WHERE op IS NOT NULL AND op <> 'd'
+  UNION ALL SELECT 'before', kafka_offset FROM cdc WHERE op IN ('u', 'd')
+),
+moved AS (SELECT side, count(*) AS n FROM images WHERE kafka_offset % 5 = 0 GROUP BY side)
+SELECT side || '.merchant_id' AS path, 'object' AS kind, 'number' AS expected, n AS records FROM moved
+UNION ALL SELECT side || '.merchant_id.id', 'number', NULL, n FROM moved
+UNION ALL SELECT 'before.country_code', 'text', NULL, count(*) FROM images WHERE side = 'before' HAVING count(*) > 0
+UNION ALL SELECT side || '.created_at', 'number', 'text', count(*) FROM (
+  SELECT 'after' AS side FROM cdc WHERE op IS NOT NULL AND op <> 'd'
+  UNION ALL SELECT 'before' FROM cdc WHERE op IN ('u', 'd') AND NOT (op = 'd' AND kafka_offset % 13 = 0)
+) GROUP BY side""",
+    "q_stream_last_value": """SELECT user_id, arg_max(value, (ts, event_id)) AS value FROM events
+WHERE event_type <> 'error' AND value IS NOT NULL GROUP BY user_id""",
+    "q_stream_orphans": """WITH payments AS (
+  SELECT event_id AS payment_id, ts + to_minutes(event_id % 300) AS made_at FROM events WHERE event_id % 4 <> 0)
+SELECT r.event_id AS payment_id, r.user_id FROM events r
+WHERE r.event_id % 3 = 0 AND NOT EXISTS (SELECT 1 FROM payments p WHERE p.payment_id = r.event_id
+  AND p.made_at BETWEEN r.ts - INTERVAL 30 DAY AND r.ts + INTERVAL 2 HOUR)""",
 }

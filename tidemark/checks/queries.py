@@ -15,7 +15,7 @@ from tidemark.plans import layers, normalize, seed
 from tidemark.session import scratch_folder, settle
 from tidemark.sinks.deadletter import read_dead_letters
 from tidemark.sources import sample
-from tidemark.sources.records import file_records
+from tidemark.sources.records import file_records, stream_table
 from tidemark.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -563,3 +563,61 @@ def q_stream_once(spark, d):
 def q_stream_dlq(spark, d):
     letters = read_dead_letters(spark, _streamed(spark, d, changes.REFERENCE).dead_letters)
     return letters.groupBy("error_reason").agg(F.count("*").alias("n"))
+
+
+@query
+def q_type_drift(spark, d):
+    """One merchant id in five has become an object; a creation time is no text; nobody knows ``before.country_code``."""
+    nested = F.regexp_replace("kafka_value", r'"merchant_id":(\d+)', r'"merchant_id":{"id":$1}')
+    log = _log(spark, d).withColumn("kafka_value", F.when(F.col("kafka_offset") % 5 == 0, nested).otherwise(F.col("kafka_value")))
+    image = {"payment_id": "number", "merchant_id": "number", "shopper_id": "text", "created_at": "text", "updated_at": "number"}
+    image |= dict.fromkeys(("amount", "currency", "payment_method", "payment_status", "country_code"), "text")
+    contract = {"op": "text", "before": "object", "after": "object"}
+    contract |= {f"{side}.{name}": kind for side in ("before", "after") for name, kind in image.items()}
+    del contract["before.country_code"]
+    return drift.type_drift(log, contract)
+
+
+@query
+def q_stream_last_value(spark, d):
+    """``q_last_value`` kept by a stream: three drops that overlap in time, with a restart before each."""
+    gauge = F.when(F.col("event_type") != "error", F.col("value")).alias("value")
+    samples = _events(spark, d).select("user_id", "ts", "event_id", gauge)
+    layout = _layout(spark)
+    for drop in range(3):
+        samples.where(F.col("event_id") % 3 == drop).write.mode("append").parquet(f"{layout.root}/samples")
+        stream = stream_table(spark, f"{layout.root}/samples", samples.schema)
+        jobs.run_last_values(stream, layout, "last_values", ["user_id"], "value", ["ts", "event_id"])
+    return spark.table(layout.table("last_values")).select("user_id", "value")
+
+
+@query
+def q_stream_orphans(spark, d):
+    """Refunds without a payment in time, told by two streams; the payments come a drop after the refunds.
+
+    Last come heartbeats, which move the watermark past all that is held.
+    """
+    at = F.col("ts").cast("timestamp")
+    base = _events(spark, d).select("event_id", "event_type", F.col("user_id"), at.alias("at"))
+    later = F.make_interval(mins=F.col("event_id") % 300)
+    made = base.where(F.col("event_id") % 4 != 0).select(F.col("event_id").alias("payment_id"), (F.col("at") + later).alias("made_at"))
+    refunds = base.where(F.col("event_id") % 3 == 0).select((F.col("event_id")).alias("payment_id"), F.col("at").alias("refunded_at"), "user_id")
+    beat = base.agg((F.max("at") + F.expr("INTERVAL 90 DAYS")).alias("at"))
+    folder = _layout(spark)
+    drops = (
+        (refunds, made.where("payment_id % 2 = 0")),
+        (refunds.where("false"), made.where("payment_id % 2 = 1")),
+        (
+            beat.select(F.lit(-1).cast("long").alias("payment_id"), F.col("at").alias("refunded_at"), F.lit(0).cast("long").alias("user_id")),
+            beat.select(F.lit(-2).cast("long").alias("payment_id"), F.col("at").alias("made_at")),
+        ),
+    )
+    for children, parents in drops:
+        children.write.mode("append").parquet(f"{folder.root}/refunds")
+        parents.write.mode("append").parquet(f"{folder.root}/payments")
+        held = quality.orphans_in_motion(
+            stream_table(spark, f"{folder.root}/refunds", refunds.schema), stream_table(spark, f"{folder.root}/payments", made.schema),
+            "payment_id", "payment_id", "refunded_at", "made_at", wait="2 HOURS", reach="30 DAYS", late="60 days", spread=2,
+        )
+        path = jobs.run_orphans(held, folder, "orphans")
+    return spark.read.schema(refunds.schema).parquet(path).select("payment_id", "user_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.fixed_values import CONTRACTS
@@ -78,3 +78,66 @@ def payload_drift(raw_log: DataFrame, known: Iterable[str], section: str = "afte
         .groupBy("column_name")
         .agg(F.count("*").alias("records"))
     )
+
+
+#: Kinds of JSON values, by the type that a variant has.
+KINDS = {
+    "BIGINT": "number", "DECIMAL": "number", "DOUBLE": "number", "FLOAT": "number", "STRING": "text",
+    "BOOLEAN": "boolean", "VOID": "null", "OBJECT": "object", "ARRAY": "array",
+}
+
+
+def _kind(value: Column) -> Column:
+    name = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    return F.element_at(F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair]), name)
+
+
+def _inside(node: Column) -> Column:
+    """Fields of an object and elements of an array as ``(path, value)``; of anything else, none."""
+    fields = F.map_entries(F.try_variant_get(node["value"], "$", "map<string,variant>"))
+    elements = F.try_variant_get(node["value"], "$", "array<variant>")
+    below = F.when(node["path"] == "", "").otherwise(F.concat(node["path"], F.lit(".")))
+    none = F.expr("CAST(array() AS array<struct<path: string, value: variant>>)")
+    return F.coalesce(
+        F.transform(fields, lambda e: F.struct(F.concat(below, e["key"]).alias("path"), e["value"].alias("value"))),
+        F.transform(elements, lambda e: F.struct(F.concat(node["path"], F.lit("[]")).alias("path"), e.alias("value"))),
+        none,
+    )
+
+
+def _told(node: Column) -> Column:
+    return F.struct(node["path"].alias("path"), _kind(node["value"]).alias("kind"))
+
+
+def _told_last(node: Column) -> Column:
+    kind = _kind(node["value"])
+    unread = F.when(F.size(_inside(node)) > 0, F.concat(F.lit("unread "), kind)).otherwise(kind)
+    return F.struct(node["path"].alias("path"), unread.alias("kind"))
+
+
+def payload_kinds(raw_log: DataFrame, depth: int = 5, value: str = "kafka_value") -> DataFrame:
+    """``(path, kind, records)``: which kinds of values each field has, at any level, in how many records.
+
+    Paths are dotted, the elements of an array are ``name[]``. One pass, one parse per record; paths are
+    counted before the shuffle, so it carries one row per path, kind and task. A field at level ``depth`` that
+    still holds something is told as ``unread object`` or ``unread array``. Text that is not JSON is left out.
+    """
+    root = F.struct(F.lit("").alias("path"), F.try_parse_json(value).alias("value"))
+    level, found = _inside(root), []
+    for step in range(depth):
+        raw_log = raw_log.withColumn(f"_{step}", level)
+        found.append(F.transform(f"_{step}", _told if step < depth - 1 else _told_last))
+        level = F.flatten(F.transform(f"_{step}", _inside))
+    kinds = raw_log.select(F.explode(F.array_distinct(F.concat(*found))).alias("k")).select("k.path", "k.kind")
+    return kinds.groupBy("path", "kind").agg(F.count("*").alias("records"))
+
+
+def type_drift(raw_log: DataFrame, contract: Mapping[str, str], depth: int = 5) -> DataFrame:
+    """``(path, kind, expected, records)``: fields whose kind is not that of the contract.
+
+    ``expected`` is NULL for a field the contract does not name. JSON null has every kind.
+    """
+    spark = raw_log.sparkSession
+    agreed = spark.createDataFrame(list(contract.items()), "path STRING, expected STRING")
+    met = payload_kinds(raw_log, depth).where(F.col("kind") != "null").join(agreed, "path", "left")
+    return met.where(~F.col("kind").eqNullSafe(F.col("expected"))).select("path", "kind", "expected", "records")

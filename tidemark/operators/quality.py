@@ -88,3 +88,27 @@ def fk_orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFra
     """
     used = child.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count("*").alias("child_rows"))
     return used.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
+
+
+def orphans_in_motion(
+    children: DataFrame, parents: DataFrame, fk: str, pk: str, child_time: str, parent_time: str,
+    wait: str, reach: str, late: str, spread: int = 1,
+) -> DataFrame:
+    """Rows of a stream whose parent did not come in time, each given out once it no longer can.
+
+    A parent counts if its time is at most ``reach`` before and ``wait`` after that of the child. Both streams
+    may be ``late`` by so much; a row later than that is dropped behind the watermark, as any in the
+    stream. So a child is held until the watermark of the parents has passed its time and
+    ``wait``, and a parent until no child can name it: the state is bounded by the three intervals. A NULL
+    reference names nobody and is no orphan; a child without a time is never given out.
+
+    ``spread``: over how many tasks the children of one parent are dealt. Parents are repeated so often, so raise it
+    only if one parent has a large share of all children.
+    """
+    dealt = F.pmod(F.xxhash64(*children.columns), F.lit(spread)).cast("int")
+    child = children.where(F.col(fk).isNotNull()).withWatermark(child_time, late).withColumn("_share", dealt)
+    shares = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_of")
+    parent = parents.withWatermark(parent_time, late).select(F.col(pk).alias("_pk"), F.col(parent_time).alias("_came"), shares)
+    near = F.expr(f"_came >= {child_time} - INTERVAL {reach} AND _came <= {child_time} + INTERVAL {wait}")
+    same = (F.col(fk) == F.col("_pk")) & (F.col("_share") == F.col("_of")) & near
+    return child.join(parent, same, "left_outer").where(F.col("_pk").isNull()).select(*children.columns)

@@ -91,15 +91,15 @@ def drop_parts(spark: SparkSession, name: str, parts: Sequence[Mapping[str, obje
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {listed}")
 
 
-def in_parts(table: DataFrame, parts: DataFrame) -> DataFrame:
+def in_parts(table: DataFrame, parts: DataFrame, least: Column | None = None) -> DataFrame:
     """The rows of the partitions listed in ``parts``; other partitions are not read.
 
     The list is joined, and prunes the scan at run time: its rows number at most the
     partitions of the table. Spark prunes only by a side that is itself filtered, hence the
-    bound on the day, which all days meet.
+    bound on the first column, which all its values meet: ``least``, or the least day.
     """
-    day = parts.columns[0]
-    listed = parts.where(F.col(day) >= F.lit(NO_DAY).cast("date"))
+    first = parts.columns[0]
+    listed = parts.where(F.col(first) >= (F.lit(NO_DAY).cast("date") if least is None else least))
     return table.join(F.broadcast(listed), parts.columns, "left_semi")
 
 

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark import schemas
-from tidemark.operators import changes, metrics, quality
+from tidemark.operators import changes, metrics, quality, series
 from tidemark.plans import layers
 from tidemark.schemas import BUCKET, DAY
 from tidemark.session import settle
@@ -416,6 +419,41 @@ def run_layers(
     run_gold(spark, layout, mode)
 
 
+def run_last_values(
+    samples: DataFrame, layout: Layout, name: str, keys: Sequence[str], value: str, order: Sequence[str]
+) -> None:
+    """Keep the newest non-NULL value of every series in the table ``name``; late samples change nothing.
+
+    The newest value is a running aggregate, one row of state per series. A batch gives out the series it
+    has moved, whole, so they are put into the table by key and a repeated batch leaves it as it is. Only the parts of
+    these series are read and rewritten. A NULL in ``keys`` is a value like others.
+    """
+    spark, table = samples.sparkSession, layout.table(name)
+    newest = series.last_value(samples, keys, value, order)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layout.namespace} LOCATION '{layout.folder}'")
+    spark.sql(tables.create_statement(table, schemas.extend(newest.schema, **{BUCKET: T.IntegerType()}), [BUCKET]))
+
+    def put(moved: DataFrame, _: int) -> None:
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(layout.buckets)).cast("int")
+        moved = settle(moved.withColumn(BUCKET, bucket), "moved")
+        held = tables.in_parts(moved.sparkSession.table(table), moved.select(BUCKET).distinct(), F.lit(0))
+        named = moved.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        after = settle(held.join(named, same, "left_anti").unionByName(moved), "last-values")
+        if not moved.isEmpty():
+            tables.overwrite_parts(table, after)
+
+    _drain(newest.writeStream.outputMode("update").foreachBatch(put), layout.checkpoint(name))
+    spark.catalog.refreshTable(table)
+
+
+def run_orphans(orphans: DataFrame, layout: Layout, name: str) -> str:
+    """Append what ``quality.orphans_in_motion`` gives out to a folder of Parquet files; its path."""
+    path = f"{layout.root}/{name}"
+    _drain(orphans.writeStream.format("parquet").outputMode("append").option("path", path), layout.checkpoint(name))
+    return path
+
+
 @dataclass(frozen=True)
 class LakeLayout:
     """Table names of a deployment on a catalog whose format supports MERGE."""
