@@ -9,12 +9,16 @@ query's own is further than r away. On a list, table lookups give the distance t
 vector; a vector is passed on if that distance less its own coding error is within r, and its
 exact cosine decides. Both bounds are those of the triangle inequality, so no link is lost.
 
-Equal vectors of a label are one class and searched once. A list is dealt into bounded blocks of
+Lists whose centroids lie together form a group. A vector is sent once to every group that has a list it
+visits, and finds its lists there, so its copies number the groups and not the lists.
+
+Equal vectors of a label are one class and searched once. A group is dealt into bounded blocks of
 vectors and of queries. A unit (block against block) returns one row per vector, with its number
 of links and its tree in the unit, never the pairs.
 
 Rows: a vector that is NULL, zero, or has a NULL or non-finite component, a NULL label or a
-NULL id links with nothing. Vectors of different lengths do not link. Rows that share a vec_id
+NULL id links with nothing. Vectors of different lengths do not link. The ``MAX_DIMS`` most frequent lengths
+have an index each; vectors of any other length are on one list of their length and compared exactly. Rows that share a vec_id
 are one node for components. Repeated rows are vectors like others and link with each other. An
 empty table gives an empty result. Extra columns are not read.
 """
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -33,16 +38,22 @@ from tidemark.llm.common import Forest, components, in_parts, stored
 
 SUBSPACES, CODES = 8, 64
 MAX_DIMS = 64
+#: Lists of a group, on average.
+GROUPED = 16
 #: Vectors that a task holds together with their copies for every list they visit.
 PIECE = 1024
+#: Bytes of the vectors that are gathered for exact comparison at once.
+PAIR_BYTES = 1 << 25
 ROWS = "cid long, label int, dim int, vec array<double>, copies long"
 
 
 @dataclass(frozen=True)
 class Index:
-    """``centroids`` (lists, dim); ``books``: per subspace its columns and (CODES, width) codewords."""
+    """``centroids`` (lists, dim); ``groups``: the group of each list; ``books``: per subspace its
+    columns and (CODES, width) codewords."""
 
     centroids: np.ndarray
+    groups: np.ndarray
     books: list[tuple[slice, np.ndarray]]
 
 
@@ -73,11 +84,20 @@ def fit(sample: np.ndarray, lists: int, seed: int = 11) -> Index:
     rest = x - centroids[home]
     cuts = np.linspace(0, x.shape[1], min(SUBSPACES, x.shape[1]) + 1).astype(int)
     parts = [slice(a, b) for a, b in zip(cuts, cuts[1:], strict=False)]
-    return Index(centroids, [(p, _kmeans(np.ascontiguousarray(rest[:, p]), CODES, rng)) for p in parts])
+    heads = _kmeans(centroids, -(-len(centroids) // GROUPED), rng)
+    groups = ((heads * heads).sum(axis=1) - 2 * centroids @ heads.T).argmin(axis=1)
+    return Index(centroids, groups, [(p, _kmeans(np.ascontiguousarray(rest[:, p]), CODES, rng)) for p in parts])
+
+
+def one_list(dim: int) -> Index:
+    """The index of a length that none is fitted for: one list, no codes, so the exact cosine decides alone."""
+    return Index(np.zeros((1, dim)), np.zeros(1, int), [])
 
 
 def _encode(index: Index, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes of residuals and the length of what the codes miss."""
+    if not index.books:
+        return np.zeros((len(rest), 0), int), np.sqrt((rest * rest).sum(axis=1))
     codes, missed = [], np.zeros(len(rest))
     for part, book in index.books:
         sub = rest[:, part]
@@ -99,66 +119,87 @@ def _probes(index: Index, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.n
     return home, mask
 
 
-def _search_unit(index: Index, listed: pd.DataFrame, asked: pd.DataFrame, threshold: float, reach: float, piece: int = 512):
+def _search_unit(index: Index, listed: pd.DataFrame, asked: pd.DataFrame, threshold: float, reach: float):
     """Links of one unit: per query its weighted count, and the tree of every row in the unit."""
-    center = index.centroids[int(listed["list"].iloc[0])]
+    listed = listed.sort_values("list", kind="stable")
     codes = np.stack(listed["codes"].to_numpy()).astype(np.intp)
     error, copies = listed["error"].to_numpy(), listed["copies"].to_numpy()
     there, here = listed["cid"].to_numpy(), asked["cid"].to_numpy()
-    x, q = np.stack(listed["vec"].to_numpy()), np.stack(asked["vec"].to_numpy())
-    ux, uq = _unit(x), _unit(q)
+    ux, uq = _unit(np.stack(listed["vec"].to_numpy())), _unit(np.stack(asked["vec"].to_numpy()))
     nodes = np.unique(np.concatenate([there, here]))
     at_x, at_q = np.searchsorted(nodes, there), np.searchsorted(nodes, here)
     forest, count = Forest(len(nodes)), np.zeros(len(here), dtype=np.int64)
-    for first in range(0, len(q), piece):
-        some = uq[first : first + piece]
-        rest = some - center
-        square = np.zeros((len(some), len(x)))
+    # the products of a query with all codewords serve every list of the unit
+    tables = [book @ uq[:, part].T for part, book in index.books]
+    mask = _probes(index, uq, reach)[1]
+    numbers, firsts = np.unique(listed["list"].to_numpy(), return_index=True)
+    pairs = max(1, PAIR_BYTES // (8 * uq.shape[1]))
+    rows, cols = [], []
+    for number, first, last in zip(numbers, firsts, np.append(firsts[1:], len(listed)), strict=True):
+        who = np.flatnonzero(mask[:, number])
+        if not len(who):
+            continue
+        coded = np.tile(index.centroids[number], (last - first, 1))
+        product = np.tile(uq[who] @ index.centroids[number], (last - first, 1))
         for m, (part, book) in enumerate(index.books):
-            lookup = ((rest[:, None, part] - book[None]) ** 2).sum(axis=2)
-            square += lookup[:, codes[:, m]]
-        row, col = np.nonzero(np.sqrt(square) <= reach + error[None] + 1e-9)
-        cosine = np.einsum("ij,ij->i", some[row], ux[col])
-        same = here[first + row] == there[col]
-        row, col = row[(cosine >= threshold) | same] + first, col[(cosine >= threshold) | same]
+            code = codes[first:last, m]
+            coded[:, part] += book[code]
+            product += tables[m][:, who][code]
+        square = 1 + (coded * coded).sum(axis=1)[:, None] - 2 * product
+        col, row = np.nonzero(square <= (reach + error[first:last, None] + 1e-9) ** 2)
+        col, row = col + first, who[row]
+        for k in range(0, len(row), pairs):
+            r, c = row[k : k + pairs], col[k : k + pairs]
+            near = (np.einsum("ij,ij->i", uq[r], ux[c]) >= threshold) | (here[r] == there[c])
+            rows.append(r[near])
+            cols.append(c[near])
+    if rows:
+        row, col = np.concatenate(rows), np.concatenate(cols)
         np.add.at(count, row, copies[col])
-        bounds = np.searchsorted(row, np.arange(first, first + len(some) + 1))
-        for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
-            if b > a:
-                forest.merge(np.append(at_x[col[a:b]], at_q[first + k]))
+        order = np.argsort(row, kind="stable")
+        row, col = row[order], col[order]
+        found, bounds = np.unique(row, return_index=True)
+        for k, members in zip(found, np.split(col, bounds[1:]), strict=True):
+            forest.merge(np.append(at_x[members], at_q[k]))
     trees = pd.DataFrame({"cid": nodes, "links": np.int64(0), "root": nodes[forest.label]})
     trees = trees[trees["cid"] != trees["root"]]
     counts = pd.DataFrame({"cid": here, "links": count, "root": here})
     return [counts[counts["links"] > 0], trees]
 
 
-def _search(rows: pd.DataFrame, index: Index, threshold: float, reach: float) -> pd.DataFrame:
+def _search(rows: pd.DataFrame, indexes: dict[int, Index], threshold: float, reach: float) -> pd.DataFrame:
     out = []
-    for _, unit in rows.groupby(["label", "dim", "list", "i", "j"], sort=False):
+    for key, unit in rows.groupby(["label", "dim", "cell", "i", "j"], sort=False):
         listed, asked = unit[~unit["query"]], unit[unit["query"]]
         if len(listed) and len(asked):
-            out += _search_unit(index, listed, asked, threshold, reach)
+            out += _search_unit(indexes.get(key[1]) or one_list(key[1]), listed, asked, threshold, reach)
     empty = pd.DataFrame({"cid": np.zeros(0, np.int64), "links": np.zeros(0, np.int64), "root": np.zeros(0, np.int64)})
     return pd.concat(out, ignore_index=True) if out else empty
 
 
-def links(classes: DataFrame, index: Index, dim: int, threshold: float = 0.98, block: int = 2048) -> DataFrame:
-    """``(cid, links, root)`` rows from every unit: partial counts, and edges to trees."""
+def links(classes: DataFrame, indexes: dict[int, Index], threshold: float = 0.98, block: int = 2048) -> DataFrame:
+    """``(cid, links, root)`` rows from every unit: partial counts, and edges to trees.
+
+    ``indexes``: the index of each length of vectors; a length that is not there has ``one_list``.
+    """
     reach = math.sqrt(max(0.0, 2 - 2 * threshold))
 
     def place(batches):
         pieces = (whole.iloc[k : k + PIECE] for whole in batches for k in range(0, len(whole), PIECE))
-        for pdf in pieces:
+        for dim, pdf in (alike for piece in pieces for alike in piece.groupby("dim", sort=False)):
+            index = indexes.get(dim) or one_list(dim)
             x = _unit(np.stack(pdf["vec"].to_numpy()))
             home, mask = _probes(index, x, reach)
             codes, error = _encode(index, x - index.centroids[home])
-            yield pdf.assign(list=home, codes=list(codes.astype(np.int32)), error=error, query=False)
-            row, where = np.nonzero(mask)
-            yield pdf.iloc[row].assign(list=where, codes=None, error=0.0, query=True)
-
-    schema = f"{ROWS}, list int, codes array<int>, error double, query boolean"
-    placed = stored(classes.where(F.col("dim") == dim).mapInPandas(place, schema), "lists")
-    key = ["label", "dim", "list"]
+            yield pdf.assign(cell=index.groups[home], list=home, codes=list(codes.astype(np.int32)), error=error, query=False)
+            cells = np.unique(index.groups)
+            visits = np.stack([mask[:, index.groups == cell].any(axis=1) for cell in cells], axis=1)
+            row, where = np.nonzero(visits)
+            yield pdf.iloc[row].assign(cell=cells[where], list=-1, codes=None, error=0.0, query=True)
+
+    schema = f"{ROWS}, cell int, list int, codes array<int>, error double, query boolean"
+    placed = stored(classes.mapInPandas(place, schema), "lists")
+    key = ["label", "dim", "cell"]
     sizes = placed.groupBy(*key).agg(F.count_if(~F.col("query")).alias("n"), F.count_if("query").alias("m"))
     sizes = sizes.select(*key, F.ceil(F.col("n") / block).alias("n"), F.ceil(F.col("m") / block).alias("m"))
     total = placed.count()
@@ -174,7 +215,7 @@ def links(classes: DataFrame, index: Index, dim: int, threshold: float = 0.98, b
         .withColumn("part", in_parts([*key, "i", "j"], total, 8192))
     )
     return dealt.groupBy("part").applyInPandas(
-        lambda rows: _search(rows, index, threshold, reach), "cid long, links long, root long"
+        lambda rows: _search(rows, indexes, threshold, reach), "cid long, links long, root long"
     )
 
 
@@ -193,17 +234,16 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.98, fit_rows: in
     good = rows.where("usable").withColumn("vec", F.transform("vec", lambda v: v + 0.0))
     grouped = good.groupBy("label", "vec").agg(F.min("vec_id").alias("cid"), F.count("*").alias("copies"))
     classes = stored(grouped.select("cid", "label", F.size("vec").alias("dim"), "vec", "copies"), "classes")
-    found = None
-    dims = sorted(map(tuple, classes.groupBy("dim").count().limit(MAX_DIMS + 1).collect()))
-    if len(dims) > MAX_DIMS:
-        raise ValueError(f"vectors of more than {MAX_DIMS} lengths; split the table by length")
-    for dim, count in dims:
-        sample = classes.where(F.col("dim") == dim).orderBy(F.xxhash64("cid", "label"), "cid").limit(fit_rows).select("vec").toPandas()
+    sizes = classes.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(MAX_DIMS + 1).collect()
+    parts = []
+    for dim, count in sizes[:MAX_DIMS]:
+        alike = classes.where(F.col("dim") == dim)
+        sample = alike.orderBy(F.xxhash64("cid", "label"), "cid").limit(fit_rows).select("vec").toPandas()
         index = fit(np.stack(sample["vec"].to_numpy()), lists or int(min(1024, max(8, math.sqrt(count) / 4))))
-        part = links(classes, index, dim, threshold)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = spark.createDataFrame([], "cid long, links long, root long")
+        parts.append(links(alike, {dim: index}, threshold))
+    if len(sizes) > MAX_DIMS:
+        parts.append(links(classes.where(~F.col("dim").isin([dim for dim, _ in sizes[:MAX_DIMS]])), {}, threshold))
+    found = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "cid long, links long, root long")
     found = stored(found, "links")
     counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
     roots = components(found.where("cid <> root").select(F.col("cid").alias("a"), F.col("root").alias("b")))
