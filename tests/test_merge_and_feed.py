@@ -51,3 +51,22 @@ def test_feed_shows_added_and_removed_columns(spark):
         feed.change_feed(old, spark.createDataFrame([(1, 2)], "k BIGINT, v BIGINT"), "k")
     with pytest.raises(Exception, match="repeats k = 1"):
         feed.change_feed(old.union(old), old, "k").collect()
+
+
+@pytest.mark.parametrize("key", ["bigint", "string"])
+def test_sparse_feed_equals_the_whole_one(spark, key):
+    old = spark.range(0, 3000, 1, 4).selectExpr(f"CAST(id - 1500 AS {key}) AS k", "CAST(id AS STRING) AS v", "CAST(NULL AS STRING) AS w")
+    old = old.unionByName(spark.createDataFrame([(None, "n", "n")], f"k {key}, v STRING, w STRING"))
+    moved = "k = '7' OR k = '-1400'"  # a value that changes its column is a change, though NULL adds nothing to a hash
+    new = old.selectExpr("k", f"CASE WHEN {moved} THEN w ELSE v END AS v", f"CASE WHEN {moved} THEN v ELSE w END AS w")
+    new = new.where("k IS NULL OR k NOT IN ('8', '900')").unionByName(new.where("k = '1000'").selectExpr(f"CAST('5000' AS {key}) AS k", "v", "w"))
+    whole = rows(feed.change_feed(old, new, "k"))
+    assert rows(feed.sparse_change_feed(old, new, "k")) == whole and len(whole) == 7
+    assert rows(feed.sparse_change_feed(old, old.where("k IS NOT NULL"), "k"))[0][1] == "d"
+    assert feed.sparse_change_feed(old.dropna(subset=["k"]), old.dropna(subset=["k"]), "k").isEmpty()
+    assert feed.sparse_change_feed(old.limit(0), old.limit(0), "k").isEmpty()
+    with pytest.raises(Exception, match="repeats k = 3"):
+        feed.sparse_change_feed(old, old.unionByName(old.where("k = '3'")), "k").collect()
+    # an added column is a change where it holds a value
+    wider = old.selectExpr("*", "CASE WHEN k = '11' THEN 1 END AS extra")
+    assert [r[1] for r in rows(feed.sparse_change_feed(old, wider, "k").where("k IS NOT NULL"))] == ["u"]

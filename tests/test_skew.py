@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import changes, drift, metrics, quality, series
+from tidemark.operators import changes, drift, feed, metrics, quality, series
 from tidemark.sources import sample
 
 ROWS = 30_000
@@ -119,3 +119,15 @@ def test_segments_merge_across_gaps_restarts_and_nulls(spark):
     assert got == {(k, w): pytest.approx(v) for k in (1, 2) for w, v in want.items()}
     with pytest.raises(ValueError):
         series.counter_rate(samples, ["series"], "ts", "value", slice_seconds=7)
+
+
+def test_a_sparse_feed_moves_digests_and_few_rows(spark):
+    """One row in a thousand has changed: under a twentieth of the rows cross a shuffle."""
+    old = spark.range(0, 200_000, 1, 8).selectExpr("id AS k", "CAST(id AS STRING) AS v")
+    new = old.selectExpr("k", "CASE WHEN k % 1000 = 5 THEN 'x' ELSE v END AS v")
+    digests = feed.differing_buckets(old, new, "k", 32, 1)
+    assert digests.count() == 200
+    assert 0 < shuffled_records(digests) < 400_000 / 20
+    found = feed.sparse_change_feed(old, new, "k")
+    assert found.count() == 200
+    assert 0 < shuffled_records(found) < 400_000 / 20

@@ -322,6 +322,12 @@ FROM {_NEW} n, unnest([0, 1]) AS m(more) WHERE o_orderkey % 101 = 0""",
 FROM {_OLD} o FULL JOIN {_NEW} n ON o.o_orderkey = n.o_orderkey
 WHERE o.o_orderkey IS NULL OR n.o_orderkey IS NULL OR o.o_orderstatus <> n.o_orderstatus
   OR n.o_orderpriority = '1-URGENT'""",
+    "q_sparse_change_feed": """SELECT -o_orderkey AS o_orderkey, 'c' AS op, NULL AS old_status,
+  o_orderstatus AS new_status, NULL::BOOLEAN AS dearer
+FROM orders WHERE o_orderkey % 1000 = 1
+UNION ALL SELECT o_orderkey, 'd', o_orderstatus, NULL, NULL FROM orders WHERE o_orderkey % 1000 = 4
+UNION ALL SELECT o_orderkey, 'u', o_orderstatus, o_orderstatus, true FROM orders WHERE o_orderkey % 1000 = 2
+UNION ALL SELECT o_orderkey, 'u', o_orderstatus, NULL, false FROM orders WHERE o_orderkey % 1000 = 3 AND o_orderstatus IS NOT NULL""",
     "q_snapshot_feed": "SELECT o_orderkey, 'r' AS op, o_totalprice FROM orders",
     "q_seed_payments": f"""WITH {_SEED}
 SELECT * FROM seeded

@@ -409,6 +409,23 @@ def q_change_feed(spark, d):
     )
 
 
+@query
+def q_sparse_change_feed(spark, d):
+    """Of a thousand orders one is repriced, one has lost its status, one is gone, and one is new."""
+    old = sample.load(spark, d, "orders")
+    at = F.pmod("o_orderkey", F.lit(1000))
+    added = old.where(at == 1).withColumn("o_orderkey", -F.col("o_orderkey"))
+    new = old.where(at != 4).unionByName(added).withColumns({
+        "o_totalprice": F.when(at == 2, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+        "o_orderstatus": F.when(at != 3, F.col("o_orderstatus")),
+    })
+    feed_rows = feed.sparse_change_feed(old, new, "o_orderkey")
+    return feed_rows.select(
+        "o_orderkey", "op", F.col("before.o_orderstatus").alias("old_status"), F.col("after.o_orderstatus").alias("new_status"),
+        (F.col("after.o_totalprice") > F.col("before.o_totalprice")).alias("dearer"),
+    )
+
+
 @query
 def q_snapshot_feed(spark, d):
     rows = feed.snapshot_feed(sample.load(spark, d, "orders"), "o_orderkey")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import settle
+
 
 def _columns_of_both(old: DataFrame, new: DataFrame) -> list[tuple[str, T.DataType]]:
     """Columns of either side, the old ones first; a column whose type differs is an error."""
@@ -50,6 +52,57 @@ def change_feed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return paired.unionByName(both.where(F.col(key).isNull()).select(key, alone.alias("op"), "before", "after"))
 
 
+def _bucket(df: DataFrame, key: str, rows: int, buckets: int) -> Column:
+    """Ranges of whole numbers, which lie together in a table that lies by key; hashes of other keys."""
+    if isinstance(df.schema[key].dataType, T.IntegralType):
+        return F.floor(F.col(key) / rows).alias("_bucket")
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket")
+
+
+def differing_buckets(old: DataFrame, new: DataFrame, key: str, rows: int, buckets: int) -> DataFrame:
+    """``(_bucket)``: the buckets of keys whose rows differ, told by digests.
+
+    A bucket's digest is the sum of 128 bits of hash of each of its rows, old ones added and new ones taken away; it
+    and the number of rows are zero where both sides hold the same rows. The sums are formed before the shuffle.
+    """
+    columns = _columns_of_both(old, new)
+
+    def hashed(df: DataFrame, sign: int) -> DataFrame:
+        held = [F.col(n) if n in df.columns else F.lit(None).cast(t) for n, t in columns]
+        blanks = [c.isNull() for c in held]  # a hash passes over NULL
+        halves = []
+        for seed in (1, 2):
+            digest = F.xxhash64(F.lit(seed), *held, *blanks)
+            halves += [F.shiftright(digest, 32) * sign, digest.bitwiseAND(F.lit(0xFFFFFFFF)) * sign]
+        named = [h.alias(f"_d{k}") for k, h in enumerate([F.lit(sign).cast("long"), *halves])]
+        return df.where(F.col(key).isNotNull()).select(_bucket(df, key, rows, buckets), *named)
+
+    sums = [f"_d{k}" for k in range(5)]
+    both = hashed(old, 1).unionByName(hashed(new, -1)).groupBy("_bucket").agg(*[F.sum(c).alias(c) for c in sums])
+    return both.where(F.greatest(*[F.abs(c) for c in sums]) > 0).select("_bucket")
+
+
+def sparse_change_feed(old: DataFrame, new: DataFrame, key: str, rows_per_bucket: int = 32) -> DataFrame:
+    """``change_feed`` of two snapshots that are mostly alike: whole rows meet only where something differs.
+
+    Keys are dealt into buckets of about ``rows_per_bucket`` rows, and only rows of buckets whose digests differ are
+    compared. The list of these is stored, so its real size decides whether it is broadcast or joined by shuffle.
+    Digests shrink before the shuffle as far as the keys of a bucket lie in one task: whole-number keys of a
+    table laid out by key do. With few rows changed in every bucket this is a scan more than ``change_feed``.
+
+    A key that both sides repeat with the same rows goes unnoticed, any other repeated key is an error.
+    """
+    buckets = max(1, old.count() // rows_per_bucket)
+    differing = settle(differing_buckets(old, new, key, rows_per_bucket, buckets), "differing")
+
+    def part(df: DataFrame) -> DataFrame:
+        keyed = df.where(F.col(key).isNotNull()).select("*", _bucket(df, key, rows_per_bucket, buckets))
+        met = keyed.join(differing, "_bucket", "left_semi").drop("_bucket")
+        return met.unionByName(df.where(F.col(key).isNull()))
+
+    return change_feed(part(old), part(new), key)
+
+
 def snapshot_feed(table: DataFrame, key: str) -> DataFrame:
     """Every row of a first snapshot as a read event."""
     row = F.struct(*table.columns)
