@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrameWriter
 
+from tidemark.plans import layers
+from tidemark.sinks.tables import setting
 from tidemark.sources import sample
 
 SMALL = "/root/testdata/sf0.001"
@@ -26,3 +28,11 @@ def test_only_narrow_events_are_shuffled(spark, monkeypatch):
         assert not plan.startswith("RebalancePartitions")
         assert "json" not in plan.partition("RebalancePartitions")[2].lower()
     assert log.count() == sample.load(spark, SMALL, "events").count()
+
+
+def test_a_personal_field_is_hashed_once(spark):
+    """One digest for the swap in place, one in each of the two ways to rebuild a payload."""
+    with setting(spark, "spark.sql.debug.maxToStringFields", "1000"):
+        rows = layers.stored_bronze(sample.record_log(spark, SMALL))
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sha2(") == 3

@@ -12,9 +12,9 @@ Three ways, tried in this order per row:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,7 +65,15 @@ def scan_schema(
     return struct(op=text, **{name: section for name in sections})
 
 
-def _in_place(value: Column, scan: Column, field: str, sections: Sequence[str]) -> tuple[Column, Column]:
+#: Takes a step's name and expression, gives the expression to go on with.
+Keep = Callable[[str, Column], Column]
+
+
+def _in_line(name: str, step: Column) -> Column:
+    return step
+
+
+def _in_place(value: Column, scan: Column, field: str, sections: Sequence[str], keep: Keep = _in_line) -> tuple[Column, Column]:
     """Condition under which swapping value tokens in the text is exact, and the swap.
 
     Without backslashes a quoted name followed by a colon can only be a key. If there are
@@ -81,9 +89,9 @@ def _in_place(value: Column, scan: Column, field: str, sections: Sequence[str])
 
     quoted = F.concat(F.lit(name + ':"'), secret, F.lit('"'))
     bare = F.when(secret.rlike(r"^-?\d+$"), F.concat(F.lit(name + ":"), secret))
-    token = F.when(value.contains(quoted), quoted).otherwise(bare)
-    masked = F.concat(F.lit(name + ':"'), F.sha2(secret, 256), F.lit('"'))
-    swapped = F.replace(value, token, masked)
+    token = keep("token", F.when(value.contains(quoted), quoted).otherwise(bare))
+    masked = keep("masked", F.concat(F.lit(name + ':"'), F.sha2(secret, 256), F.lit('"')))
+    swapped = keep("swapped", F.replace(value, token, masked))
 
     growth = F.octet_length(masked) - F.octet_length(token)
     unnamed = F.octet_length(F.replace(value, F.lit(name), F.lit("")))
@@ -102,6 +110,7 @@ def mask_scanned(
     scan: Column,
     fields: Sequence[str] = PII_FIELDS,
     sections: Sequence[str] = ENVELOPE_SECTIONS,
+    keep: Keep = _in_line,
 ) -> Column:
     """``mask_envelope`` for a row whose ``scan_schema`` view is at hand as a column."""
     text = F.col(value)
@@ -112,13 +121,34 @@ def mask_scanned(
     all_exact, masked = F.lit(True), text
     for field in fields:
         # a swap changes values only, so the counts of the next field still hold
-        exact, swapped = _in_place(masked, scan, field, sections)
+        exact, swapped = _in_place(masked, scan, field, sections, keep)
         named = text.contains(field)
-        all_exact, masked = all_exact & (~named | exact), F.when(named, swapped).otherwise(masked)
+        all_exact = all_exact & (~named | exact)
+        masked = F.when(named, swapped).otherwise(masked)
     in_place = mention & F.coalesce(all_exact & ~text.contains("\\"), F.lit(False))
     return F.when(in_place, masked).when(mention, rebuilt).otherwise(text)
 
 
+def mask_rows(
+    rows: DataFrame,
+    value: str,
+    scan: Column,
+    fields: Sequence[str] = PII_FIELDS,
+    sections: Sequence[str] = ENVELOPE_SECTIONS,
+) -> DataFrame:
+    """``rows`` with ``mask_scanned`` of ``value``. Digests and swaps are columns on the way, so each is made once."""
+    steps: list[str] = []
+
+    def keep(name: str, step: Column) -> Column:
+        nonlocal rows
+        steps.append(f"_{name}_{len(steps)}")
+        rows = rows.withColumn(steps[-1], step)
+        return F.col(steps[-1])
+
+    masked = mask_scanned(value, scan, fields, sections, keep)
+    return rows.withColumn(value, masked).drop(*steps)
+
+
 def mask_envelope(
     value: str,
     fields: Sequence[str] = PII_FIELDS,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.envelope import route_of
-from tidemark.functions.masking import mask_scanned, scan_schema
+from tidemark.functions.masking import mask_rows, scan_schema
 from tidemark.operators import changes, metrics
 
 
@@ -18,9 +18,8 @@ def stored_bronze(records: DataFrame) -> DataFrame:
     """
     scan = F.from_json("kafka_value", scan_schema()).alias("_scan")
     scanned = changes.project_records(records).select("*", scan)
-    masked = {"kafka_value": mask_scanned("kafka_value", F.col("_scan"))}
-    columns = [masked.get(name, F.col(name)).alias(name) for name in schemas.BRONZE.names]
-    return scanned.select(*columns, route_of(F.col("_scan.op")).alias("_route"))
+    masked = mask_rows(scanned, "kafka_value", F.col("_scan"))
+    return masked.select(*schemas.BRONZE.names, route_of(F.col("_scan.op")).alias("_route"))
 
 
 def bronze(records: DataFrame) -> DataFrame:
