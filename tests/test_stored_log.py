@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import DataFrameWriter
 
+from tidemark.operators import changes, metrics
 from tidemark.plans import layers
 from tidemark.sinks.tables import setting
 from tidemark.sources import sample
@@ -36,3 +38,20 @@ def test_a_personal_field_is_hashed_once(spark):
         rows = layers.stored_bronze(sample.record_log(spark, SMALL))
         plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("sha2(") == 3
+
+
+@pytest.mark.parametrize("both_images", [True, False])
+def test_hours_are_told_by_the_creation_times_alone(spark, both_images):
+    odd = [
+        '{"op":"u","before":{"created_at":1},"after":{"created_at":"7200000000"}}', '{"op":"d","before":{"created_at":null}}',
+        '{"op":"d","before":"text","after":[1]}', '{"op":"c","after":{"created_at":1e10,"payment_id":{"a":[1]}}}', '{"op":"c","after":{',
+        '{"op":"t","after":{"created_at":-1}}', "not-json", None,
+    ]
+    rows = spark.createDataFrame([(v, k) for k, v in enumerate(odd)], "kafka_value STRING, kafka_offset LONG")
+    stored = sample.raw_log(spark, SMALL)
+    for log in (rows, stored):
+        whole = metrics.affected_hours(changes.decode(log), both_images)
+        times = metrics.affected_hours(changes.creation_times(log), both_images)
+        assert sorted(times.collect()) == sorted(whole.collect())
+    plan = changes.creation_times(stored)._jdf.queryExecution().optimizedPlan().toString()
+    assert "amount" not in plan

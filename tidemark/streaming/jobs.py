@@ -370,7 +370,7 @@ def refresh_hours(hours: DataFrame, layout: Layout, mode: str = changes.REFERENC
 
 def apply_gold_batch(batch: DataFrame, layout: Layout, mode: str = changes.REFERENCE, both_images: bool = True) -> None:
     """Recompute the hours that a raw-log batch names."""
-    refresh_hours(metrics.affected_hours(changes.decode(batch), both_images), layout, mode)
+    refresh_hours(metrics.affected_hours(changes.creation_times(batch), both_images), layout, mode)
 
 
 def run_gold_from_events(
@@ -487,7 +487,7 @@ def run_lake_layers(records: DataFrame, layout: LakeLayout) -> None:
 
 def apply_gold_batch_to_lake(batch: DataFrame, silver: str, gold: str) -> None:
     """Replace the hours a batch names: deleted first, so an hour without rows is emptied too."""
-    hours = metrics.affected_hours(changes.decode(batch), both_images=True).persist()
+    hours = metrics.affected_hours(changes.creation_times(batch), both_images=True).persist()
     try:
         lake.delete_from(gold, hours, "payment_hour")
         cells = metrics.hourly_metrics(metrics.in_hours(batch.sparkSession.table(silver), hours))
