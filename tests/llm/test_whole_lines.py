@@ -69,3 +69,17 @@ def test_recall_of_the_bands_just_above_the_threshold():
 
     met = [bool(a & b) for a, b in zip(*(keys(list(side)) for side in zip(*pairs, strict=True)), strict=True)]
     assert sum(met) >= 0.98 * len(pairs)
+
+
+def test_only_lines_that_share_a_bucket_carry_their_text(spark, monkeypatch):
+    rnd, carried, near = random.Random(8), [], lines._near
+    alone = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(80)) for _ in range(200)]
+
+    def noted(pairs, texts, threshold):
+        carried.append({r.line for r in texts.collect()})
+        return near(pairs, texts, threshold)
+
+    monkeypatch.setattr(lines, "_near", noted)
+    got = deduplicated(spark, [*enumerate(alone), (200, alone[0] + "x")])
+    assert [k for k, text in got.items() if not text] == [200]
+    assert {alone[0], alone[0] + "x"} <= carried[0] and len(carried[0]) < 20

@@ -133,9 +133,16 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     signed = stored(_signatures(docs, threshold), "signatures")
     keys = signed.select("h1", F.explode("keys").alias("key"))
     met = keys.withColumn("met", F.count("*").over(Window.partitionBy("key"))).where("met > 1").select("key", "h1")
-    info = F.struct(_node().alias("node"), "n", "whole", "copies").alias("x")
-    members = stored(met.join(signed.drop("keys", "line").withColumn("x", info), "h1").select("key", "x"), "buckets")
-    texts = signed.select(_node().alias("node"), "line")
+    met = stored(met, "met")
+    few = met.select("h1").distinct()
+    if small_enough(few, MAX_BROADCAST):
+        few = F.broadcast(few)
+    # from here on only classes that share a bucket carry their text
+    classes = signed.drop("keys").join(few, "h1", "left_semi").withColumn("node", _node())
+    classes = stored(classes.select("h1", "node", "line", "n", "whole", "copies"), "texts")
+    info = F.struct("node", "n", "whole", "copies").alias("x")
+    members = stored(met.join(classes.select("h1", info), "h1").select("key", "x"), "buckets")
+    texts = classes.select("node", "line")
 
     heads = members.groupBy("key").agg(F.max_by("x", F.struct("x.copies", "x.node")).alias("y"))
     stars = members.join(heads, "key").where("x.node <> y.node").where(_may_be_near(F.col("x"), F.col("y"), threshold))
