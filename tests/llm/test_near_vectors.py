@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pytest
 
@@ -50,3 +52,13 @@ def test_groups_of_lists(spark, lists):
     rows += [(i, (hot + rng.normal(size=8) * 0.02).tolist(), 1) for i in range(240, 360)]
     want = all_pairs(rows)
     assert found(spark, rows, lists=lists, fit_rows=100) == want and max(n for n, _ in want.values()) > 100
+
+
+def test_block_whose_candidates_are_all_too_far(spark, monkeypatch):
+    """Blocks of two rows on one list: rough codes pass pairs on, and no exact cosine of a block reaches the threshold."""
+    monkeypatch.setattr(vectors, "links", functools.partial(vectors.links, block=2))
+    rng = np.random.default_rng(9)
+    rows = [(i, (np.ones(8) + rng.normal(size=8) * 0.5).tolist(), 1) for i in range(40)]
+    rows += [(i + 40, [c * 2 + 0.01 for c in rows[i][1]], 1) for i in range(5)]
+    want = all_pairs(rows)
+    assert found(spark, rows, lists=1, fit_rows=10) == want and 10 <= sum(n for n, _ in want.values()) < 40

@@ -153,7 +153,7 @@ def _search_unit(index: Index, listed: pd.DataFrame, asked: pd.DataFrame, thresh
             near = (np.einsum("ij,ij->i", uq[r], ux[c]) >= threshold) | (here[r] == there[c])
             rows.append(r[near])
             cols.append(c[near])
-    if rows:
+    if sum(map(len, rows)):  # candidates may all be too far; np.split makes one piece of nothing
         row, col = np.concatenate(rows), np.concatenate(cols)
         np.add.at(count, row, copies[col])
         order = np.argsort(row, kind="stable")
