@@ -7,7 +7,9 @@ import functools
 import numpy as np
 import pytest
 
+from tests.test_skew import shuffled_records
 from tidemark.llm import vectors
+from tidemark.llm.common import Forest
 
 
 def all_pairs(rows, threshold=0.98):
@@ -62,3 +64,38 @@ def test_block_whose_candidates_are_all_too_far(spark, monkeypatch):
     rows += [(i + 40, [c * 2 + 0.01 for c in rows[i][1]], 1) for i in range(5)]
     want = all_pairs(rows)
     assert found(spark, rows, lists=1, fit_rows=10) == want and 10 <= sum(n for n, _ in want.values()) < 40
+
+
+def test_labels_of_many_blocks(spark, monkeypatch):
+    """Blocks of six rows in cells of lists beside a label of one block: chains, and a third of the rows near one vector."""
+    monkeypatch.setattr(vectors, "BLOCK_BYTES", 6 * 8 * 8)
+    rng = np.random.default_rng(15)
+    rows, at = [], rng.normal(size=8)
+    for i in range(160):
+        at = at + rng.normal(size=8) * 0.08 * np.linalg.norm(at) / np.sqrt(8)
+        rows.append((i, at.astype(np.float32 if i % 3 else float).tolist(), i % 40 // 25))
+    hot = rng.normal(size=8)
+    rows += [(i, (hot + rng.normal(size=8) * 0.02).tolist(), 0) for i in range(160, 240)]
+    rows += [(i, (hot + rng.normal(size=8) * 0.02).tolist(), 2) for i in range(240, 245)]
+    rows += [(i + 245, rows[i][1], rows[i][2]) for i in range(3)]
+    want = all_pairs(rows)
+    assert found(spark, rows, lists=30, fit_rows=100) == want and max(n for n, _ in want.values()) > 75
+
+
+def test_vectors_are_not_copied_for_pairs_of_lists(spark):
+    """A label of one block crosses the shuffle once, whatever lists its vectors visit."""
+    rng = np.random.default_rng(16)
+    x = rng.normal(size=(5000, 16))
+    table = spark.createDataFrame([(i, 1, 16, v.tolist(), 1) for i, v in enumerate(x)], "cid long, label int, dim int, vec array<double>, copies long")
+    assert shuffled_records(vectors.links(table, {16: vectors.fit(x, 32)})) <= 1.1 * len(x)
+
+
+def test_trees_of_linked_pairs():
+    rng = np.random.default_rng(17)
+    forest, label = Forest(300), np.arange(300)
+    for _ in range(4):
+        a, b = rng.integers(0, 300, 60), rng.integers(0, 300, 60)
+        forest.link(a, b)
+        for i, j in zip(a, b, strict=True):
+            label[np.isin(label, label[[i, j]])] = label[[i, j]].min()
+        assert (forest.label == label).all()
