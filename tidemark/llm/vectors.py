@@ -185,7 +185,7 @@ def _search_unit(index: Index, listed: pd.DataFrame, asked: pd.DataFrame, thresh
                 parts = [np.einsum("ij,ij->i", uq[some[row[k]]], ux[first + col[k]]) >= threshold for k in cuts]
                 near = np.concatenate([np.zeros(0, dtype=bool), *parts])
             col, row = first + col, some[row]
-            near |= here[row] == there[col]
+            near |= (here[row] == there[col]) & mask[row, lists[col]]
             if near.any():
                 col, row = col[near], row[near]
                 count_q += np.bincount(row, weights=of_x[col], minlength=len(here)).astype(np.int64)
@@ -290,10 +290,10 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.98, fit_rows: in
     parts = []
     for dim, count, most in sizes[:MAX_DIMS]:
         alike = classes.where(F.col("dim") == dim)
-        # the lowest digests; a bound on them first, else every task would send so many whole vectors to the driver
-        digest, share = F.xxhash64("label", "vec"), 1.25 * fit_rows / count
-        lowest = alike.where(digest < int((share - 0.5) * 2**64)) if share < 0.5 and fit_rows >= 1024 else alike
-        sample = lowest.orderBy(digest, "cid").limit(fit_rows).select("vec").toPandas()
+        # of a large table first a share by digest, else every task would send that many whole vectors to the driver
+        share = 1.25 * fit_rows / count
+        some = alike.where(F.xxhash64("vec", "label") < int((share - 0.5) * 2**64)) if share < 0.5 and fit_rows >= 1024 else alike
+        sample = some.orderBy(F.xxhash64("cid", "label"), "cid").limit(fit_rows).select("vec").toPandas()
         wanted = lists or int(min(1024, max(8, math.sqrt(count) / 4)))
         index = fit(np.stack(sample["vec"].to_numpy()), wanted, -(-most // block_rows(dim)))
         parts.append(links(alike, {dim: index}, threshold))
